@@ -77,7 +77,8 @@ def lag_correlation(
         for f in features
         for k in range(max_lag + 1)
     ]
-    rows = df.select(*keys, F.col(target).alias("_y"), F.inline(F.array(*lagged)))
+    rows = df.select(*keys, F.col(target).alias("_y"), F.array(*lagged).alias("_cells"))
+    rows = rows.select(*keys, "_y", F.inline("_cells"))
     corr = numeric.null_to_zero(F.corr("x", "_y"))
     if digits is not None:
         corr = F.round(corr, digits)
@@ -124,7 +125,8 @@ def cross_correlation(
     if digits is not None:
         value = F.round(value, digits)
     return (
-        rows.select(*keys, F.inline(F.array(*products)))
+        rows.select(*keys, F.array(*products).alias("_cells"))
+        .select(*keys, F.inline("_cells"))
         .groupBy(*keys, "feature", "lag")
         .agg(value.alias("correlation"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("queries_relational",)
+MODULES = ("queries_relational", "queries_series", "queries_models")
 
 
 def load() -> None:

@@ -33,16 +33,19 @@ def query(covers: str, sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
-def report(df: DataFrame, digits: dict[str, int] | int = 6) -> DataFrame:
-    """Result columns in plain types: periods as text, numbers as BIGINT or rounded DOUBLE."""
+def report(df: DataFrame, digits: dict[str, int] | int | None = 6) -> DataFrame:
+    """Result columns in plain types: periods as text, numbers as BIGINT or rounded DOUBLE.
+
+    ``digits=None`` leaves numbers unrounded.
+    """
     columns = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd" if f.name == "day" else "yyyy-MM")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            n = digits if isinstance(digits, int) else digits.get(f.name, 6)
-            c = F.round(c.cast("double"), n)
+            n = digits.get(f.name, 6) if isinstance(digits, dict) else digits
+            c = c.cast("double") if n is None else F.round(c.cast("double"), n)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         columns.append(c.alias(f.name))

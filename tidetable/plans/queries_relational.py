@@ -38,7 +38,7 @@ def unit_price(spark, sf_dir):
     "A4 A5 A6",
     sql(
         """SELECT series_key, strftime(day, '%Y-%m-%d') AS day, round(avg(v), 6) AS mean_value,
-        round(avg(CASE WHEN v > 0 THEN v END), 6) AS mean_positive, max(v) AS max_value, count(*) AS n
+        round(avg(CASE WHEN v > 0 THEN v END), 6) AS mean_positive, round(max(v), 6) AS max_value, count(*) AS n
         FROM (SELECT series_key, day, user_id, avg(value) AS v FROM readings GROUP BY 1, 2, 3) GROUP BY 1, 2""",
         "readings",
     ),
