@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("queries_relational", "queries_series", "queries_models")
+MODULES = ("queries_relational", "queries_series", "queries_models", "queries_publication", "queries_files")
 
 
 def load() -> None:

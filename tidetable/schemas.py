@@ -1,38 +1,23 @@
-"""Explicit schemas of the inputs and tables; nothing is inferred at scan time."""
+"""Explicit schemas of the inputs and tables, as DDL text; nothing is inferred at scan time."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-VECTOR_PAYLOAD = struct_of(
-    "status string, object struct<vectorId:bigint, vectorDataPoint:array<struct<refPer:string, value:double>>>"
-)
 VECTOR_POINT = "struct<refPer:string,value:double>"
-RESPONSE_PAYLOAD = struct_of(
+VECTOR_PAYLOAD = f"status string, object struct<vectorId:bigint, vectorDataPoint:array<{VECTOR_POINT}>>"
+RESPONSE_PAYLOAD = (
     "response struct<total:string, dateFormat:string, frequency:string, data:array<struct<period:string, value:string>>>"
 )
 IMPORT_COLUMNS = ("period", "code", "country", "quantity")
+PRICE_SILVER = "series_key string, month date, price double"
+PRICE_ADJUSTED = "series_key string, month date, price_before_adjustment double, cpi double, price_adjusted double"
+FORECAST = "series_key string, month date, prediction double, lower_bound double, upper_bound double"
 
 
-def coded_series(*codes: str) -> T.StructType:
+def coded_series(*codes: str) -> str:
     """``observations: [{d, CODE: {v}}]`` for one or several series codes."""
     fields = "".join(f", `{c}`: struct<v:string>" for c in codes)
-    return struct_of(f"observations array<struct<d:string{fields}>>")
+    return f"observations array<struct<d:string{fields}>>"
 
 
-def all_strings(*columns: str) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
-PRICE_SILVER = struct_of("series_key string, month date, price double")
-PRICE_ADJUSTED = struct_of(
-    "series_key string, month date, price_before_adjustment double, cpi double, price_adjusted double"
-)
-FORECAST = struct_of(
-    "series_key string, month date, prediction double, lower_bound double, upper_bound double"
-)
+def all_strings(*columns: str) -> str:
+    return ", ".join(f"`{c}` string" for c in columns)

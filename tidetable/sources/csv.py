@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tidetable import schemas
 from tidetable.functions import numeric
 
 Paths = str | Sequence[str]
@@ -20,7 +20,7 @@ def _paths(paths: Paths) -> list[str]:
 def scan_csv(
     spark: SparkSession,
     paths: Paths,
-    schema: T.StructType,
+    schema: str,
     *,
     date_format: str = "yyyy-MM-dd",
     encoding: str = "UTF-8",
@@ -47,8 +47,7 @@ def scan_csv_text(spark: SparkSession, paths: Paths, header: Sequence[str], colu
     Casting happens later, so one bad field never loses its row.  File splits
     take the place of reading in chunks.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return spark.read.schema(schema).option("header", True).csv(_paths(paths)).select(*columns)
+    return spark.read.schema(schemas.all_strings(*header)).option("header", True).csv(_paths(paths)).select(*columns)
 
 
 def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -65,9 +64,9 @@ def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
     )
 
 
-def _parse(lines: DataFrame, schema: T.StructType, options: dict[str, str] | None) -> DataFrame:
+def _parse(lines: DataFrame, schema: str, options: dict[str, str] | None) -> DataFrame:
     parsed = lines.filter(F.length(F.trim("value")) > 0).select(
-        F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), options or {}).alias("_r")
+        F.from_csv("value", schema, options or {}).alias("_r")
     )
     return parsed.select("_r.*")
 
@@ -75,7 +74,7 @@ def _parse(lines: DataFrame, schema: T.StructType, options: dict[str, str] | Non
 def scan_csv_after_preamble(
     spark: SparkSession,
     paths: Paths,
-    schema: T.StructType,
+    schema: str,
     *,
     skip: int,
     options: dict[str, str] | None = None,
@@ -95,7 +94,7 @@ def scan_csv_after_preamble(
 def scan_csv_after_marker(
     spark: SparkSession,
     paths: Paths,
-    schema: T.StructType,
+    schema: str,
     *,
     marker: str,
     has_header: bool = True,
@@ -133,7 +132,7 @@ def find_encoding(spark: SparkSession, paths: Paths, candidates: Sequence[str] =
 def scan_csv_any_encoding(
     spark: SparkSession,
     paths: Paths,
-    schema: T.StructType,
+    schema: str,
     *,
     candidates: Sequence[str] = ("UTF-8", "ISO-8859-1"),
 ) -> DataFrame:
@@ -144,7 +143,7 @@ def scan_csv_any_encoding(
 def scan_tree(
     spark: SparkSession,
     root: str,
-    schema: T.StructType,
+    schema: str,
     *,
     pattern: str = "*.csv",
     exclude: str = r"(?i)metadata|\.pdf$",

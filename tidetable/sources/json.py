@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidetable import schemas
 from tidetable.functions import dates, nested, numeric
@@ -15,7 +14,7 @@ from tidetable.functions import dates, nested, numeric
 Paths = str | Sequence[str]
 
 
-def scan_json(spark: SparkSession, paths: Paths, schema: T.StructType, *, multi_line: bool = True) -> DataFrame:
+def scan_json(spark: SparkSession, paths: Paths, schema: str, *, multi_line: bool = True) -> DataFrame:
     """JSON documents or arrays of records, several files at once.
 
     ``multi_line`` suits files that hold one array; line-delimited files should
