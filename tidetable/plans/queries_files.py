@@ -77,6 +77,13 @@ def csv_dates_scan(spark, sf_dir):
     return report(csv.scan_csv(spark, path, schema, date_format="dd/MM/yyyy"))
 
 
+def _write_below(spark, top, lines, path):
+    """One text file: the fixed ``top`` lines, then a calendar-sized number of ``lines``."""
+    head = spark.range(1).select(F.posexplode(F.array(*[F.lit(t) for t in top])).alias("n", "value"))
+    body = lines.select(F.lit(len(top)).alias("n"), "value")
+    head.union(body).repartition(1).sortWithinPartitions("n").select("value").write.text(path)
+
+
 @query(
     "S4 A16 F7 F11",
     sql(f"SELECT series_key, {YM} AS month, qty FROM prices WHERE month >= DATE '1999-01-01' AND month < DATE '2000-01-01'", "prices"),
@@ -88,10 +95,9 @@ def csv_after_preamble(spark, sf_dir):
     wide = pivot(df, "series_key", "label", months, "qty")
     # one line of text per product
     lines = wide.select(F.concat_ws(",", F.concat("series_key", F.lit("  1 2")), *[F.coalesce(F.col(m).cast("string"), F.lit("")) for m in months]).alias("value"))
-    notes = spark.range(9, numPartitions=1).select(F.concat(F.lit("note "), F.col("id").cast("string")).alias("value"))
-    header = spark.range(1, numPartitions=1).select(F.lit(",".join(["Products", *months])).alias("value"))
+    top = [*[f"note {i}" for i in range(9)], ",".join(["Products", *months])]
     path = new_folder(spark, "preamble")
-    notes.union(header).union(lines).coalesce(1).write.text(path)
+    _write_below(spark, top, lines, path)
     schema = schemas.all_strings("product", *[f"c{i}" for i in range(12)])
     scanned = csv.scan_csv_after_preamble(spark, path, schema, skip=10)
     named = scanned.select(
@@ -106,9 +112,8 @@ def csv_after_preamble(spark, sf_dir):
 def csv_after_marker(spark, sf_dir):
     rows = roles.rates(spark, sf_dir).select(F.concat_ws(",", F.col("month").cast("string"), "discount", "tax").alias("value"))
     top = ['"TERMS"', "free text, with a comma", '"OBSERVATIONS"', "date,FXD,FXT"]
-    notes = spark.range(len(top), numPartitions=1).select(F.element_at(F.array(*[F.lit(t) for t in top]), (F.col("id") + 1).cast("int")).alias("value"))
     path = new_folder(spark, "marker")
-    notes.union(rows).coalesce(1).write.text(path)
+    _write_below(spark, top, rows, path)
     schema = "month date, discount double, tax double"
     return report(csv.scan_csv_after_marker(spark, path, schema, marker='"OBSERVATIONS"'))
 
