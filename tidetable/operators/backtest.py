@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tidetable.functions import numeric
 from tidetable.operators import stats, windows
 from tidetable.operators.panel import Keys, as_list, series_window
-from tidetable.operators.reshape import pivot
 
 
 def check_fold_arguments(initial_window: int, horizon: int, n_samples: int | None = None) -> None:
@@ -132,29 +131,29 @@ def compare_models(
     keys = as_list(key)
     if common_only:
         predictions = common_periods(predictions, keys, time)
-    result = stats.scores(predictions, [*keys, "model"], list(order))
-    folds = predictions.groupBy(*keys, "model").agg(F.count_distinct("fold").alias("n_folds"))
-    return result.join(folds, [*keys, "model"])
+    # a series has no more folds than months, so the set stays small
+    folds = F.size(F.collect_set("fold")).alias("n_folds")
+    return stats.scores(predictions, [*keys, "model"], list(order), extra=[folds])
 
 
 def common_periods(predictions: DataFrame, key: Keys = "series_key", time: str = "month") -> DataFrame:
-    """Rows of the periods for which every model of the series has a forecast."""
+    """Rows of the periods for which every model of the series has a forecast.
+
+    Both windows start with the series key, so they share one exchange.
+    """
     keys = as_list(key)
     usable = predictions.filter(F.col("prediction").isNotNull() & F.col("actual").isNotNull())
-    models = usable.groupBy(*keys).agg(F.count_distinct("model").alias("_all"))
-    periods = usable.groupBy(*keys, time).agg(F.count_distinct("model").alias("_here"))
-    shared = periods.join(models, keys).filter(F.col("_here") == F.col("_all")).select(*keys, time)
-    return usable.join(shared, [*keys, time], "left_semi")
+    models = F.size(F.collect_set("model").over(Window.partitionBy(*keys)))
+    here = F.size(F.collect_set("model").over(Window.partitionBy(*keys, time)))
+    return usable.withColumns({"_all": models, "_here": here}).filter(F.col("_all") == F.col("_here")).drop("_all", "_here")
 
 
 def predictions_wide(
     predictions: DataFrame, models: Sequence[str], key: Keys = "series_key", time: str = "month"
 ) -> DataFrame:
-    """One column per model and one row per period, beside the mean actual."""
-    keys = as_list(key)
-    wide = pivot(predictions, [*keys, time], "model", models, "prediction", "mean")
-    actual = predictions.groupBy(*keys, time).agg(F.avg("actual").alias("actual"))
-    return actual.join(wide, [*keys, time])
+    """One column per model and one row per period, beside the mean actual; one group-by for all."""
+    by_model = [F.avg(F.when(F.col("model") == m, F.col("prediction"))).alias(m) for m in models]
+    return predictions.groupBy(*as_list(key), time).agg(F.avg("actual").alias("actual"), *by_model)
 
 
 def average_predictions(predictions: DataFrame, by: Keys) -> DataFrame:

@@ -71,8 +71,6 @@ def align(
             for c in df.columns
         ]
     )
-    if start is not None:
-        out = out.filter(F.col(time) >= start)
     return out if end is None else out.filter(F.col(time) <= end)
 
 

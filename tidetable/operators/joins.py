@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidetable.functions import dates
 from tidetable.operators.panel import Keys, as_list
 from tidetable.session import broadcast_if_small, fits_broadcast
 
@@ -91,57 +92,61 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join that spreads hot keys of the left side over ``salts`` tasks.
 
-    Keys above ``hot_share`` of all left rows are hot, so there are at most
-    ``1 / hot_share`` of them: that bounds the broadcast list.  Their left rows
-    get a salt from a hash of the row, which a repeated task computes alike, and
-    their right rows are copied once per salt.  All other keys keep salt 0.
+    A frequent-items sketch finds the keys above ``hot_share`` of all left rows
+    in one pass without a shuffle; there are at most ``1 / hot_share`` of them,
+    so their list fits a scalar subquery.  Left rows of a hot key get a salt from
+    a hash of the row, which a repeated task computes alike, and right rows of a
+    hot key are copied once per salt.  All other keys keep salt 0, so a key the
+    sketch wrongly lists or misses changes the speed only.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins can be salted on the left side")
     on = as_list(on)
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    hot = (
-        counts.withColumn("_one", F.lit(1))
-        .join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
-        .filter(F.col("_n") > F.col("_total") * hot_share)
-        .select(*on, F.lit(True).alias("_hot"))
+    if [left.schema[c].dataType for c in on] != [right.schema[c].dataType for c in on]:
+        raise ValueError("salted keys must have the same types on both sides")
+    most = int(1 / hot_share)
+    key = F.xxhash64(*on)
+    found = left.select(key.alias("_k")).agg(
+        F.expr(f"approx_top_k(_k, {most}, {most * 100})").alias("_top"), F.count(F.lit(1)).alias("_n")
     )
-    hot = F.broadcast(hot)
-    row_hash = F.xxhash64(*left.columns)
-    left_salted = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right_salted = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left_salted.drop("_hot").join(right_salted, [*on, "_salt"], how).drop("_salt")
+    hot = found.select(
+        F.transform(F.filter("_top", lambda t: t["count"] > F.col("_n") * hot_share), lambda t: t["item"])
+    ).scalar()
+    is_hot = F.coalesce(F.array_contains(hot, key), F.lit(False))
+    row_salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    left = left.withColumn("_salt", F.when(is_hot, row_salt).otherwise(F.lit(0)))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = right.withColumn("_salts", copies).withColumn("_salt", F.explode("_salts")).drop("_salts")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def as_of(
     left: DataFrame,
     reference: DataFrame,
     value: Keys,
-    by: Keys = (),
+    by: Keys,
     time: str = "month",
     *,
     unique_left: bool = False,
 ) -> DataFrame:
-    """Latest reference values at or before each left period (a backward as-of join).
+    """Latest reference values at or before each left period (a backward as-of join per key).
 
     Both sides are stacked and a running ``last`` carries the values forward;
     linear, where an inequality join is quadratic inside a key.  With
     ``unique_left`` the left side has at most one row per (by, time) and is
-    stacked as it is.  Without it only its distinct periods are stacked, so the
-    window stays bounded by the calendar however many rows share a key, and the
-    values return by an equi-join.
+    stacked as it is, with one exchange.  Without it only its distinct periods
+    are stacked, so the window stays bounded by the calendar however many rows
+    share a key, and the values return by an equi-join.
+
+    A reference without keys goes through :func:`as_of_calendar`.
     """
     values, by = as_list(value), as_list(by)
-    if not unique_left or not by:
-        slots = left.select(*by, time).distinct()
-        carried = _carry(slots, reference, values, by, time)
-        # no keys means one row per period at most: the calendar bounds the broadcast
-        return left.join(F.broadcast(carried) if not by else carried, [*by, time], "left")
-    return _carry(left, reference, values, by, time)
+    if not by:
+        raise ValueError("a reference without keys needs as_of_calendar")
+    if unique_left:
+        return _carry(left, reference, values, by, time)
+    carried = _carry(left.select(*by, time).distinct(), reference, values, by, time)
+    return left.join(carried, [*by, time], "left")
 
 
 def _carry(left: DataFrame, reference: DataFrame, values: list[str], by: list[str], time: str) -> DataFrame:
@@ -160,6 +165,32 @@ def _carry(left: DataFrame, reference: DataFrame, values: list[str], by: list[st
     )
 
 
+def as_of_calendar(left: DataFrame, reference: DataFrame, value: str, time: str = "month") -> DataFrame:
+    """As-of join to one monthly reference shared by all series.
+
+    The reference is one row per month, so its values fit one array, with gaps
+    carried forward, and each left row reads its element by month number.  The
+    left side is neither shuffled nor read twice.
+    """
+    known = reference.filter(F.col(value).isNotNull()).select(dates.month_number(time).alias("_m"), F.col(value).alias("_v"))
+    one = known.agg(
+        F.min("_m").alias("first"), F.array_sort(F.collect_list(F.struct("_m", "_v"))).alias("points")
+    )
+    # each point covers the months up to the next one; the last one is open-ended
+    spread = F.flatten(
+        F.transform(
+            "points",
+            lambda p, i: F.array_repeat(
+                p["_v"], F.coalesce(F.get(F.col("points"), i + 1)["_m"] - p["_m"], F.lit(1)).cast("int")
+            ),
+        )
+    )
+    lookup_array = one.select(F.struct("first", spread.alias("values"))).scalar()
+    rows = left.withColumn("_ref", lookup_array)
+    place = F.least(dates.month_number(time) - F.col("_ref.first"), F.size("_ref.values") - 1)
+    return rows.withColumn(value, F.when(place >= 0, F.get("_ref.values", place))).drop("_ref")
+
+
 def require_matched(df: DataFrame, column: str, message: str) -> DataFrame:
     """Fail the job on the first row whose ``column`` stayed NULL."""
     checked = F.when(F.col(column).isNotNull(), F.col(column)).otherwise(
@@ -168,33 +199,17 @@ def require_matched(df: DataFrame, column: str, message: str) -> DataFrame:
     return df.withColumn(column, checked)
 
 
-def base_value(
+def with_base(
     index: DataFrame, value: str, base: Column, by: Keys = (), time: str = "month", *, name: str = "base"
 ) -> DataFrame:
-    """The index at the base period: one row per ``by`` group."""
-    picked = F.max(F.when(F.col(time) == base, F.col(value))).alias(name)
-    by = as_list(by)
-    return index.groupBy(*by).agg(picked) if by else index.agg(picked)
-
+    """Add the value at the base period to every row of an index; without one the job fails.
 
-def with_base(
-    df: DataFrame,
-    index: DataFrame,
-    value: str,
-    base: Column,
-    by: Keys = (),
-    time: str = "month",
-    *,
-    name: str = "base",
-) -> DataFrame:
-    """Add the base-period index to every row; a missing base period is an error at run time."""
-    by = as_list(by)
-    found = require_matched(base_value(index, value, base, by, time, name=name), name, "no index at the base period")
-    if by:
-        return df.join(broadcast_if_small(found), by, "inner")
-    # the table without groups has exactly one row
-    one = F.broadcast(found.withColumn("_one", F.lit(1)))
-    return df.withColumn("_one", F.lit(1)).join(one, "_one", "inner").drop("_one")
+    An index has one row per period (and group), so its window is bounded by the
+    calendar, and the index is read once.
+    """
+    w = Window.partitionBy(*as_list(by))
+    out = index.withColumn(name, F.max(F.when(F.col(time) == base, F.col(value))).over(w))
+    return require_matched(out, name, "no index at the base period")
 
 
 def override(preferred: DataFrame, other: DataFrame, on: Keys) -> DataFrame:

@@ -36,57 +36,51 @@ def display_forecast(
     """Per series: the forecast of the next month, else the first later, else the last one,
     with the point before it and the percent change between the two.
 
-    Two group-bys that combine on the map side; the chosen month is joined back
-    on the series key.
+    One group-by; the points of a series are bounded by the calendar, so the
+    choice is made on their array.
     """
-    keys = as_list(key)
     t, is_forecast = F.col(time), F.col(forecast)
-    chosen = points.groupBy(*keys).agg(
+    grouped = points.groupBy(*as_list(key)).agg(
         F.coalesce(
             F.max(F.when(is_forecast & (t == next_month), t)),
             F.min(F.when(is_forecast & (t > next_month), t)),
             F.max(F.when(is_forecast, t)),
-        ).alias("_chosen")
+        ).alias("prediction_month"),
+        F.array_sort(F.collect_list(F.struct(t.alias("t"), is_forecast.alias("f"), F.col(price).alias("p")))).alias("_points"),
     )
-    joined = points.join(chosen, keys)
-    c = F.col("_chosen")
+    chosen = F.col("prediction_month")
+    shown = F.filter("_points", lambda p: p["f"] & (p["t"] == chosen))
+    before = F.filter("_points", lambda p: p["t"] < chosen)
     return (
-        joined.groupBy(*keys)
-        .agg(
-            F.first("_chosen").alias("prediction_month"),
-            F.max(F.when(is_forecast & (t == c), F.col(price))).alias("forecast_price"),
-            F.max_by(F.col(price), F.when(t < c, t)).alias("previous_price"),
-        )
-        .withColumn(
-            "change_pct",
-            F.coalesce(numeric.pct_change("forecast_price", "previous_price"), F.lit(0.0)),
-        )
+        grouped.withColumns({"forecast_price": F.get(shown, F.lit(0))["p"], "previous_price": F.try_element_at(before, F.lit(-1))["p"]})
+        .drop("_points")
+        .withColumn("change_pct", F.coalesce(numeric.pct_change("forecast_price", "previous_price"), F.lit(0.0)))
     )
 
 
-def change_of_first_future(
-    actual: DataFrame,
-    forecast: DataFrame,
-    key: Keys = "series_key",
-    time: str = "month",
-    *,
-    price: str = "price",
-) -> DataFrame:
-    """Per series: first forecast after the latest actual and its percent change against it.
+def first_future_columns(time: str = "month", *, price: str = "price", forecast: str = "forecast") -> dict[str, Column]:
+    """Aggregates that :func:`first_future` finishes."""
+    t, is_forecast = F.col(time), F.col(forecast)
+    observed = F.when(~is_forecast, t)
+    return {
+        "_last": F.max(observed),
+        "_last_price": F.max_by(F.col(price), observed),
+        "_ahead": F.array_sort(F.collect_list(F.when(is_forecast, F.struct(t.alias("t"), F.col(price).alias("p"))))),
+    }
 
-    All three result columns are NULL when no forecast lies in the future.
-    """
-    keys = as_list(key)
-    latest = actual.groupBy(*keys).agg(
-        F.max(time).alias("_last"), F.max_by(price, time).alias("_last_price")
-    )
-    future = forecast.join(latest, keys).filter(F.col(time) > F.col("_last"))
-    first = future.groupBy(*keys).agg(
-        F.min(time).alias("prediction_month"), F.min_by(price, time).alias("_p")
-    )
-    return latest.join(first, keys, "left").select(
-        *keys,
-        "prediction_month",
-        F.round("_p", 2).alias("forecast_price"),
-        numeric.pct_change(F.round("_p", 2), "_last_price").alias("change_pct"),
+
+def first_future(grouped: DataFrame) -> DataFrame:
+    """First forecast after the latest actual and its percent change; all NULL when there is none."""
+    later = F.filter("_ahead", lambda p: p["t"] > F.col("_last"))
+    return (
+        grouped.withColumn("_first", F.get(later, F.lit(0)))
+        .withColumns({"prediction_month": F.col("_first.t"), "forecast_price": F.round("_first.p", 2)})
+        .withColumn("change_pct", numeric.pct_change("forecast_price", "_last_price"))
+        .drop("_first", "_last", "_last_price", "_ahead")
     )
+
+
+def change_of_first_future(points: DataFrame, key: Keys = "series_key", time: str = "month", *, price: str = "price", forecast: str = "forecast") -> DataFrame:
+    """Per series: month, price and percent change of the first forecast beyond the latest actual."""
+    aggs = first_future_columns(time, price=price, forecast=forecast)
+    return first_future(points.groupBy(*as_list(key)).agg(*[a.alias(n) for n, a in aggs.items()]))

@@ -165,28 +165,32 @@ def scores(
     series: Keys | None = None,
     actual: str = "actual",
     predicted: str = "prediction",
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """MAE, RMSE, MAPE (rows with actual 0 left out), directional accuracy and row count.
 
-    Pairs with a missing side are dropped before differences are taken.  Changes
-    are taken along ``order`` within ``series`` (the group itself by default), so
-    a score over many series never needs one window over all of them.
+    Pairs with a missing side do not count, and changes reach back to the last
+    complete pair.  Changes are taken along ``order`` within ``series`` (the group
+    itself by default), so a score over many series never needs one window over
+    all of them.  ``extra`` aggregates see every row of the group.
     """
     group = as_list(group)
     series = as_list(series) if series is not None else group
-    w = Window.partitionBy(*series).orderBy(*as_list(order))
+    past = Window.partitionBy(*series).orderBy(*as_list(order)).rowsBetween(Window.unboundedPreceding, -1)
     a, p = F.col(actual), F.col(predicted)
-    pairs = df.filter(a.isNotNull() & p.isNotNull()).withColumns(
-        {"_da": a - F.lag(actual).over(w), "_dp": p - F.lag(predicted).over(w)}
-    )
-    error = a - p
-    hit = F.when(F.col("_da").isNotNull() & F.col("_dp").isNotNull(), numeric.same_direction("_da", "_dp").cast("double"))
+    valid = a.isNotNull() & p.isNotNull()
+    before = F.last(F.when(valid, F.struct(a.alias("a"), p.alias("p"))), ignorenulls=True).over(past)
+    pairs = df.withColumn("_before", before)
+    error = F.when(valid, a - p)
+    changed = valid & F.col("_before").isNotNull()
+    hit = F.when(changed, numeric.same_direction(a - F.col("_before.a"), p - F.col("_before.p")).cast("double"))
     return pairs.groupBy(*group).agg(
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         (F.avg(F.when(a != 0, F.abs(error) / a)) * 100).alias("mape"),
         F.avg(hit).alias("directional_accuracy"),
-        F.count(F.lit(1)).alias("n_obs"),
+        F.count_if(valid).alias("n_obs"),
+        *extra,
     )
 
 

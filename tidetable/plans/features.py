@@ -67,13 +67,19 @@ def filled_features(
     time: str = "month",
     flag: bool = False,
 ) -> DataFrame:
-    """Extend each series to ``end``, fill seasonal columns from earlier years, carry the rest forward.
+    """Extend each series to ``end``, then :func:`fill_aligned`."""
+    return fill_aligned(calendar.align(features, key, time, end=end), seasonal, key, time, flag=flag)
+
+
+def fill_aligned(
+    df: DataFrame, seasonal: Sequence[str], key: Keys = "series_key", time: str = "month", *, flag: bool = False
+) -> DataFrame:
+    """Fill seasonal columns from earlier years, then carry every column forward.
 
     ``flag`` adds ``is_imputed`` for rows in which anything was filled.
     """
     keys = as_list(key)
-    measures = [c for c in features.columns if c not in (*keys, time)]
-    df = calendar.align(features, keys, time, end=end)
+    measures = [c for c in df.columns if c not in (*keys, time)]
     if flag:
         gap = F.col(measures[0]).isNull()
         for c in measures[1:]:
@@ -104,7 +110,8 @@ def future_features(
 
 
 def offline_features(
-    frames: Sequence[DataFrame],
+    own: Sequence[DataFrame],
+    shared: Sequence[DataFrame],
     target: DataFrame,
     lags: dict[str, int],
     seasonal: Sequence[str],
@@ -116,11 +123,19 @@ def offline_features(
 ) -> tuple[DataFrame, DataFrame]:
     """(history with target, future rows) from an outer join that is filled before it is lagged.
 
-    History keeps rows whose drivers were filled; ``is_imputed`` marks them.
+    ``own`` drivers differ per series, ``shared`` ones are one row per month.
+    The outer join of both, put on a calendar, is each series' calendar from the
+    first month of any driver on, with the shared drivers joined by month: they
+    are never copied per series.  History keeps rows whose drivers were filled;
+    ``is_imputed`` marks them.
     """
     keys = as_list(key)
-    joined = joins.join_all(frames, [*keys, time], "full")
-    filled = filled_features(joined, seasonal, end=end, key=keys, time=time, flag=True)
+    per_series = joins.join_all(own, [*keys, time], "full")
+    by_month = joins.join_all(shared, time, "full")
+    begin = by_month.agg(F.min(time)).scalar()
+    aligned = calendar.align(per_series.withColumn("_begin", begin), keys, time, start=F.col("_begin"), end=end)
+    joined = aligned.drop("_begin").join(by_month, time, "left")
+    filled = fill_aligned(joined, seasonal, keys, time, flag=True)
     lagged = windows.lag_map(filled, lags, keys, time, mode="positional", keep=["is_imputed"])
     complete = lagged.filter(F.col(time) >= start).na.drop(how="any")
     history = complete.join(target, [*keys, time], "inner")

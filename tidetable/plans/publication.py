@@ -19,9 +19,12 @@ def nominal_forecast(predictions: DataFrame, index: DataFrame, base: Column, *,
     """
     usable = predictions.na.drop(subset=["month", "prediction", "lower_bound", "upper_bound"])
     latest = panel.keep_last(usable, ["series_key", "month"], order)
-    index = index.filter(F.col("cpi").isNotNull()).select("month", "cpi")
-    dated = joins.require_matched(joins.as_of(latest, index, "cpi"), "cpi", "no index at or before a forecast month")
-    based = joins.with_base(dated, index, "cpi", base, name="base_cpi")
+    index = joins.with_base(index.filter(F.col("cpi").isNotNull()).select("month", "cpi"), "cpi", base, name="base_cpi")
+    pair = index.select("month", F.struct("cpi", "base_cpi").alias("index"))
+    dated = joins.as_of_calendar(latest, pair, "index")
+    based = joins.require_matched(dated, "index", "no index at or before a forecast month").select(
+        *latest.columns, "index.cpi", "index.base_cpi"
+    )
     return based.select(
         "series_key",
         "month",
@@ -42,21 +45,21 @@ def merged_series(actual: DataFrame, forecast: DataFrame, *, start: Column, orde
 
 
 def documents(merged: DataFrame, unit: Column | str = "kg") -> DataFrame:
-    """One row per series: header fields and the array of points; bounds only on forecasts."""
-    key = ["series_key"]
-    observed = merged.filter(~F.col("forecast"))
-    predicted = merged.filter(F.col("forecast"))
-    header = ranking.change_of_first_future(observed, predicted, key)
-    points = merged.groupBy(*key).agg(
-        nested.sorted_points(
-            dates.month_label("month").alias("date"),
-            F.round("price", 2).alias("price"),
-            "forecast",
-            nested.only_if("forecast", F.round("lower_bound", 2)).alias("lower_bound"),
-            nested.only_if("forecast", F.round("upper_bound", 2)).alias("upper_bound"),
-        ).alias("series")
+    """One row per series: header fields and the array of points; bounds only on forecasts.
+
+    Header and points come from one group-by, so the merged table is read once.
+    """
+    header = ranking.first_future_columns()
+    points = nested.sorted_points(
+        dates.month_label("month").alias("date"),
+        F.round("price", 2).alias("price"),
+        "forecast",
+        nested.only_if("forecast", F.round("lower_bound", 2)).alias("lower_bound"),
+        nested.only_if("forecast", F.round("upper_bound", 2)).alias("upper_bound"),
     )
-    return points.join(header, key, "left").select(
+    grouped = merged.groupBy("series_key").agg(points.alias("series"), *[a.alias(n) for n, a in header.items()])
+    found = ranking.first_future(grouped)
+    return found.select(
         F.col("series_key").alias("product"),
         (F.lit(unit) if isinstance(unit, str) else unit).alias("unit_label"),
         dates.month_name("prediction_month").alias("prediction_month"),

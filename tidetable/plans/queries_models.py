@@ -12,6 +12,7 @@ from tidetable.plans import roles
 from tidetable.plans.catalog import query, report
 from tidetable.plans.modelling import backtest_models
 from tidetable.plans.roles import BASE_MONTH, HORIZON_END, LAGS, START_MONTH, month, sql
+from tidetable.session import materialize
 
 YM = "strftime(month, '%Y-%m')"
 W = "OVER (PARTITION BY series_key ORDER BY month)"
@@ -186,11 +187,12 @@ def residual_band(spark, sf_dir):
     ),
 )
 def common_period_comparison(spark, sf_dir):
-    ceiling = windows.expanding(_price(spark, sf_dir), {"prediction": F.max("price")})
+    layer = roles.price_layer(spark, sf_dir).select("series_key", "month", "price")
+    ceiling = windows.expanding(layer, {"prediction": F.max("price")})
     other = backtest.test_rows(ceiling).filter(F.col("fold") > 5).select(
         "series_key", "fold", "step", "month", F.col("price").alias("actual"), F.lit("trailing_max").alias("model"), "prediction"
     )
-    stacked = _naive(spark, sf_dir).unionByName(other)
+    stacked = backtest.naive_backtest(layer, "price").unionByName(other)
     return report(backtest.compare_models(stacked, common_only=True).drop("n_folds"))
 
 
@@ -262,8 +264,7 @@ def seasonal_naive_score(spark, sf_dir):
 
 def _with_drivers(spark, sf_dir):
     """Prices with drivers on a regular calendar; drivers filled, the price left as it is."""
-    df = roles.features(spark, sf_dir).join(_price(spark, sf_dir), ["series_key", "month"])
-    aligned = calendar.align(df)
+    aligned = calendar.align(roles.feature_layer(spark, sf_dir))
     filled = windows.seasonal_fill(aligned, ["import_qty", "order_value"])
     return windows.forward_fill(filled, ["import_qty", "order_value", "discount", "tax"])
 
@@ -284,7 +285,8 @@ def driver_backtest(spark, sf_dir):
 def imputed_driver_backtest(spark, sf_dir):
     """Errors of the driver regression with known drivers beside those with imputed ones."""
     drivers = ("import_qty", "discount")
-    df = backtest.impute_drivers(_with_drivers(spark, sf_dir), ["import_qty"], ["discount"])
+    imputed = backtest.impute_drivers(_with_drivers(spark, sf_dir), ["import_qty"], ["discount"])
+    df = materialize(imputed, "imputed")
     known = regression.RegressionSpec("price", drivers, log_target=True)
     blind = regression.RegressionSpec(
         "price", drivers, log_target=True, predict_with={"import_qty": "import_qty_imputed", "discount": "discount_imputed"}
@@ -297,13 +299,14 @@ def imputed_driver_backtest(spark, sf_dir):
 
 @query("M5 A26")
 def regression_forecast(spark, sf_dir):
-    history = _with_drivers(spark, sf_dir)
     drivers = ["import_qty", "discount"]
-    extended = feature_plans.filled_features(
-        roles.features(spark, sf_dir).select("series_key", "month", *drivers), ["import_qty"], end=month(HORIZON_END)
-    )
-    last = _price(spark, sf_dir).groupBy("series_key").agg(F.max("month").alias("last"))
-    future = extended.join(last, "series_key").filter(F.col("month") > F.col("last")).drop("last")
+    layer = roles.feature_layer(spark, sf_dir)
+    extended = feature_plans.filled_features(layer.select("series_key", "month", "price", *drivers), ["import_qty"], end=month(HORIZON_END))
+    # the calendar fill of the price serves the months without sales inside the history only
+    last = layer.groupBy("series_key").agg(F.max("month").alias("last"))
+    dated = materialize(extended.join(last, "series_key"), "extended")
+    history = dated.filter(F.col("month") <= F.col("last")).drop("last")
+    future = dated.filter(F.col("month") > F.col("last")).drop("last", "price")
     spec = regression.RegressionSpec("price", tuple(drivers), log_target=True)
     return report(regression.forecast(history, future, spec), 4)
 
@@ -312,8 +315,9 @@ def regression_forecast(spark, sf_dir):
 
 
 def _tree_rows(spark, sf_dir):
-    gold = feature_plans.gold_features(roles.features(spark, sf_dir), _price(spark, sf_dir), LAGS, start=month(START_MONTH))
-    now = roles.features(spark, sf_dir)
+    layer = roles.feature_layer(spark, sf_dir)
+    now = layer.drop("price")
+    gold = feature_plans.gold_features(now, layer.select("series_key", "month", "price"), LAGS, start=month(START_MONTH))
     return trees.add_calendar_and_target_lags(gold.join(now, ["series_key", "month"]), "price")
 
 

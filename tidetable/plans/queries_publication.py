@@ -27,8 +27,8 @@ MERGED = f"""SELECT series_key, month, round(price, 2) AS price, FALSE AS foreca
 PUBLISHED = {"forecasts": FORECASTS, "nominal": NOMINAL, "merged": MERGED}
 
 
-def _forecasts(spark, sf_dir):
-    p = roles.prices(spark, sf_dir).filter(F.col("month") >= month("2000-09-01"))
+def _forecasts(prices):
+    p = prices.filter(F.col("month") >= month("2000-09-01"))
     final = p.select(
         "series_key",
         F.add_months("month", 12).alias("month"),
@@ -42,9 +42,9 @@ def _forecasts(spark, sf_dir):
 
 
 def _merged(spark, sf_dir):
-    prices = roles.prices(spark, sf_dir).filter(F.col("month") <= month(LAST_ACTUAL))
-    actual = prices.select("series_key", "month", F.round("price", 2).alias("price"), F.lit(1).alias("load_seq"))
-    nominal = publication.nominal_forecast(_forecasts(spark, sf_dir), roles.index(spark, sf_dir), month(BASE_MONTH))
+    prices = roles.price_layer(spark, sf_dir)
+    actual = prices.filter(F.col("month") <= month(LAST_ACTUAL)).select("series_key", "month", F.round("price", 2).alias("price"), F.lit(1).alias("load_seq"))
+    nominal = publication.nominal_forecast(_forecasts(prices), roles.index(spark, sf_dir), month(BASE_MONTH))
     return publication.merged_series(actual, nominal, start=month(START_MONTH))
 
 
@@ -53,7 +53,8 @@ def _merged(spark, sf_dir):
     sql(f"SELECT series_key, {YM} AS month, price, lower_bound, upper_bound, TRUE AS forecast FROM nominal", "prices", "cpi", forecasts=FORECASTS, nominal=NOMINAL),
 )
 def nominal_forecast(spark, sf_dir):
-    out = publication.nominal_forecast(_forecasts(spark, sf_dir), roles.index(spark, sf_dir), month(BASE_MONTH))
+    prices = roles.prices(spark, sf_dir)
+    out = publication.nominal_forecast(_forecasts(prices), roles.index(spark, sf_dir), month(BASE_MONTH))
     return report(out)
 
 
@@ -97,9 +98,7 @@ def app_document(spark, sf_dir):
     ),
 )
 def first_future_change(spark, sf_dir):
-    merged = _merged(spark, sf_dir)
-    out = ranking.change_of_first_future(merged.filter(~F.col("forecast")), merged.filter(F.col("forecast")))
-    return report(out)
+    return report(ranking.change_of_first_future(_merged(spark, sf_dir)))
 
 
 @query(

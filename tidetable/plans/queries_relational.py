@@ -11,6 +11,7 @@ from tidetable.plans import features as feature_plans
 from tidetable.plans import roles
 from tidetable.plans.catalog import query, report
 from tidetable.plans.roles import BASE_MONTH, HORIZON_END, REGION_WEIGHTS, REGIONS, START_MONTH, month, sql, table
+from tidetable.session import materialize
 
 YM = "strftime(month, '%Y-%m')"
 
@@ -163,9 +164,9 @@ def deflate(spark, sf_dir):
     ),
 )
 def reinflate_asof(spark, sf_dir):
-    index = roles.index(spark, sf_dir)
-    dated = joins.as_of(roles.prices(spark, sf_dir), index, "cpi")
-    based = joins.with_base(dated, index, "cpi", month(BASE_MONTH), name="base_cpi")
+    index = joins.with_base(roles.index(spark, sf_dir), "cpi", month(BASE_MONTH), name="base_cpi")
+    pair = index.select("month", F.struct("cpi", "base_cpi").alias("index"))
+    based = joins.as_of_calendar(roles.prices(spark, sf_dir), pair, "index").select("*", "index.*")
     return report(based.select("series_key", "month", "cpi", numeric.reinflate("price", "cpi", "base_cpi").alias("nominal")))
 
 
@@ -200,8 +201,7 @@ def asof_per_series(spark, sf_dir):
     ),
 )
 def rebase(spark, sf_dir):
-    index = roles.index(spark, sf_dir)
-    based = joins.with_base(index, index, "cpi", month("1998-01-01"), name="base_cpi")
+    based = joins.with_base(roles.index(spark, sf_dir), "cpi", month("1998-01-01"), name="base_cpi")
     df = roles.prices(spark, sf_dir).join(based, "month")
     return report(df.select("series_key", "month", numeric.deflate("price", "cpi", "base_cpi", 4).alias("rebased")))
 
@@ -440,7 +440,7 @@ def spine_align(spark, sf_dir):
     ),
 )
 def spine_join(spark, sf_dir):
-    df = roles.prices(spark, sf_dir).select("series_key", "month", "price")
+    df = roles.price_layer(spark, sf_dir).select("series_key", "month", "price")
     return report(spine(df, end=month(HORIZON_END)).join(df, ["series_key", "month"], "left"))
 
 
@@ -577,11 +577,8 @@ def compound_filter(spark, sf_dir):
 )
 def month_filters(spark, sf_dir):
     df = roles.prices(spark, sf_dir).select("series_key", "month", "price").filter(F.col("month") >= month(START_MONTH))
-    last = roles.index(spark, sf_dir).agg(F.max("month").alias("last"))
-    # one row by construction
-    dated = joins.lookup(df.withColumn("one", F.lit(1)), last.withColumn("one", F.lit(1)), "one")
-    later = F.col("month") > F.col("last")
-    return report(dated.filter(later | dates.month_label("month").startswith("1997-")).drop("one", "last"))
+    later = F.col("month") > roles.index(spark, sf_dir).agg(F.max("month")).scalar()
+    return report(df.filter(later | dates.month_label("month").startswith("1997-")))
 
 
 @query(
@@ -595,7 +592,7 @@ def month_filters(spark, sf_dir):
     ),
 )
 def drop_nulls(spark, sf_dir):
-    df = align(roles.spend(spark, sf_dir)).join(roles.index(spark, sf_dir), "month", "left")
+    df = materialize(align(roles.spend(spark, sf_dir)).join(roles.index(spark, sf_dir), "month", "left"), "aligned")
     whole, subset = df.na.drop(how="any"), df.na.drop(subset=["spend"])
     counted = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k, d in (("any", whole), ("subset", subset))]
     return report(joins.stack(counted))

@@ -10,6 +10,7 @@ from tidetable.plans import features as feature_plans
 from tidetable.plans import roles, studies
 from tidetable.plans.catalog import query, report
 from tidetable.plans.roles import HORIZON_END, LAGS, START_MONTH, month, sql
+from tidetable.session import materialize
 
 YM = "strftime(month, '%Y-%m')"
 W = "OVER (PARTITION BY series_key ORDER BY month)"
@@ -225,7 +226,9 @@ LAG_TABLE = "(SELECT 'discount' AS feature, 1 AS lag UNION ALL SELECT 'discount'
 )
 def lags_from_table(spark, sf_dir):
     long = roles.features(spark, sf_dir).unpivot(["series_key", "month"], ["discount", "tax"], "feature", "value")
-    lags = spark.createDataFrame([("discount", 1), ("discount", 12), ("tax", 7)], "feature string, lag int")
+    chosen = [("discount", 1), ("discount", 12), ("tax", 7)]
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(k).alias("lag")) for f, k in chosen])
+    lags = spark.range(1).select(F.inline(pairs))
     return report(windows.lags_from_table(long, lags))
 
 
@@ -266,8 +269,7 @@ DIFFED = f"""SELECT series_key, month, price - lag(price) {W} AS d_price, import
 
 
 def _changes(spark, sf_dir):
-    target = _price(spark, sf_dir)
-    df = roles.features(spark, sf_dir).join(target, ["series_key", "month"])
+    df = roles.features(spark, sf_dir, with_price=True)
     changed = windows.difference(df, ["price", "import_qty", "order_value"], suffix="")
     return changed.select("series_key", "month", "price", "import_qty", "order_value")
 
@@ -347,13 +349,9 @@ PAIRS = ", ".join(
     ),
 )
 def corr_matrix(spark, sf_dir):
-    df = roles.features(spark, sf_dir)
-    target = df.select("series_key", "month", "import_qty")
-    drivers = [roles.index(spark, sf_dir).withColumnRenamed("cpi", "order_value"), roles.rates(spark, sf_dir)]
-    joined = target
-    for d in drivers:
-        joined = joined.join(d, "month", "left")
-    return report(stats.correlation_matrix(joined, list(DRIVERS), "series_key"))
+    df = roles.feature_layer(spark, sf_dir)
+    target, drivers = df.select("series_key", "month", "import_qty"), df.drop("import_qty", "price")
+    return report(studies.correlation_overview(target, [drivers], list(DRIVERS)))
 
 
 @query(
@@ -366,7 +364,7 @@ def corr_matrix(spark, sf_dir):
     ),
 )
 def minmax(spark, sf_dir):
-    df = roles.prices(spark, sf_dir).select("series_key", "month", "price", "qty")
+    df = roles.price_layer(spark, sf_dir).select("series_key", "month", "price", "qty")
     target, driver = df.drop("qty"), df.drop("price")
     return report(studies.normalized_overlay(target, [driver], ["price", "qty"]).drop("price", "qty"))
 
@@ -380,7 +378,7 @@ def minmax(spark, sf_dir):
     ),
 )
 def zscore(spark, sf_dir):
-    df = _price(spark, sf_dir)
+    df = roles.price_layer(spark, sf_dir).select("series_key", "month", "price")
     scaler = stats.fit_scaler(df.filter(F.col("month") < month("2000-01-01")), ["price"])
     return report(stats.apply_scaler(df, scaler, ["price"]).drop("price"))
 
@@ -437,7 +435,7 @@ def stationarity_test(spark, sf_dir):
 
 @query("C12 X5")
 def lag_study(spark, sf_dir):
-    df = roles.features(spark, sf_dir).join(_price(spark, sf_dir), ["series_key", "month"])
+    df = roles.feature_layer(spark, sf_dir)
     return report(studies.lag_study(df, "price", ["import_qty", "order_value"], ["discount", "tax"]))
 
 
@@ -480,8 +478,9 @@ def peak_lag(spark, sf_dir):
     ),
 )
 def gold_features(spark, sf_dir):
-    out = feature_plans.gold_features(roles.features(spark, sf_dir), _price(spark, sf_dir), LAGS, start=month(START_MONTH))
-    return report(out)
+    layer = roles.feature_layer(spark, sf_dir)
+    target = layer.select("series_key", "month", "price")
+    return report(feature_plans.gold_features(layer.drop("price"), target, LAGS, start=month(START_MONTH)))
 
 
 FILLED = f"""SELECT series_key, month, last_value(q IGNORE NULLS) OVER b AS import_qty, last_value(v IGNORE NULLS) OVER b AS order_value,
@@ -509,9 +508,13 @@ LAGGED_FILL = f"""SELECT series_key, month, import_qty AS import_qty_lag_0, lag(
     ),
 )
 def future_features(spark, sf_dir):
+    monthly = materialize(roles.monthly_sales(spark, sf_dir), "sales")
+    own = monthly.select("series_key", "month", F.col("qty").alias("import_qty"))
+    values = roles.index(spark, sf_dir).withColumnRenamed("cpi", "order_value")
+    shared = roles.monthly_rates(monthly).join(values, "month")
     out = feature_plans.future_features(
-        roles.features(spark, sf_dir),
-        _price(spark, sf_dir),
+        own.join(shared, "month").select("series_key", "month", *DRIVERS),
+        roles.priced(monthly).select("series_key", "month", "price"),
         LAGS,
         ["import_qty", "order_value"],
         start=month(START_MONTH),
@@ -541,20 +544,13 @@ OUTER = """SELECT k.series_key, month, p.qty AS import_qty, c.cpi AS order_value
     ),
 )
 def offline_features(spark, sf_dir):
-    prices = roles.prices(spark, sf_dir)
-    quantity = prices.select("series_key", "month", F.col("qty").alias("import_qty"))
-    # drivers shared by all series take one copy per series: months times series, bounded by the result
-    series = prices.select("series_key").distinct()
-    every = F.sequence(F.lit(0), F.lit(0))
-
-    def per_series(df):
-        return series.withColumn("_one", F.explode(every)).join(F.broadcast(df.withColumn("_one", F.lit(0))), "_one").drop("_one")
-
-    values = per_series(roles.index(spark, sf_dir).withColumnRenamed("cpi", "order_value"))
-    rates = per_series(roles.rates(spark, sf_dir))
+    monthly = materialize(roles.monthly_sales(spark, sf_dir), "sales")
+    own = [monthly.select("series_key", "month", F.col("qty").alias("import_qty"))]
+    shared = [roles.index(spark, sf_dir).withColumnRenamed("cpi", "order_value"), roles.monthly_rates(monthly)]
     history, _ = feature_plans.offline_features(
-        [quantity, values, rates],
-        prices.select("series_key", "month", "price"),
+        own,
+        shared,
+        roles.priced(monthly).select("series_key", "month", "price"),
         LAGS,
         ["import_qty", "order_value"],
         start=month(START_MONTH),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidetable.functions import dates
 from tidetable.operators.joins import join_all, roll_up
+from tidetable.session import materialize
 
 BASE_MONTH = "1997-01-01"
 START_MONTH = "1996-01-01"
@@ -33,7 +34,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         "l_suppkey",
-        "l_returnflag",
+        "l_discount",
+        "l_tax",
         dates.month_start("l_shipdate").alias("month"),
         F.col("l_quantity").alias("qty"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
@@ -64,20 +66,36 @@ def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(series_key, month, qty, amount, price) per brand."""
-    sums = roll_up(
-        sales(spark, sf_dir),
-        [(brands(spark, sf_dir), {"l_partkey": "p_partkey"})],
-        ["series_key", "month"],
-        {"qty": F.col("qty"), "amount": F.col("amount")},
-    )
+def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums per brand and month from one pass over the lines; unused ones are pruned."""
+    sums = {
+        "qty": F.col("qty"),
+        "amount": F.col("amount"),
+        "discount": F.col("l_discount").cast("decimal(18,2)"),
+        "tax": F.col("l_tax").cast("decimal(18,2)"),
+        "n": F.lit(1),
+    }
+    dims = [(brands(spark, sf_dir), {"l_partkey": "p_partkey"})]
+    return roll_up(sales(spark, sf_dir), dims, ["series_key", "month"], sums)
+
+
+def priced(monthly: DataFrame) -> DataFrame:
     amount = F.col("amount").cast("double")
-    return sums.select(
+    return monthly.select(
         "series_key", "month", "qty", amount.alias("amount"), F.round(amount / F.col("qty"), 4).alias("price")
     )
 
 
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(series_key, month, qty, amount, price) per brand."""
+    return priced(monthly_sales(spark, sf_dir))
+
+
+def price_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`prices` written once, for plans that read it several times."""
+    return materialize(prices(spark, sf_dir), "prices")
+
+
 def partner_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(series_key, partner, month, qty): brand sales by the region of the supplier."""
     return roll_up(
@@ -120,13 +138,19 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(month, discount, tax) as means in percent."""
     rows = table(spark, sf_dir, "lineitem").select(
         dates.month_start("l_shipdate").alias("month"),
-        F.col("l_discount").cast("decimal(18,2)").alias("d"),
-        F.col("l_tax").cast("decimal(18,2)").alias("t"),
+        F.col("l_discount").cast("decimal(18,2)").alias("discount"),
+        F.col("l_tax").cast("decimal(18,2)").alias("tax"),
+        F.lit(1).alias("n"),
     )
-    n = F.count(F.lit(1))
+    return monthly_rates(rows)
+
+
+def monthly_rates(rows: DataFrame) -> DataFrame:
+    """From lines, or from sums of lines."""
+    n = F.sum("n")
     return rows.groupBy("month").agg(
-        F.round(F.sum("d").cast("double") / n * 100, 4).alias("discount"),
-        F.round(F.sum("t").cast("double") / n * 100, 4).alias("tax"),
+        F.round(F.sum("discount").cast("double") / n * 100, 4).alias("discount"),
+        F.round(F.sum("tax").cast("double") / n * 100, 4).alias("tax"),
     )
 
 
@@ -157,11 +181,22 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(series_key, month, import_qty, order_value, discount, tax) of months present in all inputs."""
-    quantity = prices(spark, sf_dir).select("series_key", "month", F.col("qty").alias("import_qty"))
+def features(spark: SparkSession, sf_dir: str, *, with_price: bool = False) -> DataFrame:
+    """(series_key, month, import_qty, order_value, discount, tax[, price]) of months present in all inputs.
+
+    Brand sums are written once; quantities, prices and rates all come from
+    them, so the lines are read once.
+    """
+    monthly = materialize(monthly_sales(spark, sf_dir), "sales")
+    own = priced(monthly).select("series_key", "month", F.col("qty").alias("import_qty"), *(["price"] if with_price else []))
     values = index(spark, sf_dir).withColumnRenamed("cpi", "order_value")
-    return join_all([quantity, values, rates(spark, sf_dir)], "month")
+    columns = ["series_key", "month", "import_qty", "order_value", "discount", "tax", *(["price"] if with_price else [])]
+    return join_all([own, values, monthly_rates(monthly)], "month").select(*columns)
+
+
+def feature_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`features` with the price, written once for plans that read it several times."""
+    return materialize(features(spark, sf_dir, with_price=True), "features")
 
 
 SQL = {
