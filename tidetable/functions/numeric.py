@@ -27,9 +27,19 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating})
 
 
+def hundredths(value: str | Column) -> Column:
+    """A two-decimal amount as a whole number of hundredths.
+
+    Sums of whole numbers do not depend on the order of addition, so a repeated
+    task gives the same result, and they stay in generated code, which a sum of
+    DECIMAL does not.  An overflow is an error under ANSI mode, never a wrong sum.
+    """
+    return F.rint(_c(value) * 100).cast("bigint")
+
+
 def money_sum(value: str | Column) -> Column:
-    """Sum of two-decimal amounts that does not depend on the order of addition."""
-    return F.sum(_c(value).cast("decimal(18,2)"))
+    """Aggregate: exact sum of two-decimal amounts as a DOUBLE."""
+    return F.sum(hundredths(value)) / F.lit(100.0)
 
 
 def null_to_zero(value: str | Column) -> Column:

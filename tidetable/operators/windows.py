@@ -133,16 +133,25 @@ def interpolate(
     """
     w = series_window(key, time)
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # looking ahead is looking back in reverse order: a growing frame costs one step per row
+    ahead = (
+        Window.partitionBy(*as_list(key))
+        .orderBy(F.col(time).desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    columns = list(columns)
     numbered = df.withColumn("_rn", F.row_number().over(w))
+    left, right = {}, {}
+    for i, c in enumerate(columns):
+        place = F.when(F.col(c).isNotNull(), F.col("_rn"))
+        left |= {f"_v0{i}": F.last(c, True).over(back), f"_n0{i}": F.last(place, True).over(back)}
+        right |= {f"_v1{i}": F.last(c, True).over(ahead), f"_n1{i}": F.last(place, True).over(ahead)}
     filled = {}
-    for c in columns:
-        point = F.when(F.col(c).isNotNull(), F.struct(F.col("_rn").alias("n"), F.col(c).alias("v")))
-        left, right = F.last(point, True).over(back), F.first(point, True).over(ahead)
-        share = (F.col("_rn") - left["n"]) / F.nullif(right["n"] - left["n"], F.lit(0))
-        line = left["v"] + (right["v"] - left["v"]) * share
-        filled[c] = F.coalesce(F.col(c), line, left["v"])
-    return numbered.withColumns(filled).drop("_rn")
+    for i, c in enumerate(columns):
+        v0, n0, v1, n1 = (F.col(f"{p}{i}") for p in ("_v0", "_n0", "_v1", "_n1"))
+        line = v0 + (v1 - v0) * ((F.col("_rn") - n0) / F.nullif(n1 - n0, F.lit(0)))
+        filled[c] = F.coalesce(F.col(c), line, v0)
+    return numbered.withColumns(left).withColumns(right).withColumns(filled).select(*df.columns)
 
 
 def number_rows(

@@ -388,7 +388,7 @@ def stream_daily(spark, sf_dir):
         stream.select(F.col("event_type").alias("series_key"), "ts", "value"),
         "series_key",
         "ts",
-        [F.count(F.lit(1)).alias("n"), numeric.money_sum("value").cast("double").alias("total")],
+        [F.count(F.lit(1)).alias("n"), numeric.money_sum("value").alias("total")],
     )
     path = new_folder(spark, "daily")
     loads.run_available(daily, new_folder(spark, "daily-state"), loads.append_to(path))

@@ -185,7 +185,7 @@ def asof_per_series(spark, sf_dir):
         table(spark, sf_dir, "orders")
         .filter(F.col("o_orderpriority") == "1-URGENT")
         .groupBy(F.col("o_custkey").alias("series_key"), dates.month_start("o_orderdate").alias("month"))
-        .agg(numeric.money_sum("o_totalprice").cast("double").alias("last_urgent"))
+        .agg(numeric.money_sum("o_totalprice").alias("last_urgent"))
     )
     out = joins.as_of(roles.spend(spark, sf_dir), urgent, "last_urgent", "series_key", unique_left=True)
     return report(out.select("series_key", "month", "spend", "last_urgent"))
@@ -503,11 +503,11 @@ def aggregate_then_join(spark, sf_dir):
 )
 def salted_join(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order"), "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("v")
+        F.col("l_orderkey").alias("order"), "l_linenumber", "l_extendedprice"
     )
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order"), F.col("o_orderpriority").alias("priority"))
     joined = joins.salted_join(lines, orders, "order")
-    return report(joined.groupBy("priority").agg(F.sum("v").cast("double").alias("amount"), F.count(F.lit(1)).alias("n")))
+    return report(joined.groupBy("priority").agg(numeric.money_sum("l_extendedprice").alias("amount"), F.count(F.lit(1)).alias("n")))
 
 
 # --- set operations -----------------------------------------------------------

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidetable.functions import dates
+from tidetable.functions import dates, numeric
 from tidetable.operators.joins import join_all, roll_up
 from tidetable.session import materialize
 
@@ -38,7 +38,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax",
         dates.month_start("l_shipdate").alias("month"),
         F.col("l_quantity").alias("qty"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        numeric.hundredths("l_extendedprice").alias("amount"),
     )
 
 
@@ -67,12 +67,12 @@ def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sums per brand and month from one pass over the lines; unused ones are pruned."""
+    """Sums per brand and month from one pass over the lines, money in hundredths; unused ones are pruned."""
     sums = {
         "qty": F.col("qty"),
         "amount": F.col("amount"),
-        "discount": F.col("l_discount").cast("decimal(18,2)"),
-        "tax": F.col("l_tax").cast("decimal(18,2)"),
+        "discount": numeric.hundredths("l_discount"),
+        "tax": numeric.hundredths("l_tax"),
         "n": F.lit(1),
     }
     dims = [(brands(spark, sf_dir), {"l_partkey": "p_partkey"})]
@@ -80,7 +80,7 @@ def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def priced(monthly: DataFrame) -> DataFrame:
-    amount = F.col("amount").cast("double")
+    amount = F.col("amount") / F.lit(100.0)
     return monthly.select(
         "series_key", "month", "qty", amount.alias("amount"), F.round(amount / F.col("qty"), 4).alias("price")
     )
@@ -112,9 +112,9 @@ def partner_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(month, cpi): mean order value, in thousands."""
     orders = table(spark, sf_dir, "orders").select(
-        dates.month_start("o_orderdate").alias("month"), F.col("o_totalprice").cast("decimal(18,2)").alias("v")
+        dates.month_start("o_orderdate").alias("month"), "o_totalprice"
     )
-    mean = F.sum("v").cast("double") / F.count(F.lit(1))
+    mean = numeric.money_sum("o_totalprice") / F.count(F.lit(1))
     return orders.groupBy("month").agg(F.round(mean / 1000, 4).alias("cpi"))
 
 
@@ -123,7 +123,7 @@ def regional_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey",
         dates.month_start("o_orderdate").alias("month"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("v"),
+        numeric.hundredths("o_totalprice").alias("v"),
     )
     sums = roll_up(
         orders,
@@ -131,26 +131,26 @@ def regional_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["state", "month"],
         {"v": F.col("v"), "n": F.lit(1)},
     )
-    return sums.select("state", "month", F.round(F.col("v").cast("double") / F.col("n") / 1000, 4).alias("mean_c"), "n")
+    return sums.select("state", "month", F.round(F.col("v") / F.lit(100.0) / F.col("n") / 1000, 4).alias("mean_c"), "n")
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(month, discount, tax) as means in percent."""
     rows = table(spark, sf_dir, "lineitem").select(
         dates.month_start("l_shipdate").alias("month"),
-        F.col("l_discount").cast("decimal(18,2)").alias("discount"),
-        F.col("l_tax").cast("decimal(18,2)").alias("tax"),
+        numeric.hundredths("l_discount").alias("discount"),
+        numeric.hundredths("l_tax").alias("tax"),
         F.lit(1).alias("n"),
     )
     return monthly_rates(rows)
 
 
 def monthly_rates(rows: DataFrame) -> DataFrame:
-    """From lines, or from sums of lines."""
+    """From lines, or from sums of lines, with both measures in hundredths."""
     n = F.sum("n")
     return rows.groupBy("month").agg(
-        F.round(F.sum("discount").cast("double") / n * 100, 4).alias("discount"),
-        F.round(F.sum("tax").cast("double") / n * 100, 4).alias("tax"),
+        F.round(F.sum("discount") / F.lit(100.0) / n * 100, 4).alias("discount"),
+        F.round(F.sum("tax") / F.lit(100.0) / n * 100, 4).alias("tax"),
     )
 
 
@@ -161,10 +161,10 @@ def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("o_custkey").alias("series_key"),
             dates.month_start("o_orderdate").alias("month"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("v"),
+            "o_totalprice",
         )
         .groupBy("series_key", "month")
-        .agg(F.sum("v").cast("double").alias("spend"))
+        .agg(numeric.money_sum("o_totalprice").alias("spend"))
     )
 
 
