@@ -42,6 +42,17 @@ def money_sum(value: str | Column) -> Column:
     return F.sum(hundredths(value)) / F.lit(100.0)
 
 
+def whole_ratio(top: str | Column, bottom: str | Column, digits: int) -> Column:
+    """Ratio of non-negative whole numbers, rounded half up without a floating step.
+
+    A tie stays a tie, where a binary quotient may fall on either side of it.
+    """
+    unit = 10**digits
+    t, b = (_c(x).cast("decimal(26,0)") for x in (top, bottom))
+    units = F.floor(F.try_divide(t * (2 * unit) + b, b * 2))
+    return units.cast("double") / F.lit(float(unit))
+
+
 def null_to_zero(value: str | Column) -> Column:
     """NULL and NaN as 0."""
     return F.coalesce(F.nanvl(_c(value), F.lit(None).cast("double")), F.lit(0.0))

@@ -52,6 +52,16 @@ def distinct_count(df: DataFrame, column: str, key: Keys = (), *, approximate: b
     return df.groupBy(*as_list(key)).agg(agg) if as_list(key) else df.agg(agg)
 
 
+def pearson(x: str, y: str) -> Column:
+    """Aggregate: correlation of complete pairs, NULL when a side has no spread.
+
+    Spark's own ``corr`` divides by zero there, which ANSI mode turns into an error.
+    """
+    sx = F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x)))
+    sy = F.stddev_pop(F.when(F.col(x).isNotNull(), F.col(y)))
+    return numeric.ratio(F.covar_pop(x, y), sx * sy)
+
+
 def lag_correlation(
     df: DataFrame,
     target: str,
@@ -79,7 +89,7 @@ def lag_correlation(
     ]
     rows = df.select(*keys, F.col(target).alias("_y"), F.array(*lagged).alias("_cells"))
     rows = rows.select(*keys, "_y", F.inline("_cells"))
-    corr = numeric.null_to_zero(F.corr("x", "_y"))
+    corr = numeric.null_to_zero(pearson("x", "_y"))
     if digits is not None:
         corr = F.round(corr, digits)
     return rows.groupBy(*keys, "feature", "lag").agg(corr.alias("correlation"))
@@ -144,7 +154,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], key: Keys = ()) ->
     keys, columns = as_list(key), list(columns)
     complete = df.select(*keys, *columns).na.drop(subset=columns)
     pairs = list(combinations(columns, 2))
-    aggs = [F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
+    aggs = [pearson(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)]
     one = complete.groupBy(*keys).agg(*aggs) if keys else complete.agg(*aggs)
 
     def cell(a: str, b: str, r: Column) -> Column:
@@ -152,7 +162,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], key: Keys = ()) ->
 
     cells = [cell(c, c, F.lit(1.0)) for c in columns]
     for i, (a, b) in enumerate(pairs):
-        r = F.nanvl(F.col(f"_c{i}"), F.lit(None).cast("double"))
+        r = F.col(f"_c{i}")
         cells += [cell(a, b, r), cell(b, a, r)]
     return one.select(*keys, F.inline(F.array(*cells)))
 

@@ -82,7 +82,7 @@ def monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def priced(monthly: DataFrame) -> DataFrame:
     amount = F.col("amount") / F.lit(100.0)
     return monthly.select(
-        "series_key", "month", "qty", amount.alias("amount"), F.round(amount / F.col("qty"), 4).alias("price")
+        "series_key", "month", "qty", amount.alias("amount"), numeric.whole_ratio("amount", F.col("qty") * 100, 4).alias("price")
     )
 
 
@@ -112,10 +112,9 @@ def partner_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(month, cpi): mean order value, in thousands."""
     orders = table(spark, sf_dir, "orders").select(
-        dates.month_start("o_orderdate").alias("month"), "o_totalprice"
+        dates.month_start("o_orderdate").alias("month"), numeric.hundredths("o_totalprice").alias("v")
     )
-    mean = numeric.money_sum("o_totalprice") / F.count(F.lit(1))
-    return orders.groupBy("month").agg(F.round(mean / 1000, 4).alias("cpi"))
+    return orders.groupBy("month").agg(numeric.whole_ratio(F.sum("v"), F.count(F.lit(1)) * 100000, 4).alias("cpi"))
 
 
 def regional_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +130,7 @@ def regional_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["state", "month"],
         {"v": F.col("v"), "n": F.lit(1)},
     )
-    return sums.select("state", "month", F.round(F.col("v") / F.lit(100.0) / F.col("n") / 1000, 4).alias("mean_c"), "n")
+    return sums.select("state", "month", numeric.whole_ratio("v", F.col("n") * 100000, 4).alias("mean_c"), "n")
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,8 +148,8 @@ def monthly_rates(rows: DataFrame) -> DataFrame:
     """From lines, or from sums of lines, with both measures in hundredths."""
     n = F.sum("n")
     return rows.groupBy("month").agg(
-        F.round(F.sum("discount") / F.lit(100.0) / n * 100, 4).alias("discount"),
-        F.round(F.sum("tax") / F.lit(100.0) / n * 100, 4).alias("tax"),
+        numeric.whole_ratio(F.sum("discount"), n, 4).alias("discount"),
+        numeric.whole_ratio(F.sum("tax"), n, 4).alias("tax"),
     )
 
 
@@ -199,25 +198,33 @@ def feature_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(features(spark, sf_dir, with_price=True), "features")
 
 
+def _whole(top: str, bottom: str) -> str:
+    """SQL twin of ``whole_ratio`` with four digits."""
+    return f"CAST((20000 * {top} + {bottom}) // (2 * {bottom}) AS DOUBLE) / 10000.0"
+
+
+def _hundredths(column: str) -> str:
+    return f"sum(CAST(round({column} * 100) AS BIGINT))"
+
+
 SQL = {
-    "prices": """SELECT p_brand AS series_key, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+    "prices": f"""SELECT p_brand AS series_key, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
         sum(l_quantity) AS qty, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount,
-        round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / sum(l_quantity), 4) AS price
+        {_whole(_hundredths('l_extendedprice'), '(100 * CAST(sum(l_quantity) AS BIGINT))')} AS price
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
     "partner_quantities": """SELECT p_brand AS series_key, r_name AS partner,
         CAST(date_trunc('month', l_shipdate) AS DATE) AS month, sum(l_quantity) AS qty
         FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3""",
-    "cpi": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-        round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000, 4) AS cpi
+    "cpi": f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+        {_whole(_hundredths('o_totalprice'), '(100000 * count(*))')} AS cpi
         FROM orders GROUP BY 1""",
-    "regional": """SELECT r_name AS state, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-        round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000, 4) AS mean_c, count(*) AS n
+    "regional": f"""SELECT r_name AS state, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+        {_whole(_hundredths('o_totalprice'), '(100000 * count(*))')} AS mean_c, count(*) AS n
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""",
-    "rates": """SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
-        round(CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / count(*) * 100, 4) AS discount,
-        round(CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) / count(*) * 100, 4) AS tax FROM lineitem GROUP BY 1""",
+    "rates": f"""SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+        {_whole(_hundredths('l_discount'), 'count(*)')} AS discount, {_whole(_hundredths('l_tax'), 'count(*)')} AS tax FROM lineitem GROUP BY 1""",
     "spend": """SELECT o_custkey AS series_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spend FROM orders GROUP BY 1, 2""",
     "readings": """SELECT event_type AS series_key, CAST(ts AS DATE) AS day, user_id, value, event_id, ts, props FROM events""",

@@ -74,7 +74,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a DataFrame, or None where it is not exposed."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 
