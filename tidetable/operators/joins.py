@@ -94,10 +94,11 @@ def salted_join(
 
     A frequent-items sketch finds the keys above ``hot_share`` of all left rows
     in one pass without a shuffle; there are at most ``1 / hot_share`` of them,
-    so their list fits a scalar subquery.  Left rows of a hot key get a salt from
-    a hash of the row, which a repeated task computes alike, and right rows of a
-    hot key are copied once per salt.  All other keys keep salt 0, so a key the
-    sketch wrongly lists or misses changes the speed only.
+    so their hashes come back as one short list.  Without hot keys the join is a
+    plain one.  Left rows of a hot key get a salt from a hash of the row, which a
+    repeated task computes alike, and right rows of a hot key are copied once per
+    salt.  All other keys keep salt 0, so a key the sketch wrongly lists or
+    misses changes the speed only.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins can be salted on the left side")
@@ -107,15 +108,15 @@ def salted_join(
     most = int(1 / hot_share)
     key = F.xxhash64(*on)
     found = left.select(key.alias("_k")).agg(
-        F.expr(f"approx_top_k(_k, {most}, {most * 100})").alias("_top"), F.count(F.lit(1)).alias("_n")
+        F.expr(f"approx_top_k(_k, {most}, {most * 100})").alias("top"), F.count(F.lit(1)).alias("n")
     )
-    hot = found.select(
-        F.transform(F.filter("_top", lambda t: t["count"] > F.col("_n") * hot_share), lambda t: t["item"])
-    ).scalar()
-    is_hot = F.coalesce(F.array_contains(hot, key), F.lit(False))
+    one = found.first()
+    hot = [t["item"] for t in one["top"] or [] if t["count"] > one["n"] * hot_share]
+    if not hot:
+        return left.join(right, on, how)
     row_salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    left = left.withColumn("_salt", F.when(is_hot, row_salt).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = left.withColumn("_salt", F.when(key.isin(hot), row_salt).otherwise(F.lit(0)))
+    copies = F.when(key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = right.withColumn("_salts", copies).withColumn("_salt", F.explode("_salts")).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 

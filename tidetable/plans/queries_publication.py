@@ -9,6 +9,7 @@ from tidetable.operators import incremental, ranking
 from tidetable.plans import publication, roles
 from tidetable.plans.catalog import query, report
 from tidetable.plans.roles import BASE_MONTH, START_MONTH, month, sql, table
+from tidetable.session import materialize
 
 YM = "strftime(month, '%Y-%m')"
 LAST_ACTUAL = "2001-10-01"
@@ -53,7 +54,7 @@ def _merged(spark, sf_dir):
     sql(f"SELECT series_key, {YM} AS month, price, lower_bound, upper_bound, TRUE AS forecast FROM nominal", "prices", "cpi", forecasts=FORECASTS, nominal=NOMINAL),
 )
 def nominal_forecast(spark, sf_dir):
-    prices = roles.prices(spark, sf_dir)
+    prices = roles.price_layer(spark, sf_dir)
     out = publication.nominal_forecast(_forecasts(prices), roles.index(spark, sf_dir), month(BASE_MONTH))
     return report(out)
 
@@ -239,7 +240,7 @@ def newest_period(spark, sf_dir):
 )
 def latest_common(spark, sf_dir):
     months = roles.index(spark, sf_dir).filter(F.col("cpi") >= 150)
-    spend = roles.spend(spark, sf_dir)
+    spend = materialize(roles.spend(spark, sf_dir), "spend")
     # the index has no series: every month of it counts for each series
     usable = spend.join(months.select("month"), "month", "left_semi")
     return report(incremental.latest_common(spend, usable))

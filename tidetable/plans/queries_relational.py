@@ -309,10 +309,9 @@ def inner_nway(spark, sf_dir):
     ),
 )
 def renamed_join(spark, sf_dir):
-    target = panel.rename(
-        roles.prices(spark, sf_dir).select("series_key", "month", "price"), {"month": "ref_date", "price": "unit_price"}
-    )
-    asia = roles.partner_quantities(spark, sf_dir).filter(F.col("partner") == "ASIA")
+    prices, partners = roles.prices_and_partners(spark, sf_dir)
+    target = panel.rename(prices.select("series_key", "month", "price"), {"month": "ref_date", "price": "unit_price"})
+    asia = partners.filter(F.col("partner") == "ASIA")
     asia = panel.rename(asia.select("series_key", "month", "qty"), {"series_key": "brand", "qty": "asia_qty"})
     out = joins.join_renamed(target, asia, {"series_key": "brand", "ref_date": "month"})
     return report(out.withColumn("ref_date", dates.month_label("ref_date")))
@@ -329,20 +328,24 @@ def renamed_join(spark, sf_dir):
     ),
 )
 def left_chain(spark, sf_dir):
-    frames = [roles.prices(spark, sf_dir).select("series_key", "month", "price"), roles.index(spark, sf_dir), roles.rates(spark, sf_dir)]
+    monthly = materialize(roles.monthly_sales(spark, sf_dir), "sales")
+    target = roles.priced(monthly).select("series_key", "month", "price")
+    frames = [target, roles.index(spark, sf_dir), roles.monthly_rates(monthly)]
     return report(joins.join_all(frames, "month", "left"))
 
 
 FLAGS = "SELECT o_custkey AS series_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n{f} FROM orders WHERE o_orderstatus = '{f}' GROUP BY 1, 2"
 
 
-def _status_counts(spark, sf_dir, status):
-    return (
+def _status_tables(spark, sf_dir, *statuses):
+    """Order counts per customer and month, one table per status, from one pass over the orders."""
+    counts = (
         table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == status)
-        .groupBy(F.col("o_custkey").alias("series_key"), dates.month_start("o_orderdate").alias("month"))
-        .agg(F.count(F.lit(1)).alias(f"n{status}"))
+        .groupBy(F.col("o_custkey").alias("series_key"), dates.month_start("o_orderdate").alias("month"), F.col("o_orderstatus").alias("status"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    layer = materialize(counts, "statuses")
+    return [layer.filter(F.col("status") == s).select("series_key", "month", F.col("n").alias(f"n{s}")) for s in statuses]
 
 
 @query(
@@ -356,7 +359,7 @@ def _status_counts(spark, sf_dir, status):
     ),
 )
 def full_outer_nway(spark, sf_dir):
-    frames = [_status_counts(spark, sf_dir, s) for s in ("F", "O", "P")]
+    frames = _status_tables(spark, sf_dir, "F", "O", "P")
     return report(joins.join_all(frames, ["series_key", "month"], "full").na.fill(0, ["nF", "nO", "nP"]))
 
 
@@ -371,8 +374,9 @@ def full_outer_nway(spark, sf_dir):
     ),
 )
 def anti_override(spark, sf_dir):
-    actual = _status_counts(spark, sf_dir, "F").withColumnRenamed("nF", "n").withColumn("kind", F.lit("F"))
-    other = _status_counts(spark, sf_dir, "O").withColumnRenamed("nO", "n").withColumn("kind", F.lit("O"))
+    final, opened = _status_tables(spark, sf_dir, "F", "O")
+    actual = final.withColumnRenamed("nF", "n").withColumn("kind", F.lit("F"))
+    other = opened.withColumnRenamed("nO", "n").withColumn("kind", F.lit("O"))
     other = other.withColumn("bound", F.col("n").cast("double") * 2)
     out = joins.override(actual, other, ["series_key", "month"])
     return report(out.select("series_key", "month", "n", "bound", "kind"))
@@ -390,8 +394,9 @@ def anti_override(spark, sf_dir):
 )
 def semi_months(spark, sf_dir):
     on = ["series_key", "month"]
-    both = joins.common_keys(_status_counts(spark, sf_dir, "O"), _status_counts(spark, sf_dir, "P"), on)
-    return report(joins.restrict_to_common(_status_counts(spark, sf_dir, "F"), both, on).withColumnRenamed("nF", "n"))
+    final, opened, partial = _status_tables(spark, sf_dir, "F", "O", "P")
+    both = joins.common_keys(opened, partial, on)
+    return report(joins.restrict_to_common(final, both, on).withColumnRenamed("nF", "n"))
 
 
 @query(
@@ -453,8 +458,8 @@ def spine_join(spark, sf_dir):
     ),
 )
 def coalesce_sources(spark, sf_dir):
-    first = _status_counts(spark, sf_dir, "F").withColumnRenamed("nF", "n")
-    second = _status_counts(spark, sf_dir, "O").withColumnRenamed("nO", "n")
+    first, second = _status_tables(spark, sf_dir, "F", "O")
+    first, second = first.withColumnRenamed("nF", "n"), second.withColumnRenamed("nO", "n")
     return report(joins.fill_from(first, second, ["series_key", "month"]))
 
 
@@ -490,9 +495,9 @@ def aligned_series(spark, sf_dir):
     ),
 )
 def aggregate_then_join(spark, sf_dir):
-    partners = roles.partner_quantities(spark, sf_dir).filter(F.col("partner").isin("ASIA", "EUROPE"))
-    total = partners.groupBy("series_key", "month").agg(F.sum("qty").alias("qty"))
-    target = roles.prices(spark, sf_dir).select("series_key", "month", "price")
+    prices, partners = roles.prices_and_partners(spark, sf_dir)
+    total = partners.filter(F.col("partner").isin("ASIA", "EUROPE")).groupBy("series_key", "month").agg(F.sum("qty").alias("qty"))
+    target = prices.select("series_key", "month", "price")
     return report(joins.join_all([target, total], ["series_key", "month"], "left"))
 
 
@@ -538,7 +543,8 @@ def union_all(spark, sf_dir):
     ),
 )
 def month_sets(spark, sf_dir):
-    cpi, rates = roles.index(spark, sf_dir), roles.rates(spark, sf_dir)
+    cpi = materialize(roles.index(spark, sf_dir), "index")
+    rates = materialize(roles.rates(spark, sf_dir), "rates")
     anywhere = joins.union_distinct_keys([cpi, rates], "month").withColumn("kind", F.lit("any"))
     ahead = joins.keys_only_in(rates, cpi, "month").withColumn("kind", F.lit("ahead"))
     return report(anywhere.unionByName(ahead))

@@ -96,8 +96,8 @@ def price_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(prices(spark, sf_dir), "prices")
 
 
-def partner_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(series_key, partner, month, qty): brand sales by the region of the supplier."""
+def partner_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(series_key, partner, month, qty, amount): brand sales by the region of the supplier."""
     return roll_up(
         sales(spark, sf_dir),
         [
@@ -105,10 +105,21 @@ def partner_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
             (supplier_regions(spark, sf_dir), {"l_suppkey": "s_suppkey"}),
         ],
         ["series_key", "partner", "month"],
-        {"qty": F.col("qty")},
+        {"qty": F.col("qty"), "amount": F.col("amount")},
     )
 
 
+def partner_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partner_sales(spark, sf_dir).drop("amount")
+
+
+def prices_and_partners(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Prices and partner quantities from one pass over the lines."""
+    layer = materialize(partner_sales(spark, sf_dir), "partners")
+    monthly = layer.groupBy("series_key", "month").agg(F.sum("qty").alias("qty"), F.sum("amount").alias("amount"))
+    return priced(monthly), layer.drop("amount")
+
+
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(month, cpi): mean order value, in thousands."""
     orders = table(spark, sf_dir, "orders").select(
