@@ -367,7 +367,7 @@ def latest_snapshot(spark, sf_dir):
 @query("S17", sql("SELECT DISTINCT year(month) AS year, 1 AS n_files, TRUE AS is_single FROM spend", "spend"))
 def exactly_one_file(spark, sf_dir):
     path = new_folder(spark, "single")
-    tables.write_by_year(roles.spend(spark, sf_dir), path)
+    tables.write_by_year(roles.spend(spark, sf_dir), path, files_per_year=1)
     return report(tables.file_counts(tables.require_single_file(spark.read.parquet(path), "year"), "year"))
 
 

@@ -48,26 +48,35 @@ def stored_partitions(spark: SparkSession, path: str, partition: str = "year") -
     return spark.read.parquet(path).select(partition).distinct()
 
 
-def write_by_year(df: DataFrame, path: str, time: str = "month", *, files_per_year: int = 1, mode: str = "overwrite") -> None:
+def _near(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a directory brought together for writing.
+
+    A rebalance, not a repartition: adaptive execution splits a directory that
+    is too large for one task and joins small ones, so a small year is one file
+    and a huge one many.
+    """
+    return df.hint("rebalance", *columns)
+
+
+def write_by_year(df: DataFrame, path: str, time: str = "month", *, files_per_year: int | None = None, mode: str = "overwrite") -> None:
     """Parquet partitioned by year.
 
-    Rows are sent to ``files_per_year`` tasks per year by a hash of the row, so
-    a year can be split over many writers instead of passing through one.
+    A fixed ``files_per_year`` sends the rows of a year to that many writers by a
+    hash of the row; 1 suits small tables whose readers insist on a single file.
     """
     rows = df.withColumn("year", F.year(time))
-    if files_per_year > 1:
-        rows = rows.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_year)))
-        rows = rows.repartition("year", "_part").drop("_part")
+    if files_per_year is None:
+        rows = _near(rows, "year")
     else:
-        rows = rows.repartition("year")
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_year))
+        rows = rows.withColumn("_part", part).repartition("year", "_part").drop("_part")
     rows.write.mode(mode).partitionBy("year").parquet(path)
 
 
 def replace_years(df: DataFrame, path: str, time: str = "month") -> None:
     """Overwrite only the year partitions that occur in ``df``."""
     (
-        df.withColumn("year", F.year(time))
-        .repartition("year")
+        _near(df.withColumn("year", F.year(time)), "year")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
@@ -121,7 +130,7 @@ def write_raw_periods(points: DataFrame, path: str, time: str = "month") -> None
     """Raw points split into ``year=/month=`` directories; stored periods are replaced, others stay."""
     rows = points.withColumns({"year": F.year(time), "month_no": F.month(time)})
     (
-        rows.repartition("year", "month_no")
+        _near(rows, "year", "month_no")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month_no")
