@@ -38,21 +38,25 @@ def unit_price(spark, sf_dir):
 @query(
     "A4 A5 A6",
     sql(
-        """SELECT series_key, strftime(day, '%Y-%m-%d') AS day, round(avg(v), 6) AS mean_value,
-        round(avg(CASE WHEN v > 0 THEN v END), 6) AS mean_positive, round(max(v), 6) AS max_value, count(*) AS n
-        FROM (SELECT series_key, day, user_id, avg(value) AS v FROM readings GROUP BY 1, 2, 3) GROUP BY 1, 2""",
+        """SELECT series_key, strftime(day, '%Y-%m-%d') AS day, CAST((20000 * sum(v) + 100 * count(*)) // (200 * count(*)) AS DOUBLE) / 10000.0 AS mean_value,
+        CAST((20000 * sum(CASE WHEN v > 1000 THEN v END) + 100 * count(CASE WHEN v > 1000 THEN v END))
+             // (200 * count(CASE WHEN v > 1000 THEN v END)) AS DOUBLE) / 10000.0 AS mean_large, max(v) / 100.0 AS max_value, count(*) AS n
+        FROM (SELECT series_key, day, user_id, (200 * sum(h) + 100 * count(*)) // (200 * count(*)) AS v FROM
+        (SELECT series_key, day, user_id, CAST(round(value * 100) AS BIGINT) AS h FROM readings) GROUP BY 1, 2, 3) GROUP BY 1, 2""",
         "readings",
     ),
 )
 def national_mean(spark, sf_dir):
-    cities = (
-        roles.readings(spark, sf_dir).groupBy("series_key", "day", "user_id").agg(F.avg("value").alias("v"))
-    )
+    """Mean of user means, in whole hundredths so that ties round alike in any order of addition."""
+    one = F.count(F.lit(1))
+    mean = numeric.whole_ratio(F.sum(numeric.hundredths("value")), one * 100, 2)
+    cities = roles.readings(spark, sf_dir).groupBy("series_key", "day", "user_id").agg(mean.alias("v"))
+    large = F.when(F.col("v") > 10, numeric.hundredths("v"))
     out = cities.groupBy("series_key", "day").agg(
-        F.avg("v").alias("mean_value"),
-        F.avg(F.when(F.col("v") > 0, F.col("v"))).alias("mean_positive"),
+        numeric.whole_ratio(F.sum(numeric.hundredths("v")), one * 100, 4).alias("mean_value"),
+        numeric.whole_ratio(F.sum(large), F.count(large) * 100, 4).alias("mean_large"),
         F.max("v").alias("max_value"),
-        F.count(F.lit(1)).alias("n"),
+        one.alias("n"),
     )
     return report(out)
 
