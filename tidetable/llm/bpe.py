@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +26,7 @@ from tidetable.llm.scan import token_starts
 #: Distinct slices that a worker remembers, and the longest one; beyond that it starts again.
 CACHE_ENTRIES, CACHE_CHARS = 600_000, 64
 _SHORT = 48
+BatchMap = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -168,14 +169,8 @@ def _number_type(packed: bool) -> T.DataType:
     return T.BinaryType() if packed else T.ArrayType(T.IntegerType())
 
 
-def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, keep: list[str] | None = None) -> DataFrame:
-    """``df`` (or its ``keep`` columns) with ``ids`` and ``offsets``, the byte at which each token starts.
-
-    Special strings of the vocabulary are ordinary text here.  ``packed`` gives binary columns of 32-bit numbers.
-    """
-    source = df.select(*dict.fromkeys([*(keep if keep is not None else df.columns), text]))
-    rest = source if keep is None or text in keep else source.drop(text)
-    names = rest.columns
+def encoding(path: str, keep: list[str], text: str = "text", packed: bool = False) -> BatchMap:
+    """What ``encode`` does to the batches of one task; such functions can be chained within a task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, cache = vocabulary(path), packed_cache(path)
@@ -191,9 +186,20 @@ def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, k
                 begins = ends - vocab.lengths[ids]
                 own = np.concatenate((begins, [ends[-1] if len(ends) else 0]))[bounds]
                 begins = begins - np.repeat(own[:-1], np.diff(bounds))
-                part = batch.slice(a, b - a).select(names)
+                part = batch.slice(a, b - a).select(keep)
                 yield _replace(part, {"ids": _numbers(ids, bounds, packed), "offsets": _numbers(begins, bounds, packed)})
 
+    return work
+
+
+def encode(df: DataFrame, path: str, text: str = "text", packed: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its ``keep`` columns) with ``ids`` and ``offsets``, the byte at which each token starts.
+
+    Special strings of the vocabulary are ordinary text here.  ``packed`` gives binary columns of 32-bit numbers.
+    """
+    source = df.select(*dict.fromkeys([*(keep if keep is not None else df.columns), text]))
+    rest = source if keep is None or text in keep else source.drop(text)
+    work = encoding(path, rest.columns, text, packed)
     kind = _number_type(packed)
     return source.mapInArrow(work, _with(rest, [T.StructField("ids", kind), T.StructField("offsets", kind)]))
 
@@ -223,8 +229,8 @@ def decode_rows(vocab: Vocabulary, ids: np.ndarray, offsets: np.ndarray, bounds:
     return out
 
 
-def decode(df: DataFrame, path: str, output: str = "decoded") -> DataFrame:
-    """``df``, which ``encode`` made, with the bytes of each row's ids in ``output``; null ids decode to nothing."""
+def decoding(path: str, output: str = "decoded") -> BatchMap:
+    """What ``decode`` does to the batches of one task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
@@ -235,4 +241,9 @@ def decode(df: DataFrame, path: str, output: str = "decoded") -> DataFrame:
                 offsets, _ = unpack(part.column(part.schema.names.index("offsets")))
                 yield _replace(part, {output: pa.array(decode_rows(vocab, ids, offsets, bounds), pa.binary())})
 
-    return df.mapInArrow(work, _with(df, [T.StructField(output, T.BinaryType())]))
+    return work
+
+
+def decode(df: DataFrame, path: str, output: str = "decoded") -> DataFrame:
+    """``df``, which ``encode`` made, with the bytes of each row's ids in ``output``; null ids decode to nothing."""
+    return df.mapInArrow(decoding(path, output), _with(df, [T.StructField(output, T.BinaryType())]))

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidetable.llm import bpe, token_counts
-from tidetable.llm.common import table
+from tidetable.llm import bpe, language, packing, quality, token_counts
+from tidetable.llm.common import held_out, table
 
 BPE_JSON = "byte_bpe_50k.json"
 BPE_RANKS = "byte_bpe_50k.tiktoken"
@@ -37,21 +37,43 @@ def _text_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def op1_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the rows outside fold 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
+    model = language.fit(docs.where(~F.col("held_out")), "text", "lang", "doc_id")
+    return language.predict(docs, model, keep=["doc_id", "held_out"])
+
+
+def op3_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts, tokenised, in sequences of at most 1024 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_texts(docs, public_tokenizers.path(BPE_JSON), 2, 1024)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text by prefix dynamic programming, and what a budget of 1024 tokens keeps."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, public_tokenizers.path(BPE_JSON), 1024, keep=["doc_id"])
 
 
+def op7_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learned from the labels outside fold 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    model = quality.fit(docs, labels, "doc_id", "quality")
+    return quality.score(docs, model, keep=["doc_id", "held_out"])
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and their decoding, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BPE_RANKS)
-    decoded = bpe.decode(bpe.encode(docs, path, packed=True, keep=["doc_id"]), path)
-    return decoded.mapInArrow(_text_digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    encode, decode = bpe.encoding(path, ["doc_id"], packed=True), bpe.decoding(path)
+    digests = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return docs.mapInArrow(lambda batches: _text_digests(decode(encode(batches))), digests)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op6_token_counts, op8_bpe_round_trip)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_codes, op3_bin_slack_packing, op6_token_counts, op7_quality_ftrl, op8_bpe_round_trip)}
 SQL: dict[str, str] = {}
 
 

@@ -35,50 +35,53 @@ _OPEN = {b"'r", b"'v", b"'l"}
 
 
 class PrefixStates:
-    """Token count and last token of prefixes of pre-tokens."""
+    """Token count and last token of prefixes of pre-tokens, as one number: count * SPAN + id of the token."""
+
+    SPAN = 1 << 24
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.states: dict[bytes, tuple[int, bytes]] = {}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.alone = {t: True for t in vocab.ranks if len(t) < 3}
+        self.states: dict[bytes, int] = {}
+        self.pairs: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}
 
-    def _follows(self, a: bytes, b: bytes) -> bool:
-        """Whether b can stand behind a, that is, merging both together leaves them apart."""
-        key = (a, b)
+    def _follows(self, a: int, b: int) -> bool:
+        """Whether token b can stand behind token a, that is, merging both together leaves them apart."""
+        key = a * self.SPAN + b
         found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) >= 4 * CACHE_ENTRIES:
+            if len(self.pairs) >= CACHE_ENTRIES:
                 self.pairs.clear()
-            found = self.pairs[key] = self.vocab.merge(a + b) == [a, b]
+            x, y = self.vocab.tokens[a], self.vocab.tokens[b]
+            found = self.pairs[key] = self.vocab.merge(x + y) == [x, y]
         return found
 
-    def _alone(self, t: bytes) -> bool:
-        found = self.alone.get(t)
+    def _alone(self, a: int) -> bool:
+        found = self.alone.get(a)
         if found is None:
-            found = self.alone[t] = self.vocab.merge(t) == [t]
+            found = self.alone[a] = self.vocab.merge(self.vocab.tokens[a]) == [self.vocab.tokens[a]]
         return found
 
-    def of(self, word: bytes) -> list[tuple[int, bytes]]:
+    def of(self, word: bytes) -> list[int]:
         """The state of every prefix of ``word``, from one byte on."""
-        ranks, states, longest = self.vocab.ranks, self.states, self.vocab.longest
-        if len(states) >= 2 * CACHE_ENTRIES:
+        ranks, states, longest, span = self.vocab.ranks, self.states, self.vocab.longest, self.SPAN
+        if len(states) >= CACHE_ENTRIES:
             states.clear()
-        out: list[tuple[int, bytes]] = []
+        out: list[int] = []
         for i in range(1, len(word) + 1):
             prefix = word[:i] if i <= CACHE_CHARS else None
             state = states.get(prefix) if prefix is not None else None
             if state is None:
                 for size in range(min(i, longest), 0, -1):
-                    t = word[i - size : i]
-                    if t not in ranks:
+                    t = ranks.get(word[i - size : i])
+                    if t is None:
                         continue
                     if size == i:
                         if self._alone(t):
-                            state = (1, t)
+                            state = span + t
                             break
-                    elif self._follows((before := out[i - size - 1])[1], t):
-                        state = (before[0] + 1, t)
+                    elif self._follows((before := out[i - size - 1]) % span, t):
+                        state = before - before % span + span + t
                         break
                 if state is None:
                     raise ValueError("the vocabulary lacks a byte")
@@ -87,12 +90,15 @@ class PrefixStates:
             out.append(state)
         return out
 
+    def count(self, word: bytes) -> int:
+        return self.of(word)[-1] // self.SPAN
+
     def at_points(self, word: str) -> list[int]:
         """Token counts of the prefixes of a pre-token, by code point."""
         raw = word.encode()
         states = self.of(raw)
         ends = np.cumsum([len(c.encode()) for c in word]).tolist()
-        counts = [states[e - 1][0] for e in ends]
+        counts = [states[e - 1] // self.SPAN for e in ends]
         if raw[:2] in _OPEN and len(raw) > 1:
             counts[1] = 2
         return counts
@@ -106,7 +112,7 @@ class _Counts(dict):
         self.states = states
 
     def __missing__(self, word: str) -> int:
-        count = self.states.of(word.encode())[-1][0]
+        count = self.states.count(word.encode())
         if len(word) <= CACHE_CHARS:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
@@ -128,7 +134,7 @@ def _open_counts(states: PrefixStates, words: list[str], j: int) -> list[int]:
     counts = states.at_points(word)
     if j and word[0] in _WHITE and words[j - 1][-1] in _WHITE:
         run = words[j - 1] + word[0]
-        counts[0] = states.of(run.encode())[-1][0] - states.of(words[j - 1].encode())[-1][0]
+        counts[0] = states.count(run.encode()) - states.count(words[j - 1].encode())
     return counts
 
 
