@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidetable.llm import bpe, language, packing, quality, token_counts
+from tidetable.llm import bpe, fingerprints, language, packing, quality, token_counts
 from tidetable.llm.common import held_out, table
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -37,6 +37,23 @@ def _text_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's fingerprint beside that of its edited text and of the next document."""
+    for pairs in fingerprints.neighbours(batches):
+        edited = [p.text[: len(p.text) - len(p.text) // 3] + p.next_text[: len(p.text) // 3] for p in pairs]
+        marks, new, after = [p.mark for p in pairs], fingerprints.fingerprints_of(pa.array(edited, pa.string())), [p.next_mark for p in pairs]
+        columns = {
+            "doc_id": pa.array([p.row_id for p in pairs], pa.int64()),
+            "n_chars": pa.array([len(p.text) for p in pairs], pa.int64()),
+            "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+            "fingerprint": pa.array(map(fingerprints.as_text, marks), pa.string()),
+            "edited_fingerprint": pa.array(map(fingerprints.as_text, new), pa.string()),
+            "near_edited": pa.array(fingerprints.likeness(marks, new)),
+            "near_next": pa.array(fingerprints.likeness(marks, after)),
+        }
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def op1_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from the rows outside fold 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
@@ -50,6 +67,13 @@ def op3_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(docs, public_tokenizers.path(BPE_JSON), 2, 1024)
 
 
+def op4_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and of their edits, and how alike they are."""
+    dealt = fingerprints.dealt_by_range(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return dealt.mapInArrow(_edited, schema)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text by prefix dynamic programming, and what a budget of 1024 tokens keeps."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,7 +97,7 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.mapInArrow(lambda batches: _text_digests(decode(encode(batches))), digests)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_codes, op3_bin_slack_packing, op6_token_counts, op7_quality_ftrl, op8_bpe_round_trip)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_codes, op3_bin_slack_packing, op4_multiset_fingerprints, op6_token_counts, op7_quality_ftrl, op8_bpe_round_trip)}
 SQL: dict[str, str] = {}
 
 
