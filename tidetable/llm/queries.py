@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidetable.llm import bpe, fingerprints, language, packing, quality, token_counts
+from tidetable.llm import bpe, fingerprints, jaccard_join, language, packing, quality, ring, token_counts
 from tidetable.llm.common import held_out, table
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -61,6 +61,11 @@ def op1_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op2_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 hundredths of their 4-word shingles."""
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"), jaccard_join.Measure(4, 85))
+
+
 def op3_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts, tokenised, in sequences of at most 1024 ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,8 +102,42 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.mapInArrow(lambda batches: _text_digests(decode(encode(batches))), digests)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_codes, op3_bin_slack_packing, op4_multiset_fingerprints, op6_token_counts, op7_quality_ftrl, op8_bpe_round_trip)}
-SQL: dict[str, str] = {}
+def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of equal row counts; equal texts have one key."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("_key")
+    )
+    placed = ring.assign(docs, F.col("_key"), 16, ["doc_id", "size", "text_crc32"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_language_codes, op2_grouped_prefix_join, op3_bin_slack_packing, op4_multiset_fingerprints, op6_token_counts,
+    op7_quality_ftrl, op8_bpe_round_trip, op10_bounded_ring,
+)}
+SQL: dict[str, str] = {
+    "op2_grouped_prefix_join": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, min(r.y) AS component_id
+FROM sets d JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id, d.s
+""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
