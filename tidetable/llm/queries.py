@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidetable.llm import bpe, fingerprints, jaccard_join, language, packing, quality, ring, token_counts
+from tidetable.llm import bpe, fingerprints, jaccard_join, language, nearest, packing, quality, ring, token_counts, warc
 from tidetable.llm.common import held_out, table
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -79,6 +79,11 @@ def op4_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.mapInArrow(_edited, schema)
 
 
+def op5_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of all vectors for every fiftieth."""
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text by prefix dynamic programming, and what a budget of 1024 tokens keeps."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -102,6 +107,12 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.mapInArrow(lambda batches: _text_digests(decode(encode(batches))), digests)
 
 
+def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back from the archives."""
+    records = warc.round_trip(table(spark, sf_dir, "pages"), "page_id", "html", "url").where("failure IS NULL")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal row counts; equal texts have one key."""
     text = F.coalesce("text", F.lit("")).cast("binary")
@@ -113,8 +124,8 @@ def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_language_codes, op2_grouped_prefix_join, op3_bin_slack_packing, op4_multiset_fingerprints, op6_token_counts,
-    op7_quality_ftrl, op8_bpe_round_trip, op10_bounded_ring,
+    op1_language_codes, op2_grouped_prefix_join, op3_bin_slack_packing, op4_multiset_fingerprints, op5_balanced_postings, op6_token_counts,
+    op7_quality_ftrl, op8_bpe_round_trip, op9_warc_salvage, op10_bounded_ring,
 )}
 SQL: dict[str, str] = {
     "op2_grouped_prefix_join": """
@@ -136,6 +147,18 @@ edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x)
 SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, min(r.y) AS component_id
 FROM sets d JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id, d.s
+""",
+    "op9_warc_salvage": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex, max(page_id) OVER (PARTITION BY sha1(body)) AS last FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+         16 * strpos('0123456789abcdef', substr(hex, CAST(i * 5 // 4 + 1 AS INT), 1)) - 16
+         + coalesce(nullif(strpos('0123456789abcdef', substr(hex || '0', CAST(i * 5 // 4 + 2 AS INT), 1)), 0), 1) - 1
+       ) AS INT) // (8 // CAST(power(2, i * 5 % 4) AS INT)) % 32, 1) FOR i IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM h
 """,
 }
 
