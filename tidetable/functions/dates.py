@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from calendar import month_name as MONTH_NAMES
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +26,13 @@ def month_name(value: str | Column) -> Column:
     return F.date_format(_c(value), "MMMM yyyy")
 
 
+def month_names_between(first: date, last: date) -> list[str]:
+    """``January 2016`` for every month from ``first`` to ``last``."""
+    count = 12 * (last.year - first.year) + last.month - first.month + 1
+    months = (date(first.year + (first.month - 1 + i) // 12, (first.month - 1 + i) % 12 + 1, 1) for i in range(count))
+    return [f"{MONTH_NAMES[m.month]} {m.year}" for m in months]
+
+
 def month_of_text(value: str | Column) -> Column:
     """``2016-01`` or ``2016-01-15`` as a month start; NULL when it is no month."""
     return F.to_date(F.try_to_timestamp(F.substring(_c(value), 1, 7), F.lit("yyyy-MM")))

@@ -32,9 +32,13 @@ def hundredths(value: str | Column) -> Column:
 
     Sums of whole numbers do not depend on the order of addition, so a repeated
     task gives the same result, and they stay in generated code, which a sum of
-    DECIMAL does not.  An overflow is an error under ANSI mode, never a wrong sum.
+    DECIMAL does not.  An overflow is an error under ANSI mode, never a wrong sum,
+    and so is a third decimal.
     """
-    return F.rint(_c(value) * 100).cast("bigint")
+    scaled = _c(value) * 100
+    whole = F.rint(scaled)
+    near = F.abs(scaled - whole) <= F.greatest(F.abs(scaled) * 1e-12, F.lit(1e-6))
+    return F.when(scaled.isNull() | near, whole.cast("bigint")).otherwise(F.raise_error(F.lit("an amount has more than two decimals")).cast("bigint"))
 
 
 def money_sum(value: str | Column) -> Column:

@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters with a diacritic and the plain letter each one folds to.
-ACCENTED = "áàâäãåāéèêëēíìîïīóòôöõōúùûüūçñýÿÁÀÂÄÃÅĀÉÈÊËĒÍÌÎÏĪÓÒÔÖÕŌÚÙÛÜŪÇÑÝ"
-PLAIN = "aaaaaaaeeeeeiiiiioooooouuuuucnyyAAAAAAAEEEEEIIIIIOOOOOOUUUUUCNY"
+
+@lru_cache(maxsize=1)
+def plain_forms() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility decomposition keeps one ASCII character, and those that keep several."""
+    one, several = {}, {}
+    for code in range(0x80, 0x10000):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 0x80)
+        if len(plain) == 1:
+            one[chr(code)] = plain
+        elif plain and unicodedata.name(chr(code), "").startswith(("LATIN", "VULGAR")):
+            several[chr(code)] = plain
+    return one, several
 
 
 def _c(value: str | Column) -> Column:
@@ -21,8 +33,18 @@ def zero_pad(value: str | Column, width: int) -> Column:
 
 
 def fold_accents(value: str | Column) -> Column:
-    """Replace accented letters by plain ones and drop other non-ASCII characters."""
-    return F.regexp_replace(F.translate(_c(value), ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
+    """Replace characters by the ASCII part of their compatibility decomposition; what has none is dropped.
+
+    Combining marks are dropped as well, so decomposed text folds like composed text.
+    """
+    one, several = plain_forms()
+    folded = F.translate(_c(value), "".join(one), "".join(one.values()))
+    # ligatures and fractions are rare: the replacements run only where one occurs
+    spelled = folded
+    for letter, plain in several.items():
+        spelled = F.replace(spelled, F.lit(letter), F.lit(plain))
+    folded = F.when(folded.rlike("[" + "".join(several) + "]"), spelled).otherwise(folded)
+    return F.regexp_replace(folded, r"[^\x00-\x7F]", "")
 
 
 def normalized_name(value: str | Column) -> Column:

@@ -129,8 +129,11 @@ def as_of(
     time: str = "month",
     *,
     unique_left: bool = False,
+    skip_null_values: bool = False,
 ) -> DataFrame:
-    """Latest reference values at or before each left period (a backward as-of join per key).
+    """Latest reference row at or before each left period (a backward as-of join per key), all its values together.
+
+    With ``skip_null_values`` each value comes from the latest row in which it is not NULL.
 
     Both sides are stacked and a running ``last`` carries the values forward;
     linear, where an inequality join is quadratic inside a key.  With
@@ -145,25 +148,25 @@ def as_of(
     if not by:
         raise ValueError("a reference without keys needs as_of_calendar")
     if unique_left:
-        return _carry(left, reference, values, by, time)
-    carried = _carry(left.select(*by, time).distinct(), reference, values, by, time)
+        return _carry(left, reference, values, by, time, skip_null_values)
+    carried = _carry(left.select(*by, time).distinct(), reference, values, by, time, skip_null_values)
     return left.join(carried, [*by, time], "left")
 
 
-def _carry(left: DataFrame, reference: DataFrame, values: list[str], by: list[str], time: str) -> DataFrame:
+def _carry(left: DataFrame, reference: DataFrame, values: list[str], by: list[str], time: str, skip: bool) -> DataFrame:
     from_left = left.withColumn("_side", F.lit(1))
-    from_right = reference.select(*by, time, *values).withColumn("_side", F.lit(0))
+    # a struct is not NULL even if its fields are, so a row is carried whole
+    carried = {f"_v{i}": F.col(v) for i, v in enumerate(values)} if skip else {"_v": F.struct(*values)}
+    from_right = reference.select(*by, time, *(c.alias(n) for n, c in carried.items())).withColumn("_side", F.lit(0))
     stacked = from_left.unionByName(from_right, allowMissingColumns=True)
     w = (
         Window.partitionBy(*by)
         .orderBy(time, "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        stacked.withColumns({v: F.last(v, ignorenulls=True).over(w) for v in values})
-        .filter(F.col("_side") == 1)
-        .drop("_side")
-    )
+    latest = stacked.withColumns({n: F.last(n, ignorenulls=True).over(w) for n in carried})
+    out = latest.filter(F.col("_side") == 1).drop("_side")
+    return out.withColumns({v: F.col(f"_v{i}") if skip else F.col("_v")[v] for i, v in enumerate(values)}).drop(*carried)
 
 
 def as_of_calendar(left: DataFrame, reference: DataFrame, value: str, time: str = "month") -> DataFrame:

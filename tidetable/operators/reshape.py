@@ -11,11 +11,23 @@ from tidetable.operators.panel import Keys, as_list
 
 
 def pivot(
-    df: DataFrame, index: Keys, columns: str, values: Sequence[str], measure: str, how: str = "first"
+    df: DataFrame, index: Keys, columns: str, values: Sequence[str], measure: str, how: str = "first", other: str | None = None
 ) -> DataFrame:
-    """One column per listed value of ``columns``; the list is given so that no extra job looks for it."""
+    """One column per listed value of ``columns``, as conditional aggregates in one group-by.
+
+    The list is given so that no extra job looks for it.  Rows of other values go to the column ``other``, or fail the
+    job if there is none; nothing is dropped.
+    """
     agg = {"first": lambda c: F.first(c, ignorenulls=True), "sum": F.sum, "mean": F.avg}[how]
-    return df.groupBy(*as_list(index)).pivot(columns, list(values)).agg(agg(measure))
+    listed = F.coalesce(F.col(columns).isin(*values), F.lit(False))
+    cells = [agg(F.when(F.col(columns) == v, F.col(measure))).alias(v) for v in values]
+    if other:
+        return df.groupBy(*as_list(index)).agg(*cells, agg(F.when(~listed, F.col(measure))).alias(other))
+    stray = F.min(F.when(~listed, F.coalesce(F.col(columns).cast("string"), F.lit("NULL")))).alias("_stray")
+    out = df.groupBy(*as_list(index)).agg(*cells, stray)
+    first = values[0]
+    fail = F.raise_error(F.concat(F.lit(f"{columns} has a value that is not listed: "), "_stray")).cast(out.schema[first].dataType)
+    return out.withColumn(first, F.when(F.col("_stray").isNull(), F.col(first)).otherwise(fail)).drop("_stray")
 
 
 def unpivot(

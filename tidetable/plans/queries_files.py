@@ -15,7 +15,7 @@ from tidetable.plans import publication, roles, silver
 from tidetable.plans.catalog import query, report
 from tidetable.plans.queries_publication import PUBLISHED, _merged
 from tidetable.plans.roles import month, sql, table
-from tidetable.session import new_folder
+from tidetable.session import materialize, new_folder
 from tidetable.sources import csv, json, tables
 from tidetable.streaming import loads
 
@@ -63,7 +63,7 @@ def imports_silver(spark, sf_dir):
     )
     path = new_folder(spark, "imports")
     tables.write_csv(text_rows, path)
-    scanned = csv.scan_csv_text(spark, path, text_rows.columns, schemas.IMPORT_COLUMNS)
+    scanned = csv.scan_csv_text(spark, path, schemas.IMPORT_COLUMNS)
     out = silver.imports(scanned, {"080404": "avocado", "080407": "tomato"}, {"AMERICA": "USA", "ASIA": "Mexico"})
     return report(out)
 
@@ -86,11 +86,11 @@ def _write_below(spark, top, lines, path):
 
 @query(
     "S4 A16 F7 F11",
-    sql(f"SELECT series_key, {YM} AS month, qty FROM prices WHERE month >= DATE '1999-01-01' AND month < DATE '2000-01-01'", "prices"),
+    sql(f"SELECT series_key, {YM} AS month, qty FROM prices", "prices"),
 )
 def csv_after_preamble(spark, sf_dir):
     """A wide table, one line per product with footnote numbers, below nine lines of notes and the header."""
-    months = [f"{m} 1999" for m in "January February March April May June July August September October November December".split()]
+    months = dates.month_names_between(*roles.sales_months(spark, sf_dir))
     df = roles.prices(spark, sf_dir).withColumn("label", dates.month_name("month"))
     wide = pivot(df, "series_key", "label", months, "qty")
     # one line of text per product
@@ -98,7 +98,7 @@ def csv_after_preamble(spark, sf_dir):
     top = [*[f"note {i}" for i in range(9)], ",".join(["Products", *months])]
     path = new_folder(spark, "preamble")
     _write_below(spark, top, lines, path)
-    schema = schemas.all_strings("product", *[f"c{i}" for i in range(12)])
+    schema = schemas.all_strings("product", *[f"c{i}" for i in range(len(months))])
     scanned = csv.scan_csv_after_preamble(spark, path, schema, skip=10)
     named = scanned.select(
         F.regexp_replace("product", r"\s+\d+(\s+\d+)?$", "").alias("series_key"),
@@ -124,6 +124,7 @@ def csv_after_marker(spark, sf_dir):
     WHERE word <> '' GROUP BY 1, 2""",
 )
 def csv_encodings(spark, sf_dir):
+    """Half of the words in a Latin-1 file set, half in UTF-8 files of the same folder, some with a byte-order mark."""
     words = (
         table(spark, sf_dir, "documents")
         .select("lang", F.explode(F.split("text", "[^A-Za-zÀ-ÖØ-öø-ÿ]+")).alias("word"))
@@ -131,9 +132,26 @@ def csv_encodings(spark, sf_dir):
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    path = new_folder(spark, "latin1")
-    words.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
-    return report(csv.scan_csv_any_encoding(spark, path, "lang string, word string, n bigint"))
+    words = materialize(words, "words")
+    path = new_folder(spark, "encodings")
+    own = F.pmod(F.xxhash64("lang", "word"), F.lit(3))
+    words.filter(own == 0).write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/a")
+    words.filter(own == 1).write.option("header", True).csv(f"{path}/b")
+    marked = words.filter(own == 2).select(F.col("lang").alias("\ufefflang"), "word", "n")
+    marked.write.option("header", True).csv(f"{path}/c")
+    return report(csv.scan_csv_any_encoding(spark, [f"{path}/{x}" for x in "abc"], "lang string, word string, n bigint"))
+
+
+@query("S2", sql(f"SELECT series_key, {YM} AS month, qty FROM prices", "prices"))
+def csv_columns_by_name(spark, sf_dir):
+    """Two file sets whose headers list the columns in another order, read by name."""
+    df = roles.prices(spark, sf_dir).select("series_key", F.date_format("month", "yyyy-MM").alias("month"), F.col("qty").cast("string").alias("qty"), F.lit("x").alias("note"))
+    df = materialize(df, "columns")
+    path = new_folder(spark, "by-name")
+    tables.write_csv(df.filter("month < '1995'"), f"{path}/a")
+    tables.write_csv(df.filter("month >= '1995'").select("note", "qty", "month", "series_key"), f"{path}/b")
+    scanned = csv.scan_csv_text(spark, [f"{path}/a", f"{path}/b"], ["series_key", "month", "qty"])
+    return report(scanned.withColumn("qty", numeric.to_number("qty")))
 
 
 @query(
@@ -310,7 +328,7 @@ def replace_partition(spark, sf_dir):
 @query(
     "I3 K2 W7 U1",
     sql(
-        f"""SELECT series_key, {YM} AS month, CASE WHEN month >= DATE '1999-07-01' THEN -spend ELSE spend END AS spend FROM spend WHERE month < DATE '2000-03-01'""",
+        f"""SELECT series_key, {YM} AS month, CASE WHEN month >= DATE '1999-07-01' THEN -spend ELSE spend END AS spend FROM spend""",
         "spend",
     ),
 )
@@ -319,7 +337,7 @@ def merge_into_years(spark, sf_dir):
     df = roles.spend(spark, sf_dir).withColumn("load_seq", F.lit(1))
     on = ["series_key", "month"]
     tables.merge_into_years(df.filter(F.col("month") < month("2000-01-01")), path, on, "load_seq")
-    late = df.filter(F.col("month").between(month("1999-07-01"), month("2000-02-01")))
+    late = df.filter(F.col("month") >= month("1999-07-01"))
     tables.merge_into_years(late.withColumns({"spend": -F.col("spend"), "load_seq": F.lit(2)}), path, on, "load_seq")
     return report(tables.scan_dataset(spark, path).drop("load_seq"))
 

@@ -38,25 +38,21 @@ def unit_price(spark, sf_dir):
 @query(
     "A4 A5 A6",
     sql(
-        """SELECT series_key, strftime(day, '%Y-%m-%d') AS day, CAST((20000 * sum(v) + 100 * count(*)) // (200 * count(*)) AS DOUBLE) / 10000.0 AS mean_value,
-        CAST((20000 * sum(CASE WHEN v > 1000 THEN v END) + 100 * count(CASE WHEN v > 1000 THEN v END))
-             // (200 * count(CASE WHEN v > 1000 THEN v END)) AS DOUBLE) / 10000.0 AS mean_large, max(v) / 100.0 AS max_value, count(*) AS n
-        FROM (SELECT series_key, day, user_id, (200 * sum(h) + 100 * count(*)) // (200 * count(*)) AS v FROM
-        (SELECT series_key, day, user_id, CAST(round(value * 100) AS BIGINT) AS h FROM readings) GROUP BY 1, 2, 3) GROUP BY 1, 2""",
+        """SELECT series_key, strftime(day, '%Y-%m-%d') AS day, round(avg(v), 6) AS mean_value,
+        round(avg(CASE WHEN v > 10 THEN v END), 6) AS mean_large, round(max(v), 6) AS max_value, count(*) AS n
+        FROM (SELECT series_key, day, user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100.0 / count(*) AS v
+              FROM readings GROUP BY 1, 2, 3) GROUP BY 1, 2""",
         "readings",
     ),
 )
 def national_mean(spark, sf_dir):
-    """Mean of user means, in whole hundredths so that ties round alike in any order of addition."""
+    """Mean of user means; the inner sums are exact, so a mean is the same in any order of addition."""
     one = F.count(F.lit(1))
-    mean = numeric.whole_ratio(F.sum(numeric.hundredths("value")), one * 100, 2)
+    mean = numeric.money_sum("value") / one
     cities = roles.readings(spark, sf_dir).groupBy("series_key", "day", "user_id").agg(mean.alias("v"))
-    large = F.when(F.col("v") > 10, numeric.hundredths("v"))
+    large = F.when(F.col("v") > 10, F.col("v"))
     out = cities.groupBy("series_key", "day").agg(
-        numeric.whole_ratio(F.sum(numeric.hundredths("v")), one * 100, 4).alias("mean_value"),
-        numeric.whole_ratio(F.sum(large), F.count(large) * 100, 4).alias("mean_large"),
-        F.max("v").alias("max_value"),
-        one.alias("n"),
+        F.avg("v").alias("mean_value"), F.avg(large).alias("mean_large"), F.max("v").alias("max_value"), one.alias("n")
     )
     return report(out)
 
@@ -255,6 +251,8 @@ def pivot_sum(spark, sf_dir):
     "A15",
     sql(
         """SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(CASE WHEN series_key = 'click' THEN value END), 6) AS click,
+        round(avg(CASE WHEN series_key = 'error' THEN value END), 6) AS error,
+        round(avg(CASE WHEN series_key = 'signup' THEN value END), 6) AS signup,
         round(avg(CASE WHEN series_key = 'view' THEN value END), 6) AS view,
         round(avg(CASE WHEN series_key = 'purchase' THEN value END), 6) AS purchase FROM readings GROUP BY day""",
         "readings",
@@ -262,7 +260,7 @@ def pivot_sum(spark, sf_dir):
 )
 def pivot_mean(spark, sf_dir):
     df = roles.readings(spark, sf_dir).select("day", "series_key", "value")
-    return report(reshape.pivot(df, "day", "series_key", ["click", "view", "purchase"], "value", "mean"))
+    return report(reshape.pivot(df, "day", "series_key", ["click", "error", "purchase", "signup", "view"], "value", "mean"))
 
 
 @query(
@@ -281,16 +279,12 @@ def unpivot_long(spark, sf_dir):
 
 @query(
     "A16 F11",
-    sql(
-        """SELECT series_key, strftime(month, '%Y-%m') AS month, qty FROM prices
-        WHERE month IN (DATE '1996-01-01', DATE '1996-02-01', DATE '1996-03-01', DATE '1996-04-01')""",
-        "prices",
-    ),
+    sql(f"SELECT series_key, {YM} AS month, qty FROM prices", "prices"),
 )
 def wide_months_long(spark, sf_dir):
-    labels = ["January 1996", "February 1996", "March 1996", "April 1996"]
+    """A column for each month of the calendar, and back."""
     df = roles.prices(spark, sf_dir).withColumn("label", dates.month_name("month"))
-    wide = reshape.pivot(df, "series_key", "label", labels, "qty")
+    wide = reshape.pivot(df, "series_key", "label", dates.month_names_between(*roles.sales_months(spark, sf_dir)), "qty")
     long = reshape.wide_months_to_long(wide, "series_key", dates.month_of_long_name, value="qty")
     return report(long.filter(F.col("qty").isNotNull()))
 
@@ -633,6 +627,17 @@ def accent_folding(spark, sf_dir):
     return report(words.select("doc_id", "word", text.normalized_name("word").alias("folded")).distinct())
 
 
+@query(
+    "P17 F5 F6 X4",
+    r"""SELECT word, lower(trim(regexp_replace(strip_accents(word), '[^\x00-\x7F]', '', 'g'))) AS folded
+    FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-zÀ-ÖØ-öø-ÿ]+')) AS word FROM documents) WHERE word <> '' GROUP BY 1""",
+)
+def accent_folding_words(spark, sf_dir):
+    """Every word of the texts and its plain form."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "[^A-Za-zÀ-ÖØ-öø-ÿ]+")).alias("word"))
+    return report(words.filter("word <> ''").distinct().select("word", text.normalized_name("word").alias("folded")))
+
+
 @query(
     "F7",
     r"""SELECT doc_id, regexp_replace(label, '\s+\d+(\s+\d+)?$', '') AS label FROM

@@ -7,6 +7,8 @@ large panel with gaps.  Sums of money are exact, so both engines agree.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,13 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sales_months(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last month of the lines, two values that the calendar of a wide table needs."""
+    months = table(spark, sf_dir, "lineitem").select(dates.month_start("l_shipdate").alias("month"))
+    first, last = months.agg(F.min("month"), F.max("month")).first()
+    return first, last
+
+
 def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("series_key"))
 

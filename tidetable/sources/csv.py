@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from csv import reader
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,13 +44,37 @@ def scan_csv(
     return numeric.nan_to_null(df.select(*columns) if columns else df)
 
 
-def scan_csv_text(spark: SparkSession, paths: Paths, header: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Every field as text, pruned to ``columns``; ``header`` lists all columns of the file.
+def _header_groups(lines: DataFrame) -> list[tuple[str, list[str]]]:
+    """Each header line that occurs, and the files that begin with it; one row for each file comes back."""
+    first = lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min_by("value", "_id").alias("_header"))
+    groups: dict[str, list[str]] = {}
+    for r in sorted(first.collect(), key=lambda r: r["_file"]):
+        groups.setdefault(r["_header"].lstrip("\ufeff"), []).append(r["_file"])
+    return list(groups.items())
+
+
+def _fields(header: str) -> list[str]:
+    return next(reader([header]))
+
+
+def scan_csv_text(spark: SparkSession, paths: Paths, columns: Sequence[str]) -> DataFrame:
+    """Every field as text, pruned to ``columns``, which are found by name in each file's own header.
 
     Casting happens later, so one bad field never loses its row.  File splits
-    take the place of reading in chunks.
+    take the place of reading in chunks.  Files of one header are read together.
     """
-    return spark.read.schema(schemas.all_strings(*header)).option("header", True).csv(_paths(paths)).select(*columns)
+    parts = []
+    for header, files in _header_groups(_lines(spark, paths)):
+        fields = _fields(header)
+        missing = [c for c in columns if c not in fields]
+        if missing:
+            raise ValueError(f"{files[0]} has no column {missing[0]}")
+        # columns that are not asked for may have any name, even one twice
+        schema = schemas.all_strings(*(f if f in columns else f"_{i}" for i, f in enumerate(fields)))
+        parts.append(spark.read.schema(schema).option("header", True).csv(files).select(*columns))
+    if not parts:
+        return spark.createDataFrame([], schemas.all_strings(*columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -116,17 +143,33 @@ def scan_csv_after_marker(
     return _parse(below, schema, options)
 
 
-def find_encoding(spark: SparkSession, paths: Paths, candidates: Sequence[str] = ("UTF-8", "ISO-8859-1")) -> str:
-    """The first encoding that decodes every line; the last candidate is taken unseen.
+def find_encodings(spark: SparkSession, paths: Paths, candidates: Sequence[str] = ("UTF-8", "ISO-8859-1")) -> dict[str, list[str]]:
+    """The files of each encoding: a file has the first one that decodes all its lines, else the last candidate.
 
-    A wrong decoder leaves replacement characters.  Tasks look for one and stop
-    at the first hit.
+    UTF-8 is checked on the bytes, so a replacement character that a text holds is no error; other decoders leave
+    such characters where they fail.  One row for each file comes back.
     """
+    files = [_normal(f) for f in spark.read.format("binaryFile").load(_paths(paths)).inputFiles()]
+    found: dict[str, list[str]] = {}
     for encoding in candidates[:-1]:
-        lines = spark.read.option("encoding", encoding).schema("value string").option("sep", "\x01").csv(_paths(paths))
-        if lines.filter(F.col("value").contains("�")).isEmpty():
-            return encoding
-    return candidates[-1]
+        utf8 = encoding.upper().replace("-", "") == "UTF8"
+        # one byte is one character in ISO-8859-1, so its bytes are the file's
+        lines = spark.read.option("encoding", "ISO-8859-1" if utf8 else encoding).schema("value string").option("sep", "\x01").option("quote", "").csv(files)
+        valid = F.is_valid_utf8(F.encode("value", "ISO-8859-1").cast("string")) if utf8 else ~F.col("value").contains("�")
+        failed = lines.filter(~valid).select(F.col("_metadata.file_path").alias("f")).distinct()
+        bad = {_normal(r["f"]) for r in failed.collect()}
+        found[encoding] = [f for f in files if f not in bad]
+        files = [f for f in files if f in bad]
+        if not files:
+            break
+    if files:
+        found[candidates[-1]] = files
+    return {k: v for k, v in found.items() if v}
+
+
+def _normal(path: str) -> str:
+    """One spelling of local paths, which Spark gives with one slash or three."""
+    return re.sub(r"^file:/+", "file:///", path)
 
 
 def scan_csv_any_encoding(
@@ -136,8 +179,9 @@ def scan_csv_any_encoding(
     *,
     candidates: Sequence[str] = ("UTF-8", "ISO-8859-1"),
 ) -> DataFrame:
-    """CSV whose encoding is chosen per source; a byte-order mark at the start is dropped by the reader."""
-    return scan_csv(spark, paths, schema, encoding=find_encoding(spark, paths, candidates))
+    """CSV whose encoding is chosen for each file; a byte-order mark at the start is dropped by the reader."""
+    parts = [scan_csv(spark, files, schema, encoding=e) for e, files in find_encodings(spark, paths, candidates).items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_tree(
@@ -150,11 +194,12 @@ def scan_tree(
 ) -> DataFrame:
     """All matching files below ``root``; paths that match ``exclude`` are left out.
 
-    The path comes back as ``source_file``.
+    The path comes back as ``source_file``.  A file whose header differs from the schema fails the scan.
     """
     df = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .csv(root)
