@@ -9,11 +9,19 @@ sys.path.insert(0, str(ROOT / "tests"))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidetable import build_session
 
     session = build_session(
-        "tests", "local[8]", 4, {"spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"}
+        "tests",
+        "local[8]",
+        4,
+        {
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "6g",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

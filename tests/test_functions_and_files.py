@@ -1,3 +1,4 @@
+import unicodedata
 from datetime import date
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidetable import schemas, session
 from tidetable.functions import dates, nested, numeric, text
-from tidetable.operators import ranking
+from tidetable.operators import ranking, reshape
 from tidetable.plans import features, publication, silver
 from tidetable.sources import csv, json, tables
 from tidetable.streaming import loads
@@ -28,7 +29,7 @@ def test_dates(spark):
 
 
 def test_text(spark):
-    assert len(text.ACCENTED) == len(text.PLAIN)
+    assert text.plain_forms()[0]["ñ"] == "n" and text.plain_forms()[1]["ﬁ"] == "fi"
     assert one(spark, text.normalized_name(F.lit(" Michoacán "))) == "michoacan"
     assert one(spark, text.same_name(F.lit("MICHOACÁN"), "michoacan"))
     assert one(spark, text.zero_pad(F.lit("80440"), 6)) == "080440"
@@ -223,3 +224,43 @@ def test_stream_equals_batch_and_a_repeated_batch_changes_nothing(spark, tmp_pat
 
 def test_shared_folder_comes_from_the_session(spark):
     assert session.new_folder(spark, "x").startswith(session.shared_root(spark) + "/x-")
+
+
+def test_columns_are_found_by_name_in_each_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("period,code,qty,x,x\n202001,1,5,p,q\n")
+    (tmp_path / "b.csv").write_text('qty,"code",period\n7,2,202002\n')
+    out = csv.scan_csv_text(spark, str(tmp_path), ["code", "period"])
+    assert sorted((r["code"], r["period"]) for r in out.collect()) == [("1", "202001"), ("2", "202002")]
+    with pytest.raises(ValueError, match="no column"):
+        csv.scan_csv_text(spark, str(tmp_path), ["x"])
+    with pytest.raises(Exception):
+        csv.scan_tree(spark, str(tmp_path), "period string, code string, qty string").collect()
+
+
+def test_encoding_is_found_for_each_file(spark, tmp_path):
+    (tmp_path / "l.csv").write_bytes("name\nMichoacán\n".encode("latin1"))
+    (tmp_path / "u.csv").write_bytes("name\nNuevo León \ufffd\n".encode())
+    (tmp_path / "m.csv").write_bytes("\ufeffname\nYucatán\n".encode())
+    out = csv.scan_csv_any_encoding(spark, str(tmp_path), "name string")
+    assert sorted(r["name"] for r in out.collect()) == ["Michoacán", "Nuevo León \ufffd", "Yucatán"]
+
+
+def test_folding_follows_the_decomposition(spark):
+    words = ["Škoda Łódź Ořech Győr São", "ﬁn ½ Ａ", "cafe\u0301", None]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    want = [None if w is None else unicodedata.normalize("NFKD", w).encode("ascii", "ignore").decode() for w in words]
+    assert [r["f"] for r in df.select(text.fold_accents("w").alias("f")).collect()] == want
+
+
+def test_nothing_is_lost_in_pivots_and_hundredths(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), ("a", "z", 4.0), ("b", None, 8.0)], "k string, c string, v double")
+    with pytest.raises(Exception, match="not listed"):
+        reshape.pivot(df, "k", "c", ["x", "y"], "v", "sum").collect()
+    rest = reshape.pivot(df, "k", "c", ["x", "y"], "v", "sum", other="rest").orderBy("k").collect()
+    assert [tuple(r) for r in rest] == [("a", 1.0, 2.0, 4.0), ("b", None, None, 8.0)]
+    with pytest.raises(Exception, match="two decimals"):
+        df.select(numeric.hundredths(F.col("v") + 0.005)).collect()
+
+
+def test_month_names_of_a_calendar():
+    assert dates.month_names_between(date(2019, 11, 1), date(2020, 2, 1)) == ["November 2019", "December 2019", "January 2020", "February 2020"]

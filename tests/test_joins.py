@@ -21,6 +21,17 @@ def test_as_of_same_month_matches_and_no_match_is_null(spark):
         joins.as_of(left, ref, "v", [])
 
 
+def test_as_of_takes_a_reference_row_whole(spark):
+    left = spark.createDataFrame([("a", month("2020-03"))], "series_key string, month date")
+    rows = [("a", month("2020-01"), 1.0, 10.0), ("a", month("2020-02"), None, 20.0)]
+    ref = spark.createDataFrame(rows, "series_key string, month date, v double, w double")
+    for unique in (True, False):
+        whole = joins.as_of(left, ref, ["v", "w"], "series_key", unique_left=unique).first()
+        assert (whole["v"], whole["w"]) == (None, 20.0)
+        each = joins.as_of(left, ref, ["v", "w"], "series_key", unique_left=unique, skip_null_values=True).first()
+        assert (each["v"], each["w"]) == (1.0, 20.0)
+
+
 def test_require_matched_and_base_fail_the_job(spark):
     df = series(spark, [1.0, None])
     with pytest.raises(Exception, match="no value here"):

@@ -154,6 +154,18 @@ def csv_columns_by_name(spark, sf_dir):
     return report(scanned.withColumn("qty", numeric.to_number("qty")))
 
 
+@query("S12", sql(f"SELECT series_key, {YM} AS month, qty FROM prices", "prices"))
+def json_array_files(spark, sf_dir):
+    """One file for each series, each a single JSON array of records."""
+    df = roles.prices(spark, sf_dir)
+    points = F.array_sort(F.collect_list(F.struct("series_key", F.date_format("month", "yyyy-MM").alias("month"), "qty")))
+    # a series has one record for each month
+    files = df.groupBy("series_key").agg(F.to_json(points).alias("value"))
+    path = new_folder(spark, "arrays")
+    files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return report(json.scan_json(spark, path, "series_key string, month string, qty double"))
+
+
 @query(
     "S7",
     sql("SELECT series_key, year(month) AS year, count(*) AS n, sum(qty) AS qty FROM prices GROUP BY 1, 2", "prices"),

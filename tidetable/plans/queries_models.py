@@ -10,7 +10,7 @@ from tidetable.operators.panel import present_columns, require_columns
 from tidetable.plans import features as feature_plans
 from tidetable.plans import roles
 from tidetable.plans.catalog import query, report
-from tidetable.plans.modelling import backtest_models
+from tidetable.plans.modelling import backtest_models, final_comparison
 from tidetable.plans.roles import BASE_MONTH, HORIZON_END, LAGS, START_MONTH, month, sql
 from tidetable.session import materialize
 
@@ -269,12 +269,23 @@ def _with_drivers(spark, sf_dir):
     return windows.forward_fill(filled, ["import_qty", "order_value", "discount", "tax"])
 
 
-@query("M4 C18")
+@query("M4")
 def regression_backtest(spark, sf_dir):
     spec = regression.RegressionSpec("price", log_target=True)
     return report(regression.one_step_backtest(calendar.align(_price(spark, sf_dir)), spec), 4)
 
 
+@query("C18 M12")
+def model_comparison(spark, sf_dir):
+    """Scores of the naive models and two regressions over the months that all of them predicted."""
+    df = _with_drivers(spark, sf_dir)
+    specs = {
+        "seasonal_regression": regression.RegressionSpec("price", log_target=True),
+        "driver_regression": regression.RegressionSpec("price", ("import_qty", "discount"), log_target=True),
+    }
+    return report(final_comparison(materialize(df, "drivers"), "price", specs, initial_window=36), 4)
+
+
 @query("M6 F22 X1")
 def driver_backtest(spark, sf_dir):
     spec = regression.RegressionSpec("price", ("import_qty", "discount"), log_target=True, low=0.0, high=100000.0)
@@ -323,11 +334,11 @@ def _tree_rows(spark, sf_dir):
 
 @query("M7 M9 A34 P23 P24 X1")
 def gbt_forecast(spark, sf_dir):
-    """Boosted trees on calendar and target lags: the last month as test fold, and the leading feature."""
+    """Boosted trees on all four feature sets: the last month as test fold, and the leading feature of each set."""
     df = require_columns(_tree_rows(spark, sf_dir), ["series_key", "month", "price"])
     drivers = present_columns(df, ["import_qty", "order_value", "discount", "tax"])
     sets = trees.feature_sets(df, "price", drivers, ["import_qty_lag_0", "discount_lag_1"])
-    return report(backtest_models(df, "price", sets[:1]), 4)
+    return report(backtest_models(df, "price", sets), 4)
 
 
 @query("M8 P23")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-
+from tidetable.functions import numeric
 from tidetable.operators import calendar, panel, ranking, stationarity, stats, windows
 from tidetable.plans import features as feature_plans
 from tidetable.plans import roles, studies
@@ -439,6 +439,17 @@ def lag_study(spark, sf_dir):
     return report(studies.lag_study(df, "price", ["import_qty", "order_value"], ["discount", "tax"]))
 
 
+@query("X5 C12")
+def lag_study_of_logs(spark, sf_dir):
+    """The lag study after a transform of its columns: logarithms, where they are defined."""
+
+    def logs(df):
+        return df.withColumns({c: numeric.safe_ln(c) for c in ("price", "import_qty", "order_value")})
+
+    df = roles.feature_layer(spark, sf_dir)
+    return report(studies.lag_study(df, "price", ["import_qty", "order_value"], transform=logs))
+
+
 PEAK_SOURCE = """SELECT series_key, lag, CASE feature WHEN 'import_qty' THEN 'Imports' ELSE 'Order value' END AS variable,
     round(coalesce(CASE WHEN isnan(r) THEN 0 ELSE r END, 0), 4) + 0.0 AS correlation
     FROM (SELECT series_key, feature, lag, corr(x, y) AS r FROM pairs GROUP BY 1, 2, 3)"""

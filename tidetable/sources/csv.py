@@ -66,9 +66,9 @@ def scan_csv_text(spark: SparkSession, paths: Paths, columns: Sequence[str]) ->
     parts = []
     for header, files in _header_groups(_lines(spark, paths)):
         fields = _fields(header)
-        missing = [c for c in columns if c not in fields]
-        if missing:
-            raise ValueError(f"{files[0]} has no column {missing[0]}")
+        unclear = [c for c in columns if fields.count(c) != 1]
+        if unclear:
+            raise ValueError(f"{files[0]} has no column {unclear[0]}, or has it twice")
         # columns that are not asked for may have any name, even one twice
         schema = schemas.all_strings(*(f if f in columns else f"_{i}" for i, f in enumerate(fields)))
         parts.append(spark.read.schema(schema).option("header", True).csv(files).select(*columns))
