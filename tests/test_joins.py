@@ -128,3 +128,18 @@ def test_required_and_present_columns(spark):
         panel.rename(df, {"zz": "c"})
     assert panel.drop_present(df, ["a", "zz"]).columns == ["id"]
     assert panel.insert_first(df, "p", F.lit("x")).columns == ["p", "id", "a"]
+
+
+def test_at_month_is_a_join_that_leaves_the_panel_where_it_is(spark):
+    panel_rows = series(spark, [1.0, 2.0, 3.0, 4.0])
+    monthly = spark.createDataFrame([(month("2020-02"), 10.0, None), (month("2020-04"), None, "d")], "month date, v double, w string")
+    for how in ("inner", "left"):
+        out = joins.at_month(panel_rows, monthly, how)
+        want = panel_rows.join(monthly, "month", how).select(*out.columns)
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+        assert "Join" not in plan and "hashpartitioning" not in plan
+    assert joins.at_month(panel_rows, monthly.where("false")).count() == 0
+    assert joins.at_month(panel_rows, monthly.where("false"), "left").count() == 4
+    with pytest.raises(Exception):
+        joins.at_month(panel_rows, monthly.unionByName(monthly)).collect()

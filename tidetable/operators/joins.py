@@ -195,6 +195,31 @@ def as_of_calendar(left: DataFrame, reference: DataFrame, value: str, time: str
     return rows.withColumn(value, F.when(place >= 0, F.get("_ref.values", place))).drop("_ref")
 
 
+def at_month(left: DataFrame, monthly: DataFrame, how: str = "inner", time: str = "month") -> DataFrame:
+    """Join of a large table to one row per month, by exact month and without moving the large table.
+
+    The monthly rows are a calendar's length, so they fit one array, and each left row reads its element by month
+    number.  ``left`` keeps rows of other months with NULL values, ``inner`` drops them.  A month that occurs twice fails
+    the job.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"at_month cannot do a {how} join")
+    values = [c for c in monthly.columns if c != time]
+    points = monthly.filter(F.col(time).isNotNull()).select(dates.month_number(time).alias("m"), F.struct(*values).alias("v"))
+    one = points.agg(
+        F.min("m").alias("first"),
+        F.max("m").alias("last"),
+        F.map_from_entries(F.collect_list(F.struct("m", "v"))).alias("by_month"),  # twice the same key is an error
+    )
+    dense = F.transform(F.sequence("first", "last"), lambda m: F.try_element_at("by_month", m))
+    lookup = one.select(F.struct("first", F.when(F.col("first").isNotNull(), dense).alias("rows"))).scalar()
+    found = F.get(F.col("_at.rows"), (dates.month_number(time) - F.col("_at.first")).cast("int"))
+    rows = left.withColumn("_at", lookup).withColumn("_row", found)
+    if how == "inner":
+        rows = rows.filter(F.col("_row").isNotNull())
+    return rows.withColumns({v: F.col("_row")[v] for v in values}).drop("_at", "_row")
+
+
 def require_matched(df: DataFrame, column: str, message: str) -> DataFrame:
     """Fail the job on the first row whose ``column`` stayed NULL."""
     checked = F.when(F.col(column).isNotNull(), F.col(column)).otherwise(

@@ -134,7 +134,7 @@ def offline_features(
     by_month = joins.join_all(shared, time, "full")
     begin = by_month.agg(F.min(time)).scalar()
     aligned = calendar.align(per_series.withColumn("_begin", begin), keys, time, start=F.col("_begin"), end=end)
-    joined = aligned.drop("_begin").join(by_month, time, "left")
+    joined = joins.at_month(aligned.drop("_begin"), by_month, "left", time)
     filled = fill_aligned(joined, seasonal, keys, time, flag=True)
     lagged = windows.lag_map(filled, lags, keys, time, mode="positional", keep=["is_imputed"])
     complete = lagged.filter(F.col(time) >= start).na.drop(how="any")

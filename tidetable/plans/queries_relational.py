@@ -202,7 +202,7 @@ def asof_per_series(spark, sf_dir):
 )
 def rebase(spark, sf_dir):
     based = joins.with_base(roles.index(spark, sf_dir), "cpi", month("1998-01-01"), name="base_cpi")
-    df = roles.prices(spark, sf_dir).join(based, "month")
+    df = joins.at_month(roles.prices(spark, sf_dir), based)
     return report(df.select("series_key", "month", numeric.deflate("price", "cpi", "base_cpi", 4).alias("rebased")))
 
 
@@ -328,8 +328,8 @@ def renamed_join(spark, sf_dir):
 def left_chain(spark, sf_dir):
     monthly = materialize(roles.monthly_sales(spark, sf_dir), "sales")
     target = roles.priced(monthly).select("series_key", "month", "price")
-    frames = [target, roles.index(spark, sf_dir), roles.monthly_rates(monthly)]
-    return report(joins.join_all(frames, "month", "left"))
+    priced = joins.at_month(target, roles.index(spark, sf_dir), "left")
+    return report(joins.at_month(priced, roles.monthly_rates(monthly), "left"))
 
 
 FLAGS = "SELECT o_custkey AS series_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n{f} FROM orders WHERE o_orderstatus = '{f}' GROUP BY 1, 2"

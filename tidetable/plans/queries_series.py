@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidetable.functions import numeric
-from tidetable.operators import calendar, panel, ranking, stationarity, stats, windows
+from tidetable.operators import calendar, joins, panel, ranking, stationarity, stats, windows
 from tidetable.plans import features as feature_plans
 from tidetable.plans import roles, studies
 from tidetable.plans.catalog import query, report
@@ -524,7 +524,7 @@ def future_features(spark, sf_dir):
     values = roles.index(spark, sf_dir).withColumnRenamed("cpi", "order_value")
     shared = roles.monthly_rates(monthly).join(values, "month")
     out = feature_plans.future_features(
-        own.join(shared, "month").select("series_key", "month", *DRIVERS),
+        joins.at_month(own, shared).select("series_key", "month", *DRIVERS),
         roles.priced(monthly).select("series_key", "month", "price"),
         LAGS,
         ["import_qty", "order_value"],

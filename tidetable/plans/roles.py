@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidetable.functions import dates, numeric
-from tidetable.operators.joins import join_all, roll_up
+from tidetable.operators.joins import at_month, roll_up
 from tidetable.session import materialize
 
 BASE_MONTH = "1997-01-01"
@@ -210,7 +210,7 @@ def features(spark: SparkSession, sf_dir: str, *, with_price: bool = False) -> D
     own = priced(monthly).select("series_key", "month", F.col("qty").alias("import_qty"), *(["price"] if with_price else []))
     values = index(spark, sf_dir).withColumnRenamed("cpi", "order_value")
     columns = ["series_key", "month", "import_qty", "order_value", "discount", "tax", *(["price"] if with_price else [])]
-    return join_all([own, values, monthly_rates(monthly)], "month").select(*columns)
+    return at_month(at_month(own, values), monthly_rates(monthly)).select(*columns)
 
 
 def feature_layer(spark: SparkSession, sf_dir: str) -> DataFrame:

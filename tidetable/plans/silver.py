@@ -92,7 +92,7 @@ def adjusted_prices(prices: DataFrame, index: DataFrame, base: Column) -> DataFr
     ``index`` is one row per month, so it stays a calendar-sized table.
     """
     based = joins.with_base(index.select("month", "cpi"), "cpi", base, name="base_cpi")
-    return prices.join(based, "month").select(
+    return joins.at_month(prices, based).select(
         "series_key",
         "month",
         F.col("price").alias("price_before_adjustment"),
