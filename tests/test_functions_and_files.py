@@ -222,6 +222,16 @@ def test_stream_equals_batch_and_a_repeated_batch_changes_nothing(spark, tmp_pat
     assert tables.scan_dataset(spark, table).count() == 2
 
 
+def test_late_rows_count_and_a_repeated_batch_replaces_itself(spark, tmp_path):
+    day = lambda d: spark.sql(f"SELECT 'k' AS k, timestamp_ntz'2024-01-{d:02d} 05:00:00' AS ts, 1.5 AS v")
+    write = loads.totals_to(str(tmp_path / "t"), "k", "ts", {"n": F.count(F.lit(1)), "v": F.sum("v")})
+    for number, batch in enumerate((day(20), day(1).unionByName(day(20)))):
+        write(batch, number)
+        write(batch, number)
+    out = loads.totals_of_batches(spark, str(tmp_path / "t"), "k", ["n", "v"]).orderBy("day").collect()
+    assert [(str(r["day"]), r["n"], float(r["v"])) for r in out] == [("2024-01-01", 1, 1.5), ("2024-01-20", 2, 3.0)]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert session.new_folder(spark, "x").startswith(session.shared_root(spark) + "/x-")
 

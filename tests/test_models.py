@@ -99,6 +99,15 @@ def test_forecast_repeats_an_exact_recursion(spark):
     assert all(r["lower_bound"] <= r["prediction"] <= r["upper_bound"] for r in out)
 
 
+def test_a_short_series_is_forecast_by_its_last_value(spark):
+    history = series(spark, [1.0, 2.0, 3.0], name="y").unionByName(series(spark, [1.0 + i % 12 + 0.01 * i for i in range(60)], key="b", name="y"))
+    future = spark.createDataFrame([(k, m) for k in "abc" for m in months("2025-01", 2)], "series_key string, month date")
+    out = regression.forecast(history, future, regression.RegressionSpec("y", initial_window=40)).collect()
+    got = {k: [(r["is_fallback"], r["prediction"]) for r in out if r["series_key"] == k] for k in "abc"}
+    assert got["a"] == [(True, 3.0)] * 2 and got["c"] == [(True, None)] * 2
+    assert [f for f, _ in got["b"]] == [False, False]
+
+
 def test_log_target_needs_positive_values(spark):
     df = series(spark, [float(np.exp(0.01 * i)) for i in range(50)] + [-1.0])
     out = regression.one_step_backtest(df, regression.RegressionSpec("x", initial_window=30, log_target=True)).orderBy("month").collect()

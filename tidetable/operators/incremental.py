@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidetable.operators.panel import Keys, as_list, keep_last
@@ -63,9 +63,15 @@ def is_ready(required: DataFrame, available: DataFrame, on: Keys) -> bool:
     return missing_inputs(required, available, on).isEmpty()
 
 
-def replace_periods(existing: DataFrame, snapshot: DataFrame, period: Keys) -> DataFrame:
-    """A cumulative snapshot replaces every stored row of the periods it covers."""
+def replace_periods(existing: DataFrame, snapshot: DataFrame, period: Keys, covered: Column | None = None) -> DataFrame:
+    """A cumulative snapshot replaces every stored row of the periods it covers.
+
+    ``covered`` is a condition on stored rows; a covered period that the snapshot leaves empty is empty afterwards.
+    Without it the snapshot covers the periods that it has rows of.
+    """
     on = as_list(period)
+    if covered is not None:
+        return existing.filter(~F.coalesce(covered, F.lit(False))).unionByName(snapshot)
     kept = existing.join(broadcast_if_small(snapshot.select(*on).distinct()), on, "left_anti")
     return kept.unionByName(snapshot)
 

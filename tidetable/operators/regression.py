@@ -231,10 +231,25 @@ def forecast(
     out = rows.select(*keys, "_sigma", F.inline(points))
     back = F.exp if spec.log_target else (lambda c: c)
     fit, half = F.col("_fit"), spec.z * F.col("_sigma")
-    return out.select(
+    fitted_rows = out.select(
         *keys,
         time,
         back(fit).alias("prediction"),
         back(fit - half).alias("lower_bound"),
         back(fit + half).alias("upper_bound"),
+        F.lit(False).alias("is_fallback"),
+    )
+    # series that cannot be fitted get their last value, without bounds
+    known = history.filter(F.col(spec.value).isNotNull()).groupBy(*keys).agg(F.max_by(spec.value, time).alias("prediction"))
+    others = future.select(*keys, time).join(fitted.select(*keys), keys, "left_anti").join(known, keys, "left")
+    nothing = F.lit(None).cast("double")
+    return fitted_rows.unionByName(
+        others.select(
+            *keys,
+            time,
+            F.col("prediction").cast("double").alias("prediction"),
+            nothing.alias("lower_bound"),
+            nothing.alias("upper_bound"),
+            F.lit(True).alias("is_fallback"),
+        )
     )

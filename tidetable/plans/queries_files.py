@@ -414,15 +414,13 @@ def exactly_one_file(spark, sf_dir):
 def stream_daily(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     stream = loads.read_files(spark, f"{sf_dir}/events*.parquet", schema)
-    daily = loads.period_totals(
-        stream.select(F.col("event_type").alias("series_key"), "ts", "value"),
-        "series_key",
-        "ts",
-        [F.count(F.lit(1)).alias("n"), numeric.money_sum("value").alias("total")],
-    )
+    rows = stream.select(F.col("event_type").alias("series_key"), "ts", "value")
     path = new_folder(spark, "daily")
-    loads.run_available(daily, new_folder(spark, "daily-state"), loads.append_to(path))
-    return report(loads.latest_of_batches(spark, path, ["series_key", "day"]))
+    sums = {"n": F.count(F.lit(1)), "total": F.sum(numeric.hundredths("value"))}
+    write = loads.totals_to(path, "series_key", "ts", sums)
+    loads.run_available(rows, new_folder(spark, "daily-state"), write, mode="append")
+    totals = loads.totals_of_batches(spark, path, "series_key", list(sums))
+    return report(totals.withColumn("total", F.col("total") / 100.0))
 
 
 def _event_files(spark, sf_dir, label):

@@ -207,14 +207,11 @@ def upsert_keep_last(spark, sf_dir):
     ),
 )
 def snapshot_replace(spark, sf_dir):
-    """A corrected snapshot of the second half of the month replaces its days.
-
-    Days for which the snapshot holds no row keep the stored ones, which the
-    data never shows: every day has a value above 20.
-    """
+    """A corrected snapshot of the second half of the month replaces its days."""
     _, rows = _split(spark, sf_dir, "2024-01-31")
-    snapshot = rows.filter((F.col("day") >= F.lit("2024-01-15").cast("date")) & (F.col("value") > 20))
-    return report(incremental.replace_periods(rows, snapshot, "day").select("series_key", "day", "event_id"))
+    covered = F.col("day") >= F.lit("2024-01-15").cast("date")
+    snapshot = rows.filter(covered & (F.col("value") > 20))
+    return report(incremental.replace_periods(rows, snapshot, "day", covered).select("series_key", "day", "event_id"))
 
 
 @query(

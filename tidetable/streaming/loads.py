@@ -51,7 +51,10 @@ def period_totals(
     period: str = "1 day",
     late_by: str = "1 day",
 ) -> DataFrame:
-    """Aggregates per key and period; state is dropped once the watermark has passed a period."""
+    """Aggregates per key and period; state is dropped once the watermark has passed a period.
+
+    Rows that come later than that are lost; where they must count, use :func:`totals_to`.
+    """
     rows = events if isinstance(events.schema[ts].dataType, T.TimestampType) else events.withColumn(ts, as_instant(ts))
     return (
         rows.withWatermark(ts, late_by)
@@ -86,6 +89,22 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def totals_to(path: str, key: Keys, ts: str, sums: dict[str, Column]) -> Callable[[DataFrame, int], None]:
+    """Sums per key and day of each batch, in a folder of its own; no row is too late, and no state is kept."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        instant = F.col(ts) if isinstance(batch.schema[ts].dataType, T.TimestampType) else as_instant(ts)
+        totals = batch.groupBy(*as_list(key), as_utc_date(instant).alias("day")).agg(*[c.alias(n) for n, c in sums.items()])
+        totals.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def totals_of_batches(spark: SparkSession, path: str, key: Keys, sums: list[str]) -> DataFrame:
+    """What :func:`totals_to` wrote, added up over all batches."""
+    return spark.read.parquet(path).groupBy(*as_list(key), "day").agg(*[F.sum(n).alias(n) for n in sums])
+
+
 def latest_of_batches(spark: SparkSession, path: str, on: Keys) -> DataFrame:
     """The newest version of each key over all batches of :func:`append_to` in update mode."""
     return keep_last(spark.read.parquet(path), on, "batch_id").drop("batch_id")
