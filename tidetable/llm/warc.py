@@ -37,6 +37,7 @@ _VERSIONS = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
 _CLOSE = b"\r\n\r\n"
 _LEVEL = 4
+_ONCE = ("warc-type", "warc-record-id", "content-length")
 
 
 def digest32(payload: bytes) -> str:
@@ -92,6 +93,9 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
         pairs = [line.split(":", 1) for line in data[version.end() : stop].decode("utf-8").split("\r\n")]
         head = {k.strip().lower(): v.strip() for k, v in pairs}
         size = int(head["content-length"])
+        # a second one belongs to another record, whose beginning is lost
+        if any(sum(k.strip().lower() == once for k, _ in pairs) != 1 for once in _ONCE):
+            raise ValueError("header")
     except (ValueError, KeyError):
         raise ValueError("header") from None
     begin = stop + 4
