@@ -3,7 +3,10 @@
 A set's shingles stand in one global order: rare ones by hash, then the frequent ones by frequency.  Two sets can only be
 similar if they share a shingle among the first few of each.  Equal sets are one class; classes with equal prefix and size
 are one group; only a document for each group sends its prefix to the join.  There the lists of a shingle are filtered by
-size and position, group pairs that are left are expanded to their members, and members are verified on their whole sets.
+size and position, group pairs that are left are expanded to their members, and members are verified: by sketches that
+bound what they have in common, then on their whole sets.  That is done in two steps: first every group meets the one of
+its lists that agrees with it the longest, then all pairs come that are not of one component yet; so a large group of near
+copies is joined without making all its pairs.
 
 The order only decides the speed, so the frequent shingles, at most ``FREQUENT`` of them, are found by counts that leave
 out what is rare within a block of rows.  A shingle or a group that more than ``BLOCK`` sets share is dealt out as pairs
@@ -27,10 +30,12 @@ from pyspark.sql import functions as F
 
 from tidetable.llm.arrays import mix, run_hashes, runs, text_chunks
 from tidetable.llm.common import partitions
-from tidetable.session import broadcast_if_small, materialize
+from tidetable.session import materialize
 
 #: Bounds on the frequent shingles that all tasks know, and on the sets that one task compares at once.
 FREQUENT, BLOCK = 100_000, 4096
+#: Rows of a list that all others of it meet first, and the size of the filter of the documents to verify.
+PIVOTS, FILTER_BITS = 2, 1 << 26
 #: Shingles that are counted at once, and how often one must occur among them to be passed on.
 _COUNTED, _OFTEN = 1 << 21, 3
 _U = np.uint64
@@ -122,8 +127,23 @@ def _ordered(h: np.ndarray, bounds: np.ndarray, frequent: np.ndarray) -> tuple[n
     return h[rank], place[rank]
 
 
+def _sketch(h: np.ndarray) -> bytes:
+    """How many shingles begin with each bit pattern, a byte for about two shingles; 255 stands for that and more."""
+    bits = min(16, max(5, (len(h) // 2).bit_length()))
+    return np.minimum(np.bincount((h >> _U(64 - bits)).astype(np.intp), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def _plausible(a: bytes, b: bytes, least: int) -> bool:
+    """Whether sets of these sketches can have ``least`` shingles in common."""
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    if x.max() == 255 or y.max() == 255:
+        return True
+    size = min(len(x), len(y))
+    return int(np.minimum(x.reshape(size, -1).sum(axis=1), y.reshape(size, -1).sum(axis=1)).sum()) >= least
+
+
 def _profiles(docs: DataFrame, measure: Measure, frequent: np.ndarray) -> DataFrame:
-    """Size, class and group keys, and prefix of every document."""
+    """Size, class and group keys, prefix and sketch of every document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,10 +161,11 @@ def _profiles(docs: DataFrame, measure: Measure, frequent: np.ndarray) -> DataFr
                     pa.array([digest(x) if x else None for x in sets], pa.binary()),
                     pa.array([digest(x + m.to_bytes(8, "little")) if x else None for x, m in zip(prefixes, n.tolist())], pa.binary()),
                     pa.array(prefixes, pa.binary()),
+                    pa.array([_sketch(h[i:j]) for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "class_key", "group_key", "prefix"])
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "class_key", "group_key", "prefix", "sketch"])
 
-    return docs.mapInArrow(work, "id bigint, n bigint, class_key binary, group_key binary, prefix binary")
+    return docs.mapInArrow(work, "id bigint, n bigint, class_key binary, group_key binary, prefix binary, sketch binary")
 
 
 def _postings(groups: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -176,71 +197,174 @@ def _postings(groups: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Da
     return groups.mapInArrow(work, "key bigint, id bigint, n int, pos int, before bigint, side tinyint")
 
 
-def _pairs_of_list(n: np.ndarray, pos: np.ndarray, before: np.ndarray, side: np.ndarray, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one list that pass the filters; the list is sorted by size.
+def _passes(i, j: np.ndarray, n: np.ndarray, left: np.ndarray, before: np.ndarray, side: np.ndarray, label: np.ndarray, measure: Measure) -> np.ndarray:
+    """Which rows j of a list may be similar to row i: by size, by what is left of both sets, and not yet joined.
 
     Sides: 2 where both are of one block, else 0 and 1, of which only unlike ones meet.  If the shingle before is the same
     in both, the pair has met there.
     """
+    need = measure.overlap(n[i], n[j])
+    least, most = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    ok = (100 * least >= measure.percent * most) & (left[i] >= need) & (left[j] >= need) & (label[i] != label[j])
+    return ok & ((before[j] != before[i]) | (before[i] == 0)) & ((side[i] == 2) | (side[j] != side[i]))
+
+
+def _pairs_of_list(n, pos, before, side, label, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one list, which is sorted by size, that pass the filters."""
+    if (label == label[0]).all():
+        return
     left = n - pos  # this shingle and all behind it
     for i in range(len(n) - 1):
         stop = int(np.searchsorted(n, 100 * int(n[i]) // measure.percent, side="right"))
         j = np.arange(i + 1, stop)
-        if not len(j):
-            continue
-        need = measure.overlap(n[i], n[j])
-        ok = (left[i] >= need) & (left[j] >= need) & ((before[j] != before[i]) | (before[i] == 0)) & ((side[i] == 2) | (side[j] != side[i]))
-        if ok.any():
+        if len(j) and (ok := _passes(i, j, n, left, before, side, label, measure)).any():
             yield np.full(int(ok.sum()), i), j[ok]
 
 
-def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
-    """Distinct pairs of groups that share a prefix shingle and pass the filters."""
+def _pivot_pairs(n, pos, before, side, label, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one list with the rows that stand in it with the most behind them.
+
+    Where such a row is too small or too large for others, those have pivots of their own.
+    """
+    left = n - pos
+    rest = np.arange(len(n))
+    while len(rest) > 1:
+        pivots = rest[np.lexsort((rest, pos[rest]))[:PIVOTS]]
+        # sizes that the first pivot can meet; the others of these rows have been served by it
+        near = (100 * np.minimum(n[rest], n[pivots[0]]) >= measure.percent * np.maximum(n[rest], n[pivots[0]]))
+        for i in pivots:
+            j = rest[rest != i]
+            if (ok := _passes(i, j, n, left, before, side, label, measure)).any():
+                yield np.full(int(ok.sum()), i), j[ok]
+        rest = rest[~near]
+
+
+def _runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Columns of whole lists, and the borders of the lists among them; rows come sorted by key."""
+    held: list[np.ndarray] = []
+
+    def cut(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+        key = columns[0]
+        return columns, np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [np.asarray(_column(batch, c)).astype(np.int64) for c in names]
+        held = [np.concatenate(p) for p in zip(held, now)] if held else now
+        # the last list may go on in the next batch
+        at = int(np.searchsorted(held[0], held[0][-1], side="left"))
+        if at:
+            yield cut([c[:at] for c in held])
+        held = [c[at:] for c in held]
+    if held:
+        yield cut(held)
+
+
+_LIST = ("key", "n", "id", "pos", "before", "side")
+
+
+def _lists(postings: DataFrame) -> DataFrame:
+    """The lists of shingles that more than one group has, sorted by size within a list."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        names = ("key", "n", "id", "pos", "before", "side")
-
-        def met(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, n, ids, pos, before, side = columns
-            borders = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            x, y = [], []
-            for a, b in zip(borders[:-1][np.diff(borders) > 1].tolist(), borders[1:][np.diff(borders) > 1].tolist()):
-                for i, j in _pairs_of_list(n[a:b], pos[a:b], before[a:b], side[a:b], measure):
+        for columns, borders in _runs(batches, _LIST):
+            sizes = np.diff(borders)
+            shared = np.repeat(sizes > 1, sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in columns], names=list(_LIST))
+
+    dealt = postings.repartition(partitions(postings), "key").sortWithinPartitions("key", "n", "id", "pos")
+    return dealt.mapInArrow(work, ", ".join(f"{c} bigint" for c in _LIST))
+
+
+def _candidates(lists: DataFrame, measure: Measure, labels: DataFrame | None) -> DataFrame:
+    """Distinct pairs of groups that share a prefix shingle and pass the filters.
+
+    Without ``labels`` each group meets only one other, of those that stand in its lists with the most behind them.  With
+    them, the components so far, all pairs come that are not of one component.
+    """
+    everything = labels is not None
+    names, meet = (*_LIST, "label"), _pairs_of_list if everything else _pivot_pairs
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(x: list[np.ndarray], y: list[np.ndarray]) -> pa.RecordBatch:
+            p, q = np.concatenate(x), np.concatenate(y)
+            if everything:
+                p, q = np.minimum(p, q), np.maximum(p, q)
+            pairs, times = np.unique(np.stack((p, q))[:, p != q], axis=1, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(times)], names=["a", "b", "times"])
+
+        for (_, n, ids, pos, before, side, label), borders in _runs(batches, names):
+            x, y, size = [], [], 0
+            for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                for i, j in meet(n[a:b], pos[a:b], before[a:b], side[a:b], label[a:b], measure):
                     x.append(ids[a + i])
                     y.append(ids[a + j])
-                if sum(map(len, x)) > 1 << 16:
-                    yield found(x, y)
-                    x, y = [], []
+                    size += len(i)
+                    if size > 1 << 16:
+                        yield found(x, y)
+                        x, y, size = [], [], 0
             if x:
                 yield found(x, y)
 
-        def found(x: list[np.ndarray], y: list[np.ndarray]) -> pa.RecordBatch:
-            p, q = np.concatenate(x), np.concatenate(y)
-            pairs = np.unique(np.stack((np.minimum(p, q), np.maximum(p, q)))[:, p != q], axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+    if labels is None:
+        rows = lists.withColumn("label", F.col("id"))
+    else:
+        rows = lists.join(labels.select("id", F.col("component").alias("label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    dealt = rows.select(*names).repartition(partitions(rows), "key").sortWithinPartitions("key", "n", "id", "pos")
+    pairs = dealt.mapInArrow(work, "a bigint, b bigint, times bigint")
+    if everything:
+        return pairs.select("a", "b").distinct()
+    # each group meets the pivot that most of its lists name
+    named = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"))
+    best = named.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _members_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of the column ``_id`` in 64-bit words, of at most ``FILTER_BITS`` bits whatever the number of ids.
+
+    Tasks send the words they set, and equal words are joined before the driver gets them.
+    """
+    bits = 1 << 16
+    count = ids.count()
+    while bits < min(16 * count, FILTER_BITS):
+        bits *= 2
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            now = [np.asarray(_column(batch, c)).astype(np.int64) for c in names]
-            held = [np.concatenate(p) for p in zip(held, now)] if held else now
-            # the last list may go on in the next batch
-            cut = int(np.searchsorted(held[0], held[0][-1], side="left"))
-            yield from met([c[:cut] for c in held])
-            held = [c[cut:] for c in held]
-        if held:
-            yield from met(held)
+            places = np.concatenate([_places(np.asarray(batch.column(0)), bits, k) for k in range(3)])
+            word, first = np.unique(places >> _U(6), return_inverse=True)
+            value = np.zeros(len(word), _U)
+            np.bitwise_or.at(value, first, _U(1) << (places & _U(63)))
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(value.view(np.int64))], names=["w", "v"])
 
-    dealt = postings.repartition(partitions(postings), "key").sortWithinPartitions("key", "n", "id", "pos")
-    return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
+    words = ids.select("_id").mapInArrow(work, "w bigint, v bigint").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[np.asarray(words.column("w").combine_chunks())] = np.asarray(words.column("v").combine_chunks())
+    return out.view(_U)
+
+
+def _places(ids: np.ndarray, bits: int, k: int) -> np.ndarray:
+    return mix(ids.view(_U) + _U(0x632BE59BD9B4E019 * (k + 1) & (2**64 - 1))) % _U(bits)
 
 
-def _sets(docs: DataFrame, measure: Measure) -> DataFrame:
+def _sets(docs: DataFrame, measure: Measure, wanted: np.ndarray) -> DataFrame:
+    """Packed sets of the documents that pass the filter ``wanted``; a join with the ids themselves drops the others."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = 64 * len(wanted)
         for batch in batches:
-            for a, b, points, offsets in text_chunks(_column(batch, "_text")):
+            ids = np.asarray(_column(batch, "_id").fill_null(0))
+            hit = np.ones(len(ids), bool)
+            for k in range(3):
+                place = _places(ids, bits, k)
+                hit &= (wanted[(place >> _U(6)).astype(np.intp)] >> (place & _U(63)) & _U(1)).astype(bool)
+            kept = batch.filter(pa.array(hit))
+            for a, b, points, offsets in text_chunks(_column(kept, "_text")):
                 h, bounds = shingle_sets(points, offsets, measure.words)
                 sets = [h[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([_column(batch, "_id").slice(a, b - a), pa.array(sets, pa.binary())], names=["id", "set"])
+                yield pa.RecordBatch.from_arrays([_column(kept, "_id").slice(a, b - a), pa.array(sets, pa.binary())], names=["id", "set"])
 
     return docs.mapInArrow(work, "id bigint, set binary")
 
@@ -255,6 +379,20 @@ def similar(a: bytes, b: bytes, measure: Measure) -> bool:
     return 100 * common >= measure.percent * (len(x) + len(y) - common)
 
 
+def _sketched(pairs: DataFrame, profiles: DataFrame, measure: Measure) -> DataFrame:
+    """The pairs whose sketches allow enough shingles in common; sketches are a sixteenth of the sets' size."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            need = measure.overlap(np.asarray(_column(batch, "n")), np.asarray(_column(batch, "m"))).tolist()
+            ok = [_plausible(p.as_py(), q.as_py(), k) for p, q, k in zip(_column(batch, "p"), _column(batch, "q"), need)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    first = pairs.join(profiles.select(F.col("id").alias("a"), "n", F.col("sketch").alias("p")), "a")
+    both = first.join(profiles.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("q")), "b")
+    return both.mapInArrow(work, "a bigint, b bigint").distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,19 +467,26 @@ def near_copies(df: DataFrame, measure: Measure, row_id: str = "doc_id", text: s
     classes = materialize(some.groupBy("class_key").agg(F.min("id").alias("rep"), F.first("group_key").alias("group_key"), F.count(F.lit(1)).alias("copies")), "classes")
     groups = materialize(classes.groupBy("group_key").agg(F.min("rep").alias("group_id"), F.count(F.lit(1)).alias("members")), "groups")
     heads = some.join(groups.select("group_key", F.col("group_id").alias("id")), ["group_key", "id"]).select("id", "n", "prefix")
-    pairs = _candidates(_postings(heads, frequent, counts), measure)
+    lists = materialize(_lists(_postings(heads, frequent, counts)), "lists")
     several = groups.where("members > 1")
     members = classes.join(several, "group_key").select("group_id", F.col("rep").alias("id"), F.ceil(F.col("members") / BLOCK).alias("blocks"))
     members = materialize(members, "members")
-    for side in ("a", "b"):
-        others = members.select(F.col("group_id").alias(side), F.col("id").alias("_member"))
-        pairs = pairs.join(others, side, "left").withColumn(side, F.coalesce("_member", side)).drop("_member")
-    pairs = materialize(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).union(members.select("id")).distinct()
-    wanted = broadcast_if_small(materialize(wanted, "wanted"))
-    sets = materialize(_sets(docs.join(wanted, "_id", "left_semi"), measure), "sets")
-    links = materialize(_verified(pairs, sets, measure).unionByName(_within_groups(members, sets, measure)), "links")
-    named = components(links)
+
+    def verified(candidates: DataFrame) -> DataFrame:
+        """Links among the members of candidate pairs of groups."""
+        for side in ("a", "b"):
+            others = members.select(F.col("group_id").alias(side), F.col("id").alias("_member"))
+            candidates = candidates.join(others, side, "left").withColumn(side, F.coalesce("_member", side)).drop("_member")
+        pairs = materialize(_sketched(candidates, some, measure), "pairs")
+        wanted = _members_filter(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")))
+        return _verified(pairs, materialize(_sets(docs, measure, wanted), "sets"), measure)
+
+    own = _sets(docs, measure, _members_filter(members.select(F.col("id").alias("_id"))))
+    first = materialize(verified(_candidates(lists, measure, None)).unionByName(_within_groups(members, own, measure)), "links")
+    # a group of several classes is never taken for joined, as its members may be of several components
+    joined = components(first).join(members.select(F.col("group_id").alias("id")), "id", "left_anti")
+    rest = verified(_candidates(lists, measure, joined))
+    named = components(materialize(first.unionByName(rest), "links"))
     copied = classes.where("copies > 1").select("class_key", "rep")
     rows = profiles.select("id", "n", "class_key").join(copied, "class_key", "left").withColumn("rep", F.coalesce("rep", "id"))
     rows = rows.join(named.select(F.col("id").alias("rep"), "component"), "rep", "left")
