@@ -386,7 +386,7 @@ def latest_snapshot(spark, sf_dir):
     df = _price(spark, sf_dir).withColumn("year", F.year("month"))
 
     def snapshot(name, rows):
-        rows.withColumn("snapshot", F.lit(name)).repartition("year").write.mode("append").partitionBy("year", "snapshot").parquet(root)
+        rows.withColumn("snapshot", F.lit(name)).hint("rebalance", "year").write.mode("append").partitionBy("year", "snapshot").parquet(root)
 
     snapshot("2020-01", df)
     snapshot("2020-02", df.filter(F.col("year") > 1998).withColumn("price", F.col("price") * 2))

@@ -735,17 +735,23 @@ def json_points(spark, sf_dir):
     rows = roles.readings(spark, sf_dir).select(
         "series_key", "user_id", F.col("day").cast("string").alias("refPer"), F.from_json("props", "k int")["k"].alias("k")
     )
+    # events are summed by day first, so a document has no more points than the calendar has days
+    daily = rows.groupBy("series_key", "user_id", "refPer").agg(F.sum("k").alias("k"), F.count(F.lit(1)).alias("n"))
     # a user's points of one kind form a document, as the raw layer holds them
-    docs = rows.groupBy("series_key", "user_id").agg(F.to_json(F.collect_list(F.struct("refPer", "k"))).alias("doc"))
-    points = F.from_json("doc", "array<struct<refPer:string,k:bigint>>")
-    opened = docs.select("series_key", "user_id", nested.points_or_empty(points, "struct<refPer:string,k:bigint>").alias("p"))
+    docs = daily.groupBy("series_key", "user_id").agg(F.to_json(F.collect_list(F.struct("refPer", "k", "n"))).alias("doc"))
+    points = F.from_json("doc", "array<struct<refPer:string,k:bigint,n:bigint>>")
+    opened = docs.select("series_key", "user_id", nested.points_or_empty(points, "struct<refPer:string,k:bigint,n:bigint>").alias("p"))
     periods = nested.periods_of("p")
+
+    def events(array):
+        return F.aggregate(array, F.lit(0).cast("bigint"), lambda total, point: total + point["n"])
+
     return report(
         opened.select(
             "series_key",
             "user_id",
-            F.size("p").cast("bigint").alias("n_points"),
-            F.size(nested.points_of_period("p", F.lit("2024-01-15"))).cast("bigint").alias("n_on_day"),
+            events("p").alias("n_points"),
+            events(nested.points_of_period("p", F.lit("2024-01-15"))).alias("n_on_day"),
             F.size(periods).cast("bigint").alias("n_days"),
             periods[0].alias("first_day"),
             F.aggregate("p", F.lit(0).cast("bigint"), lambda acc, x: acc + x["k"]).alias("k_total"),
