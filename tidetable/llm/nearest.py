@@ -4,8 +4,8 @@ Centroids come from a balanced k-means over a bounded sample; every vector is in
 of its nearest centroid, and boundary vectors also to further lists whose centroids are nearly as near, unless one already
 chosen is nearer to that centroid.  Centroids are searched by a best-first walk over an in-memory neighbour graph.  A query
 reads the lists whose centroids are at most a ratio farther than its nearest one.  Lists and their queries are dealt out
-in blocks, so a list that holds a third of all vectors is many groups; each group returns its nearest for each query, as
-far as they are not worse than what the query's nearest in the sample show to be enough.
+in blocks, so a list that holds a third of all vectors is many groups.  Each group returns its nearest for each query;
+the first ``min_lists`` lists of a query show how near is enough, and groups of its other lists return nothing worse.
 
 Scores are cosines in double precision on the original vectors; the selection within a group allows for rounding, and the
 scores that are returned are summed in one fixed order, so equal vectors tie exactly and the smaller id wins.
@@ -168,45 +168,22 @@ def centroid_graph(points: np.ndarray, degree: int = 16, seed: int = 3) -> Centr
     return Centroids(points, np.concatenate((graph, beside), axis=1), np.sort(rng.choice(n, min(n, 2 * int(np.ceil(n**0.5))), replace=False)))
 
 
-@dataclass(frozen=True)
-class Sample:
-    """Unit vectors that the index was fitted on, with their ids; an id stands once."""
-
-    ids: np.ndarray
-    points: np.ndarray
-
-    def least(self, ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
-        """A cosine that each query's k-th nearest of all vectors reaches, as k others of the sample do."""
-        near = queries @ self.points.T.astype(np.float64)
-        near[ids[:, None] == self.ids[None, :]] = -np.inf
-        if near.shape[1] < k:
-            return np.full(len(ids), -2.0)
-        return np.maximum(-2.0, np.partition(near, -k, axis=1)[:, -k] - 1e-5)
-
-
-def fit(vectors: DataFrame, options: IndexOptions) -> tuple[Centroids | None, Sample | None]:
-    """Centroids of a sample of (id, vec) whose size the options bound, and the sample."""
+def fit(vectors: DataFrame, options: IndexOptions) -> tuple[Centroids | None, int]:
+    """Centroids of a sample of (id, vec) whose size the options bound, and the vectors' length."""
     n = vectors.count()
     rows = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * min(1.0, options.sample / max(1, n)))
-    got = rows.select("id", "vec").toArrow()
-    taken, sample = unit_rows(got.column("vec").combine_chunks())
+    got = rows.select("vec").toArrow().column("vec").combine_chunks()
+    _, sample = unit_rows(got)
     if not len(sample):
-        return None, None
-    ids = np.asarray(got.column("id").combine_chunks())[taken]
+        return None, 0
     # the order of collected rows is not fixed
-    order = np.lexsort((*sample.T[::-1], ids))
-    ids, sample = ids[order], _unit(sample[order])
+    sample = _unit(sample[np.lexsort(sample.T[::-1])])
     k = max(1, min(options.centroids, n // options.list_rows, len(sample) // 4))
-    ids, first = np.unique(ids, return_index=True)
-    return centroid_graph(balanced_centroids(sample, k)), Sample(ids, sample[first].astype(np.float32))
+    return centroid_graph(balanced_centroids(sample, k)), sample.shape[1]
 
 
-def _placed(vectors: DataFrame, centroids: Centroids, sample: Sample, options: IndexOptions, k: int = 0) -> DataFrame:
-    """(list, id, vec, least) of each vector's lists, or, with ``k``, of those that it reads as a query.
-
-    ``least`` is a cosine below which nothing can be among the query's k nearest.
-    """
-    size, held = sample.points.shape[1], sample if k else None
+def _placed(vectors: DataFrame, centroids: Centroids, size: int, options: IndexOptions, as_query: bool) -> DataFrame:
+    """(list, place, id, vec) of each vector's lists, or of those that it reads as a query, nearest first."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,14 +193,13 @@ def _placed(vectors: DataFrame, centroids: Centroids, sample: Sample, options: I
                 rows, found = unit_rows(column, size)
                 if not len(rows):
                     continue
-                lists = (centroids.lists_for if k else centroids.lists_of)(_unit(found), options)
-                copies = [len(x) for x in lists]
-                repeat = pa.array(np.repeat(rows, copies))
-                least = held.least(np.asarray(ids)[rows], _unit(found), k) if k else np.full(len(rows), -2.0)
-                arrays = [pa.array(np.concatenate(lists).astype(np.int32)), ids.take(repeat), column.take(repeat), pa.array(np.repeat(least, copies))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["list", "id", "vec", "least"])
+                lists = (centroids.lists_for if as_query else centroids.lists_of)(_unit(found), options)
+                repeat = pa.array(np.repeat(rows, [len(x) for x in lists]))
+                place = np.concatenate([np.arange(len(x), dtype=np.int32) for x in lists])
+                arrays = [pa.array(np.concatenate(lists).astype(np.int32)), pa.array(place), ids.take(repeat), column.take(repeat)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["list", "place", "id", "vec"])
 
-    return vectors.mapInArrow(work, f"list int, id bigint, vec {vectors.schema['vec'].dataType.simpleString()}, least double")
+    return vectors.mapInArrow(work, f"list int, place int, id bigint, vec {vectors.schema['vec'].dataType.simpleString()}")
 
 
 def _nearest(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
@@ -258,12 +234,12 @@ def search(df: DataFrame, is_query, k: int, row_id: str = "vec_id", vector: str
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of the k nearest found for each row that is a query."""
     marked = df.select(F.col(row_id).cast("long").alias("id"), F.col(vector).alias("vec"), is_query.alias("q")).where(F.col("id").isNotNull() & F.col("vec").isNotNull())
     vectors = marked.select("id", "vec")
-    centroids, sample = fit(vectors, options)
+    centroids, size = fit(vectors, options)
     spark = df.sparkSession
     if centroids is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    postings = materialize(_placed(vectors, centroids, sample, options), "postings")
-    asked = materialize(_placed(marked.where("q").select("id", "vec"), centroids, sample, options, k), "asked")
+    postings = materialize(_placed(vectors, centroids, size, options, False), "postings")
+    asked = materialize(_placed(marked.where("q").select("id", "vec"), centroids, size, options, True), "asked")
     # as many counts as lists
     counts = {c: {r["list"]: r["count"] for r in t.groupBy("list").count().collect()} for c, t in (("v", postings), ("q", asked))}
     blocks = {c: [-(-counts[c].get(x, 0) // options.block) or 1 for x in range(len(centroids.points))] for c in counts}
@@ -275,7 +251,18 @@ def search(df: DataFrame, is_query, k: int, row_id: str = "vec_id", vector: str
         return spread.select("list", "vb", "qb", "id", "vec", "least")
 
     keys = ["list", "vb", "qb"]
-    near = dealt(asked, "q", "v").groupBy(*keys).cogroup(dealt(postings, "v", "q").groupBy(*keys)).applyInArrow(lambda q, v: _nearest(q, v, k), "query_id bigint, vec_id bigint, score double")
+    stored = dealt(postings.withColumn("least", F.lit(-2.0)), "v", "q")
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = near.repartition(partitions(df), "query_id").dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(by_query))
-    return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+    def near(part: DataFrame) -> DataFrame:
+        both = dealt(part, "q", "v").groupBy(*keys).cogroup(stored.groupBy(*keys))
+        return both.applyInArrow(lambda q, v: _nearest(q, v, k), "query_id bigint, vec_id bigint, score double")
+
+    def top(found: DataFrame) -> DataFrame:
+        rows = found.repartition(partitions(df), "query_id").dropDuplicates(["query_id", "vec_id"])
+        return rows.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+
+    first = materialize(near(asked.where(F.col("place") < options.min_lists).withColumn("least", F.lit(-2.0))), "near")
+    enough = top(first).where(F.col("rank") == k).select(F.col("query_id").alias("id"), (F.col("score") - 1e-9).alias("least"))
+    rest = asked.where(F.col("place") >= options.min_lists).join(enough, "id", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
+    return top(first.unionByName(near(rest))).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
