@@ -106,3 +106,12 @@ def test_odd_rows(odd_docs, no_docs, odd_rows):
     assert all((r["n_shingles"], r["component_id"]) == want[r["doc_id"]] for r in rows if r["doc_id"] is not None)
     assert sorted((r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] is None and r["n_shingles"]) == [(want[5][0], 5)]
     assert near_copies(no_docs, Measure(4, 85)).count() == 0
+
+
+def test_a_group_of_several_classes_names_no_component(spark):
+    """Successive edits: a head is the smallest of its component, while a text of equal prefix joins others of it."""
+    family = ["0 1 3 4 5", "0 1 2 3 4 5", "0 3 4 5", "2 3 4 5", "1 2 3 4 5", "1 2 3 5", "0 1 2 4 5", "0 1 2 5", "3 4 5", "0 2 3 4 5"]
+    rows = [(i, " ".join("w" + x for x in own.split())) for i, own in enumerate(family)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_copies(docs, Measure(1, 70)).collect()}
+    assert got == brute(rows, Measure(1, 70))

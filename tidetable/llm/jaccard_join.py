@@ -197,31 +197,31 @@ def _postings(groups: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Da
     return groups.mapInArrow(work, "key bigint, id bigint, n int, pos int, before bigint, side tinyint")
 
 
-def _passes(i, j: np.ndarray, n: np.ndarray, left: np.ndarray, before: np.ndarray, side: np.ndarray, label: np.ndarray, measure: Measure) -> np.ndarray:
+def _passes(i, j: np.ndarray, n: np.ndarray, left: np.ndarray, before: np.ndarray, side: np.ndarray, label: np.ndarray, apart: np.ndarray, measure: Measure) -> np.ndarray:
     """Which rows j of a list may be similar to row i: by size, by what is left of both sets, and not yet joined.
 
     Sides: 2 where both are of one block, else 0 and 1, of which only unlike ones meet.  If the shingle before is the same
-    in both, the pair has met there.
+    in both, the pair has met there.  Groups that stand ``apart`` have no label, so no pair with one counts as joined.
     """
     need = measure.overlap(n[i], n[j])
     least, most = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-    ok = (100 * least >= measure.percent * most) & (left[i] >= need) & (left[j] >= need) & (label[i] != label[j])
+    ok = (100 * least >= measure.percent * most) & (left[i] >= need) & (left[j] >= need) & ((label[i] != label[j]) | (apart[i] | apart[j] > 0))
     return ok & ((before[j] != before[i]) | (before[i] == 0)) & ((side[i] == 2) | (side[j] != side[i]))
 
 
-def _pairs_of_list(n, pos, before, side, label, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs_of_list(n, pos, before, side, label, apart, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of one list, which is sorted by size, that pass the filters."""
-    if (label == label[0]).all():
+    if (label == label[0]).all() and not apart.any():
         return
     left = n - pos  # this shingle and all behind it
     for i in range(len(n) - 1):
         stop = int(np.searchsorted(n, 100 * int(n[i]) // measure.percent, side="right"))
         j = np.arange(i + 1, stop)
-        if len(j) and (ok := _passes(i, j, n, left, before, side, label, measure)).any():
+        if len(j) and (ok := _passes(i, j, n, left, before, side, label, apart, measure)).any():
             yield np.full(int(ok.sum()), i), j[ok]
 
 
-def _pivot_pairs(n, pos, before, side, label, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pivot_pairs(n, pos, before, side, label, apart, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of one list with the rows that stand in it with the most behind them.
 
     Where such a row is too small or too large for others, those have pivots of their own.
@@ -234,7 +234,7 @@ def _pivot_pairs(n, pos, before, side, label, measure: Measure) -> Iterator[tupl
         near = (100 * np.minimum(n[rest], n[pivots[0]]) >= measure.percent * np.maximum(n[rest], n[pivots[0]]))
         for i in pivots:
             j = rest[rest != i]
-            if (ok := _passes(i, j, n, left, before, side, label, measure)).any():
+            if (ok := _passes(i, j, n, left, before, side, label, apart, measure)).any():
                 yield np.full(int(ok.sum()), i), j[ok]
         rest = rest[~near]
 
@@ -281,10 +281,11 @@ def _candidates(lists: DataFrame, measure: Measure, labels: DataFrame | None) ->
     """Distinct pairs of groups that share a prefix shingle and pass the filters.
 
     Without ``labels`` each group meets only one other, of those that stand in its lists with the most behind them.  With
-    them, the components so far, all pairs come that are not of one component.
+    them (id, label), the components so far, all pairs come that are not of one component; a null label is of none, nor
+    can it be told by any id, as the head of a group may itself name a component.
     """
     everything = labels is not None
-    names, meet = (*_LIST, "label"), _pairs_of_list if everything else _pivot_pairs
+    names, meet = (*_LIST, "label", "apart"), _pairs_of_list if everything else _pivot_pairs
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(x: list[np.ndarray], y: list[np.ndarray]) -> pa.RecordBatch:
@@ -294,10 +295,10 @@ def _candidates(lists: DataFrame, measure: Measure, labels: DataFrame | None) ->
             pairs, times = np.unique(np.stack((p, q))[:, p != q], axis=1, return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(times)], names=["a", "b", "times"])
 
-        for (_, n, ids, pos, before, side, label), borders in _runs(batches, names):
+        for (_, n, ids, pos, before, side, label, apart), borders in _runs(batches, names):
             x, y, size = [], [], 0
             for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
-                for i, j in meet(n[a:b], pos[a:b], before[a:b], side[a:b], label[a:b], measure):
+                for i, j in meet(n[a:b], pos[a:b], before[a:b], side[a:b], label[a:b], apart[a:b], measure):
                     x.append(ids[a + i])
                     y.append(ids[a + j])
                     size += len(i)
@@ -308,9 +309,10 @@ def _candidates(lists: DataFrame, measure: Measure, labels: DataFrame | None) ->
                 yield found(x, y)
 
     if labels is None:
-        rows = lists.withColumn("label", F.col("id"))
+        rows = lists.withColumn("label", F.col("id")).withColumn("apart", F.lit(0))
     else:
-        rows = lists.join(labels.select("id", F.col("component").alias("label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
+        known = labels.select("id", "label", F.col("label").isNull().cast("int").alias("apart"))
+        rows = lists.join(known, "id", "left").withColumn("label", F.coalesce("label", "id")).withColumn("apart", F.coalesce("apart", F.lit(0)))
     dealt = rows.select(*names).repartition(partitions(rows), "key").sortWithinPartitions("key", "n", "id", "pos")
     pairs = dealt.mapInArrow(work, "a bigint, b bigint, times bigint")
     if everything:
@@ -484,7 +486,9 @@ def near_copies(df: DataFrame, measure: Measure, row_id: str = "doc_id", text: s
     own = _sets(docs, measure, _members_filter(members.select(F.col("id").alias("_id"))))
     first = materialize(verified(_candidates(lists, measure, None)).unionByName(_within_groups(members, own, measure)), "links")
     # a group of several classes is never taken for joined, as its members may be of several components
-    joined = components(first).join(members.select(F.col("group_id").alias("id")), "id", "left_anti")
+    apart = members.select(F.col("group_id").alias("id")).distinct()
+    joined = components(first).join(apart, "id", "left_anti").select("id", F.col("component").alias("label"))
+    joined = joined.unionByName(apart.withColumn("label", F.lit(None).cast("long")))
     rest = verified(_candidates(lists, measure, joined))
     named = components(materialize(first.unionByName(rest), "links"))
     copied = classes.where("copies > 1").select("class_key", "rep")
