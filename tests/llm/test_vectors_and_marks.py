@@ -177,3 +177,13 @@ def test_rows_run_clockwise():
     assert table.tolist() == [[0, 0, 0, 0], [0, 3, 1, 1], [1, 0, 1, 0], [3, 0, 1, 2], [3, 1, 2, 0]] or sum(1 for _ in table) >= 4
     with pytest.raises(ValueError):
         ring.allocate({0: 9}, owner, [3, 3, 2])
+
+
+def test_the_ratio_alone_chooses_the_lists_of_a_query():
+    rng = np.random.default_rng(5)
+    points, queries = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (rng.normal(size=(2500, 64)), rng.normal(size=(4, 64))))
+    options = nearest.IndexOptions()
+    distance = np.sqrt(2 - 2 * queries @ points.T)
+    want = [np.flatnonzero(d <= (1 + options.ratio) * d.min()).tolist() for d in distance]
+    assert max(map(len, want)) > 1024
+    assert [sorted(x.tolist()) for x in nearest.centroid_graph(points).lists_for(queries, options)] == want

@@ -2,8 +2,8 @@
 
 Centroids come from a balanced k-means over a bounded sample; every vector is indexed.  A vector goes to the posting list
 of its nearest centroid, and boundary vectors also to further lists whose centroids are nearly as near, unless one already
-chosen is nearer to that centroid.  Centroids are searched by a best-first walk over an in-memory neighbour graph.  A query
-reads the lists whose centroids are at most a ratio farther than its nearest one.  Lists and their queries are dealt out
+chosen is nearer to that centroid.  Those centroids are searched by a best-first walk over an in-memory neighbour graph.
+A query reads all lists whose centroids are at most a ratio farther than its nearest one, however many these are.  Lists and their queries are dealt out
 in blocks, so a list that holds a third of all vectors is many groups.  Each group returns its nearest for each query;
 the first ``min_lists`` lists of a query show how near is enough, and groups of its other lists return nothing worse.
 
@@ -31,7 +31,7 @@ from tidetable.session import materialize
 
 @dataclass(frozen=True)
 class IndexOptions:
-    """Bounds and ratios: sampled rows, centroids, rows of a list, replicas, lists of a query, rows of a block."""
+    """Bounds and ratios: sampled rows, centroids, rows of a list, replicas, least lists of a query, rows of a block."""
 
     sample: int = 16_384
     centroids: int = 4096
@@ -39,7 +39,6 @@ class IndexOptions:
     replicas: int = 4
     boundary: float = 0.10
     min_lists: int = 16
-    max_lists: int = 1024
     ratio: float = 0.28
     block: int = 4096
 
@@ -54,6 +53,10 @@ class Centroids:
         """The nearest centroids that a walk of this width finds for each unit vector, and their distances."""
         rows, n = len(vectors), len(self.points)
         width = min(width, n)
+        if width == n:  # such a walk meets every centroid, so all are measured at once
+            near = vectors @ self.points.T
+            found = np.argsort(-near, axis=1, kind="stable")
+            return found, np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(near, found, 1)))
         seen = np.zeros((rows, n), bool)
         near = vectors @ self.points[self.doors].T
         start = self.doors[near.argmax(axis=1)]
@@ -102,9 +105,9 @@ class Centroids:
         return out
 
     def lists_for(self, queries: np.ndarray, options: IndexOptions) -> list[np.ndarray]:
-        """The lists that each query reads, by the ratio of distances."""
-        ids, distance = self.search(queries, options.max_lists)
-        keep = (ids >= 0) & ((distance <= (1 + options.ratio) * distance[:, :1]) | (np.arange(ids.shape[1]) < options.min_lists))
+        """The lists that each query reads, by the ratio of distances alone."""
+        ids, distance = self.search(queries, len(self.points))
+        keep = (distance <= (1 + options.ratio) * distance[:, :1]) | (np.arange(ids.shape[1]) < options.min_lists)
         return [own[k] for own, k in zip(ids, keep)]
 
 
