@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidetable.llm import jaccard_join, language, packing, quality
-from tidetable.llm.common import held_out, table
+from tidetable.llm.common import held_out, partitions, table
 from tidetable.session import materialize
 
 #: A score below this is low quality; words of a shingle and the least similarity of near copies in hundredths.
@@ -48,20 +48,37 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select(*rows.columns).toDF(*names)
 
 
+def _numbered(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with ``_id`` in place of ``_own``: one number for each ``_own``, in their order, then for each text without one."""
+    digest = F.when(F.col("_own").isNull(), F.sha2(F.col(text), 256))
+    keys = rows.select(F.col("_own").alias("_key"), digest.alias("_digest")).distinct()
+    order = [F.asc_nulls_last("_key"), F.col("_digest")]
+    dealt = keys.repartitionByRange(partitions(rows), *order).sortWithinPartitions(*order)
+    # the numbers are written, so a repeated task finds the same ones
+    numbers = materialize(dealt.withColumn("_id", F.monotonically_increasing_id()), "numbers")
+    same = F.col("_own").eqNullSafe(F.col("_key")) & digest.eqNullSafe(F.col("_digest"))
+    return materialize(rows.join(numbers, same).drop("_own", "_key", "_digest"), "numbered")
+
+
 def distinct_content(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id.
 
-    Rows of one id are one document, of which the text with the smallest hash stays; a document without an id goes by a
-    hash of its text.
+    Rows of one id are one document, of which the text with the smallest hash stays; a document without an id goes by its
+    text and stands behind all ids.  Rows without id and text have nothing to compare and stay.
     """
     rows, names = _private(docs)
     doc_id, text = _named(docs, "doc_id"), _named(docs, "text")
-    rows = rows.withColumn("_id", F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)))
+    bare = F.col(doc_id).isNull() & F.col(text).isNull()
+    rest, rows = rows.where(bare), rows.where(~bare).withColumn("_own", F.col(doc_id).cast("long"))
+    if rows.where("_own IS NULL").limit(1).count():
+        rows = _numbered(rows, text)
+    else:
+        rows = rows.withColumnRenamed("_own", "_id")
     found = jaccard_join.near_copies(rows, jaccard_join.Measure(WORDS, PERCENT), "_id", text)
     stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
     first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text)))
     kept = rows.join(stays, "_id", "left_semi").withColumn("_first", first).where("_first = 1")
-    return kept.drop("_id", "_first").toDF(*names)
+    return kept.drop("_id", "_first").select(*rest.columns).unionByName(rest).toDF(*names)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

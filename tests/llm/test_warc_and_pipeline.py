@@ -119,3 +119,13 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs, odd_rows):
     near = corpus_pipeline.distinct_content(spark, odd_docs, SF).collect()
     assert sum(r["text"] == odd_rows[5][1] for r in near) == 1 and sum(r["text"] is None for r in near) == 2
     assert packing.pack_texts(odd_docs.select("doc_id", "text"), corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json"), 2, 1024).count() >= len(odd_rows)
+
+
+def test_rows_without_id_and_text_meet_no_document(spark):
+    """A null text hashes to 42, and document 42 has a text of a greater hash; texts without id are still compared."""
+    text = "a b c d e f g h"
+    rows = [(42, "one two three four five six"), (None, None), (None, None), (7, text), (None, text), (None, "p q r s t u v"), (None, "p q r s t u v")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert docs.where("doc_id = 42 AND xxhash64(text) > 42").count() == 1
+    near = [tuple(r) for r in corpus_pipeline.distinct_content(spark, docs, SF).collect()]
+    assert sorted(near, key=str) == sorted([*rows[:4], rows[5]], key=str)
