@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import public_tokenizers
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidetable.llm import bpe, fingerprints, jaccard_join, language, nearest, packing, quality, ring, token_counts, warc
+from tidetable.llm import bpe, columnar, fingerprints, jaccard_join, language, lexical, nearest, packing, periodic, quality, ring, token_counts, warc
 from tidetable.llm.common import held_out, table
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -54,6 +55,41 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _made_periodic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of which each tenth, by crc32 of its id, repeats some words from a place on; a null id changes nothing."""
+
+    def changed(doc_id: int, text: str | None) -> str | None:
+        g, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+        if rest or not (words := (text or "").encode().split()):
+            return text
+        n = len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return b" ".join(words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]).decode()
+
+    for batch in batches:
+        ids, texts = (batch.column(batch.schema.names.index(c)) for c in ("doc_id", "text"))
+        new = [t if i is None else changed(i, t) for i, t in zip(ids.to_pylist(), texts.to_pylist())]
+        yield pa.RecordBatch.from_arrays([ids, pa.array(new, pa.large_string())], names=["doc_id", "text"])
+
+
+def _run_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [[(r["start"], r["length"], r["period"]) for r in own] for own in batch.column(batch.schema.names.index("runs")).to_pylist()]
+        best = [periodic.best_run(own) for own in found]
+        listed = ["".join("%d,%d,%d\n" % r for r in own) for own in found]
+        long = lambda values: pa.array(values, pa.int64())
+        columns = {
+            "doc_id": batch.column(batch.schema.names.index("doc_id")),
+            "n_runs": long([len(own) for own in found]),
+            **{name: long([r and r[at] for r in best]) for at, name in enumerate(("start", "length", "period"))},
+            "exponent_milli": long([r and 1000 * r[1] // r[2] for r in best]),
+            "runs_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() for x in listed], pa.string()),
+            "collapsed_sha256": pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(batch.schema.names.index("collapsed"))], pa.string()),
+        }
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def op1_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from the rows outside fold 0."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
@@ -123,9 +159,28 @@ def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least six words and four periods in every whole text, of which each tenth is made periodic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.detecting(periodic.Rule(6, 4), ["doc_id"])
+    digests = "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string"
+    return docs.mapInArrow(lambda batches: _run_digests(found(_made_periodic(batches))), digests)
+
+
+def op12_ranked_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+def op13_columnar_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty greatest inner products of whole vectors for every twentieth."""
+    return columnar.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20, scale=64.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_codes, op2_grouped_prefix_join, op3_bin_slack_packing, op4_multiset_fingerprints, op5_balanced_postings, op6_token_counts,
-    op7_quality_ftrl, op8_bpe_round_trip, op9_warc_salvage, op10_bounded_ring,
+    op7_quality_ftrl, op8_bpe_round_trip, op9_warc_salvage, op10_bounded_ring, op11_periodic_runs, op12_ranked_intervals,
+    op13_columnar_topk,
 )}
 SQL: dict[str, str] = {
     "op2_grouped_prefix_join": """
@@ -159,6 +214,38 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
 FROM h
+""",
+    "op12_ranked_intervals": """
+WITH t AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
+  FROM documents),
+sizes AS (SELECT d, doc_id, CAST(len(w) AS BIGINT) AS n FROM t WHERE len(w) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+items AS (
+  SELECT row_number() OVER () AS q, item_id,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+  FROM benchmark),
+asked AS (SELECT q, item_id, term, count(*) AS times FROM items GROUP BY ALL),
+words AS (SELECT d, unnest(w) AS term FROM t),
+tf AS (SELECT d, term, CAST(count(*) AS BIGINT) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term, docs),
+impact AS (
+  SELECT tf.d, s.doc_id, tf.term, w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * s.n * total.docs) // total.terms))) AS i
+  FROM tf JOIN sizes s ON s.d = tf.d JOIN weights w ON w.term = tf.term, total),
+scores AS (SELECT a.q, a.item_id, i.d, i.doc_id, CAST(sum(a.times * i.i) AS BIGINT) AS score FROM asked a JOIN impact i ON i.term = a.term GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+    "op13_columnar_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """,
 }
 
