@@ -115,3 +115,28 @@ def test_a_group_of_several_classes_names_no_component(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_copies(docs, Measure(1, 70)).collect()}
     assert got == brute(rows, Measure(1, 70))
+
+
+def test_one_family_of_copies_takes_pairs_in_proportion(spark, monkeypatch):
+    """Pairs that are looked at grow with the copies, not with their square, though many miss the pivots."""
+    counted, sketched = [], jaccard_join._sketched
+
+    def count(pairs, profiles, measure):
+        counted.append(pairs.count())
+        return sketched(pairs, profiles, measure)
+
+    monkeypatch.setattr(jaccard_join, "_sketched", count)
+    looked = {}
+    for n in (300, 1200):
+        rng = random.Random(1)
+        base = rng.choices(["w%d" % i for i in range(400)], k=200)
+        rows = []
+        for i in range(n):
+            own = list(base)
+            for _ in range(rng.randint(0, 5)):
+                own[rng.randrange(len(own))] = "x%d" % rng.randrange(400)
+            rows.append((i, " ".join(own)))
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+        assert {r["component_id"] for r in near_copies(docs, Measure(5, 70)).collect()} == {0}
+        looked[n], counted[:] = sum(counted), []
+    assert looked[1200] < 6 * looked[300] and looked[1200] < 20 * 1200, looked

@@ -4,9 +4,10 @@ A set's shingles stand in one global order: rare ones by hash, then the frequent
 similar if they share a shingle among the first few of each.  Equal sets are one class; classes with equal prefix and size
 are one group; only a document for each group sends its prefix to the join.  There the lists of a shingle are filtered by
 size and position, group pairs that are left are expanded to their members, and members are verified: by sketches that
-bound what they have in common, then on their whole sets.  That is done in two steps: first every group meets the one of
-its lists that agrees with it the longest, then all pairs come that are not of one component yet; so a large group of near
-copies is joined without making all its pairs.
+bound what they have in common, then on their whole sets.  That is done in three rounds, each of which only looks at pairs
+that are not of one component yet: every group meets the one of its lists that agrees with it the longest; then those that
+stand near it in its lists; then all others, which only long lists of several components still have.  So a large group of
+near copies is joined without making all its pairs.  Groups meet by their heads at first, by all their members at last.
 
 The order only decides the speed, so the frequent shingles, at most ``FREQUENT`` of them, are found by counts that leave
 out what is rare within a block of rows.  A shingle or a group that more than ``BLOCK`` sets share is dealt out as pairs
@@ -34,8 +35,9 @@ from tidetable.session import materialize
 
 #: Bounds on the frequent shingles that all tasks know, and on the sets that one task compares at once.
 FREQUENT, BLOCK = 100_000, 4096
-#: Rows of a list that all others of it meet first, and the size of the filter of the documents to verify.
-PIVOTS, FILTER_BITS = 2, 1 << 26
+#: Rows of a list that all others of it meet first, places on either side that a row meets next, and the size of the
+#: filter of the documents to verify.
+PIVOTS, WINDOW, FILTER_BITS = 2, 8, 1 << 26
 #: Shingles that are counted at once, and how often one must occur among them to be passed on.
 _COUNTED, _OFTEN = 1 << 21, 3
 _U = np.uint64
@@ -197,46 +199,79 @@ def _postings(groups: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Da
     return groups.mapInArrow(work, "key bigint, id bigint, n int, pos int, before bigint, side tinyint")
 
 
-def _passes(i, j: np.ndarray, n: np.ndarray, left: np.ndarray, before: np.ndarray, side: np.ndarray, label: np.ndarray, apart: np.ndarray, measure: Measure) -> np.ndarray:
-    """Which rows j of a list may be similar to row i: by size, by what is left of both sets, and not yet joined.
+@dataclass(frozen=True)
+class Lists:
+    """Rows of whole lists, sorted by size within a list: columns of equal length, and the borders of the lists."""
+
+    n: np.ndarray
+    pos: np.ndarray
+    before: np.ndarray
+    side: np.ndarray
+    label: np.ndarray
+    apart: np.ndarray
+    borders: np.ndarray
+
+    def number(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.borders) - 1), np.diff(self.borders))
+
+
+def _passes(x: Lists, i, j: np.ndarray, measure: Measure) -> np.ndarray:
+    """Which rows j may be similar to row i of the same list: by size, by what is left of both sets, and not yet joined.
 
     Sides: 2 where both are of one block, else 0 and 1, of which only unlike ones meet.  If the shingle before is the same
     in both, the pair has met there.  Groups that stand ``apart`` have no label, so no pair with one counts as joined.
     """
-    need = measure.overlap(n[i], n[j])
-    least, most = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-    ok = (100 * least >= measure.percent * most) & (left[i] >= need) & (left[j] >= need) & ((label[i] != label[j]) | (apart[i] | apart[j] > 0))
-    return ok & ((before[j] != before[i]) | (before[i] == 0)) & ((side[i] == 2) | (side[j] != side[i]))
+    need = measure.overlap(x.n[i], x.n[j])
+    least, most = np.minimum(x.n[i], x.n[j]), np.maximum(x.n[i], x.n[j])
+    ok = (100 * least >= measure.percent * most) & (x.n[i] - x.pos[i] >= need) & (x.n[j] - x.pos[j] >= need)
+    ok &= (x.label[i] != x.label[j]) | ((x.apart[i] | x.apart[j]) > 0)
+    return ok & ((x.before[j] != x.before[i]) | (x.before[i] == 0)) & ((x.side[i] == 2) | (x.side[j] != x.side[i]))
 
 
-def _pairs_of_list(n, pos, before, side, label, apart, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one list, which is sorted by size, that pass the filters."""
-    if (label == label[0]).all() and not apart.any():
-        return
-    left = n - pos  # this shingle and all behind it
-    for i in range(len(n) - 1):
-        stop = int(np.searchsorted(n, 100 * int(n[i]) // measure.percent, side="right"))
-        j = np.arange(i + 1, stop)
-        if len(j) and (ok := _passes(i, j, n, left, before, side, label, apart, measure)).any():
-            yield np.full(int(ok.sum()), i), j[ok]
+Pairs = Iterator[tuple[np.ndarray, np.ndarray]]
 
 
-def _pivot_pairs(n, pos, before, side, label, apart, measure: Measure) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one list with the rows that stand in it with the most behind them.
+def _pivot_pairs(x: Lists, measure: Measure) -> Pairs:
+    """Index pairs with the rows of each list that stand in it with the most behind them, the pivot first.
 
     Where such a row is too small or too large for others, those have pivots of their own.
     """
-    left = n - pos
-    rest = np.arange(len(n))
-    while len(rest) > 1:
-        pivots = rest[np.lexsort((rest, pos[rest]))[:PIVOTS]]
+    rest, number = np.arange(len(x.n)), x.number()
+    while len(rest):
+        order = rest[np.lexsort((rest, x.pos[rest], number[rest]))]
+        first = np.flatnonzero(np.diff(number[order], prepend=-1))
+        size = np.diff(np.append(first, len(order)))
+        start = np.repeat(first, size)  # where the list of a row begins
+        for k in range(PIVOTS):
+            some = np.flatnonzero((np.repeat(size, size) > k) & (np.arange(len(order)) != start + k))
+            i, j = order[start[some] + k], order[some]
+            ok = _passes(x, i, j, measure)
+            yield i[ok], j[ok]
         # sizes that the first pivot can meet; the others of these rows have been served by it
-        near = (100 * np.minimum(n[rest], n[pivots[0]]) >= measure.percent * np.maximum(n[rest], n[pivots[0]]))
-        for i in pivots:
-            j = rest[rest != i]
-            if (ok := _passes(i, j, n, left, before, side, label, apart, measure)).any():
+        pivot = order[start]
+        far = 100 * np.minimum(x.n[order], x.n[pivot]) < measure.percent * np.maximum(x.n[order], x.n[pivot])
+        rest = np.sort(order[far])
+
+
+def _window_pairs(x: Lists, measure: Measure) -> Pairs:
+    """Index pairs of the rows that stand at most ``WINDOW`` places apart in a list."""
+    number = x.number()
+    for k in range(1, WINDOW + 1):
+        i = np.flatnonzero(number[k:] == number[:-k])
+        ok = _passes(x, i, i + k, measure)
+        yield i[ok], i[ok] + k
+
+
+def _far_pairs(x: Lists, measure: Measure) -> Pairs:
+    """Index pairs of the rows that stand more than ``WINDOW`` places apart in a list."""
+    for a, b in zip(x.borders[:-1].tolist(), x.borders[1:].tolist()):
+        if (x.label[a:b] == x.label[a]).all() and not x.apart[a:b].any():
+            continue
+        stops = a + np.searchsorted(x.n[a:b], 100 * x.n[a:b] // measure.percent, side="right")
+        for i in range(a, b - WINDOW - 1):
+            j = np.arange(i + WINDOW + 1, stops[i - a])
+            if len(j) and (ok := _passes(x, i, j, measure)).any():
                 yield np.full(int(ok.sum()), i), j[ok]
-        rest = rest[~near]
 
 
 def _runs(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
@@ -277,36 +312,34 @@ def _lists(postings: DataFrame) -> DataFrame:
     return dealt.mapInArrow(work, ", ".join(f"{c} bigint" for c in _LIST))
 
 
-def _candidates(lists: DataFrame, measure: Measure, labels: DataFrame | None) -> DataFrame:
-    """Distinct pairs of groups that share a prefix shingle and pass the filters.
+def _candidates(lists: DataFrame, measure: Measure, meet, labels: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs of groups that share a prefix shingle, pass the filters and ``meet`` each other.
 
-    Without ``labels`` each group meets only one other, of those that stand in its lists with the most behind them.  With
-    them (id, label), the components so far, all pairs come that are not of one component; a null label is of none, nor
-    can it be told by any id, as the head of a group may itself name a component.
+    In the round of the pivots (without ``labels``) each group meets only one other, which most of its lists name.  With
+    ``labels`` (id, label), the components so far, pairs of one component are left out; a null label is of none, nor can
+    it be told by any id, as the head of a group may itself name a component.
     """
-    everything = labels is not None
-    names, meet = (*_LIST, "label", "apart"), _pairs_of_list if everything else _pivot_pairs
+    names, ordered = (*_LIST, "label", "apart"), labels is not None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(x: list[np.ndarray], y: list[np.ndarray]) -> pa.RecordBatch:
-            p, q = np.concatenate(x), np.concatenate(y)
-            if everything:
+        def found(ids: np.ndarray, x: list[np.ndarray], y: list[np.ndarray]) -> pa.RecordBatch:
+            p, q = ids[np.concatenate(x)], ids[np.concatenate(y)]
+            if ordered:
                 p, q = np.minimum(p, q), np.maximum(p, q)
             pairs, times = np.unique(np.stack((p, q))[:, p != q], axis=1, return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(times)], names=["a", "b", "times"])
 
-        for (_, n, ids, pos, before, side, label, apart), borders in _runs(batches, names):
+        for (_, n, ids, *columns), borders in _runs(batches, names):
             x, y, size = [], [], 0
-            for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
-                for i, j in meet(n[a:b], pos[a:b], before[a:b], side[a:b], label[a:b], apart[a:b], measure):
-                    x.append(ids[a + i])
-                    y.append(ids[a + j])
-                    size += len(i)
-                    if size > 1 << 16:
-                        yield found(x, y)
-                        x, y, size = [], [], 0
+            for i, j in meet(Lists(n, *columns, borders), measure):
+                x.append(i)
+                y.append(j)
+                size += len(i)
+                if size > 1 << 16:
+                    yield found(ids, x, y)
+                    x, y, size = [], [], 0
             if x:
-                yield found(x, y)
+                yield found(ids, x, y)
 
     if labels is None:
         rows = lists.withColumn("label", F.col("id")).withColumn("apart", F.lit(0))
@@ -315,9 +348,8 @@ def _candidates(lists: DataFrame, measure: Measure, labels: DataFrame | None) ->
         rows = lists.join(known, "id", "left").withColumn("label", F.coalesce("label", "id")).withColumn("apart", F.coalesce("apart", F.lit(0)))
     dealt = rows.select(*names).repartition(partitions(rows), "key").sortWithinPartitions("key", "n", "id", "pos")
     pairs = dealt.mapInArrow(work, "a bigint, b bigint, times bigint")
-    if everything:
+    if ordered:
         return pairs.select("a", "b").distinct()
-    # each group meets the pivot that most of its lists name
     named = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"))
     best = named.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a"))
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -460,6 +492,14 @@ def components(links: DataFrame, limit: int = 100) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _group_labels(members: DataFrame, components_: DataFrame) -> DataFrame:
+    """(id, label) of the groups that are joined: the component of a group's members, null where they are of several."""
+    own = members.join(components_, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = own.groupBy(F.col("group_id").alias("id")).agg(F.when(F.min("component") == F.max("component"), F.min("component")).alias("label"))
+    alone = components_.join(several, "id", "left_anti").select("id", F.col("component").alias("label"))
+    return alone.unionByName(several)
+
+
 def near_copies(df: DataFrame, measure: Measure, row_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``df``."""
     docs = df.select(F.col(row_id).cast("long").alias("_id"), F.col(text).alias("_text"))
@@ -473,24 +513,39 @@ def near_copies(df: DataFrame, measure: Measure, row_id: str = "doc_id", text: s
     several = groups.where("members > 1")
     members = classes.join(several, "group_key").select("group_id", F.col("rep").alias("id"), F.ceil(F.col("members") / BLOCK).alias("blocks"))
     members = materialize(members, "members")
+    wide = members.select(F.col("group_id").alias("id")).distinct()
 
     def verified(candidates: DataFrame) -> DataFrame:
-        """Links among the members of candidate pairs of groups."""
-        for side in ("a", "b"):
-            others = members.select(F.col("group_id").alias(side), F.col("id").alias("_member"))
-            candidates = candidates.join(others, side, "left").withColumn(side, F.coalesce("_member", side)).drop("_member")
+        """The pairs of documents that are similar."""
         pairs = materialize(_sketched(candidates, some, measure), "pairs")
         wanted = _members_filter(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")))
         return _verified(pairs, materialize(_sets(docs, measure, wanted), "sets"), measure)
 
+    def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The pairs whose ids do not have one label; ids without any stand alone, null labels join nothing."""
+        for side in ("a", "b"):
+            own = labels.select(F.col("id").alias(side), F.col("label").alias(f"_{side}"), F.lit(True).alias(f"_in_{side}"))
+            pairs = pairs.join(own, side, "left").withColumn(f"_{side}", F.when(F.col(f"_in_{side}"), F.col(f"_{side}")).otherwise(F.col(side)))
+        apart = F.col("_a").isNull() | F.col("_b").isNull() | (F.col("_a") != F.col("_b"))
+        return pairs.where(apart).select("a", "b")
+
     own = _sets(docs, measure, _members_filter(members.select(F.col("id").alias("_id"))))
-    first = materialize(verified(_candidates(lists, measure, None)).unionByName(_within_groups(members, own, measure)), "links")
-    # a group of several classes is never taken for joined, as its members may be of several components
-    apart = members.select(F.col("group_id").alias("id")).distinct()
-    joined = components(first).join(apart, "id", "left_anti").select("id", F.col("component").alias("label"))
-    joined = joined.unionByName(apart.withColumn("label", F.lit(None).cast("long")))
-    rest = verified(_candidates(lists, measure, joined))
-    named = components(materialize(first.unionByName(rest), "links"))
+    links = materialize(verified(_candidates(lists, measure, _pivot_pairs)).unionByName(_within_groups(members, own, measure)), "links")
+    labels = materialize(_group_labels(members, components(links)), "labels")
+    near = materialize(_candidates(lists, measure, _window_pairs, labels), "near")
+    links = materialize(links.unionByName(verified(near)), "links")
+    joined = components(links)
+    labels = materialize(_group_labels(members, joined), "labels")
+    far = _candidates(lists, measure, _far_pairs, labels)
+    # heads have met; where a group has more members, these have not
+    met = near.join(wide.withColumnRenamed("id", "a"), "a", "left_semi").unionByName(near.join(wide.withColumnRenamed("id", "b"), "b", "left_semi"))
+    rest = across(far.unionByName(met).distinct(), labels)
+    for side in ("a", "b"):
+        others = members.select(F.col("group_id").alias(side), F.col("id").alias("_member"))
+        rest = rest.join(others, side, "left").withColumn(side, F.coalesce("_member", side)).drop("_member")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = across(rest.join(near, ["a", "b"], "left_anti"), joined.withColumnRenamed("component", "label"))
+    named = components(materialize(links.unionByName(verified(rest)), "links"))
     copied = classes.where("copies > 1").select("class_key", "rep")
     rows = profiles.select("id", "n", "class_key").join(copied, "class_key", "left").withColumn("rep", F.coalesce("rep", "id"))
     rows = rows.join(named.select(F.col("id").alias("rep"), "component"), "rep", "left")
