@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -146,6 +147,30 @@ def slices(points: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarr
     return words, np.searchsorted(starts, offsets)
 
 
+@lru_cache(maxsize=4)
+def _specials(special: tuple[str, ...]) -> re.Pattern:
+    return re.compile("(" + "|".join(re.escape(s) for s in special) + ")")
+
+
+def segments(text: str, vocab: Vocabulary) -> list[str]:
+    """Plain segments and special strings in turn, without empty ones."""
+    if not vocab.special or not any(s in text for s in vocab.special):
+        return [text] if text else []
+    return [p for p in _specials(tuple(vocab.special)).split(text) if p]
+
+
+def text_ids(text: str, path: str) -> np.ndarray:
+    """The ids of one text whose special strings stay whole."""
+    vocab, cache, out = vocabulary(path), packed_cache(path), []
+    for piece in segments(text, vocab):
+        if piece in vocab.special:
+            out.append(vocab.special[piece].to_bytes(4, "little"))
+        else:
+            points = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
+            out += [cache[w] for w in slices(points, np.array([0, len(points)]))[0]]
+    return np.frombuffer(b"".join(out), "<u4")
+
+
 def _replace(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     kept = [n for n in batch.schema.names if n not in columns]
     return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *columns.values()], names=[*kept, *columns])

@@ -2,7 +2,7 @@
 
 A paragraph (line) hashes to a vector in two parts.  The first is a wide digest, added modulo 2**64: two texts have equal
 sums when they have the same paragraphs with the same frequency, in any order.  The second spreads the paragraph's
-overlapping pieces of PIECE code points over signed lanes, added modulo 2**16: the angle between two such sums estimates the likeness of the
+overlapping pieces of PIECE code points over signed lanes, added modulo 2**32: the angle between two such sums estimates the likeness of the
 texts.  Both are sums over paragraphs, so paragraphs can be inserted into and deleted from a fingerprint without the rest
 of the text, and fingerprints of parts add up.
 
@@ -10,7 +10,7 @@ Defined results: null and empty texts have no paragraph and the fingerprint zero
 are paragraphs too; equal texts have equal fingerprints.
 
 ``dealt_by_range`` and ``neighbours`` let each document meet the next one in the same task.  Rows of equal id follow each
-other in the order of their texts' hashes; null ids come last; a document alone is its own neighbour.
+other in the order of their texts' hashes; null ids come last, in the same order; a document alone is its own neighbour.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,10 +33,10 @@ from tidetable.llm.arrays import mix, text_chunks
 from tidetable.llm.common import partitions
 
 DIGEST_LANES = 8  # of 64 bits
-SKETCH_LANES = 256  # of 16 bits
+SKETCH_LANES = 256  # of 32 bits
 #: Code points of the overlapping pieces of a paragraph, and of those that paragraphs of under BRIEF code points also give.
 PIECE, SMALL_PIECE, BRIEF = 7, 3, 24
-SIZE = 8 * DIGEST_LANES + 2 * SKETCH_LANES
+SIZE = 8 * DIGEST_LANES + 4 * SKETCH_LANES
 
 
 def _document_sums(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +44,7 @@ def _document_sums(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     rows, n = len(offsets) - 1, len(points)
     digests = np.zeros((rows, DIGEST_LANES), np.uint64)
     if not n:
-        return digests, np.zeros((rows, SKETCH_LANES), np.uint16)
+        return digests, np.zeros((rows, SKETCH_LANES), np.uint32)
     text = points.tobytes().decode("utf-32-le")
     bounds = offsets.tolist()
     short, short_owner = [], []
@@ -72,7 +73,7 @@ def _document_sums(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     lane = (mixed >> np.uint64(56)).astype(np.int64)
     sign = (mixed & np.uint64(1)).astype(np.float64) * 2 - 1
     sums = np.bincount(owner * SKETCH_LANES + lane, sign, minlength=rows * SKETCH_LANES)
-    return digests, (sums.astype(np.int64).reshape(rows, SKETCH_LANES) & 0xFFFF).astype(np.uint16)
+    return digests, (sums.astype(np.int64).reshape(rows, SKETCH_LANES) & 0xFFFFFFFF).astype(np.uint32)
 
 
 def fingerprints_of(texts: pa.Array) -> list[bytes]:
@@ -80,12 +81,12 @@ def fingerprints_of(texts: pa.Array) -> list[bytes]:
     out: list[bytes] = []
     for _, _, points, offsets in text_chunks(texts):
         digests, sketch = _document_sums(points, offsets)
-        out += [d.tobytes() + s.tobytes() for d, s in zip(digests.astype("<u8"), sketch.astype("<u2"))]
+        out += [d.tobytes() + s.tobytes() for d, s in zip(digests.astype("<u8"), sketch.astype("<u4"))]
     return out
 
 
 def _lanes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(raw, "<u8", DIGEST_LANES), np.frombuffer(raw, "<u2", SKETCH_LANES, 8 * DIGEST_LANES)
+    return np.frombuffer(raw, "<u8", DIGEST_LANES), np.frombuffer(raw, "<u4", SKETCH_LANES, 8 * DIGEST_LANES)
 
 
 def combine(a: bytes, b: bytes, sign: int = 1) -> bytes:
@@ -98,7 +99,7 @@ def likeness(a: list[bytes], b: list[bytes]) -> np.ndarray:
     """Cosine of the signed lanes, from 0 to 1; equal fingerprints are 1, a zero one is like itself only."""
     if not a:
         return np.zeros(0)
-    x, y = (np.array([_lanes(r)[1].astype(np.int16) for r in side], np.float64) for side in (a, b))
+    x, y = (np.array([_lanes(r)[1].astype(np.int32) for r in side], np.float64) for side in (a, b))
     norms = np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
     cosine = np.clip((x * y).sum(axis=1) / np.maximum(norms, 1e-12), 0, 1)
     return np.where([p == q for p, q in zip(a, b)], 1.0, cosine)
@@ -124,32 +125,68 @@ def fingerprint(df: DataFrame, text: str = "text", output: str = "fingerprint")
     return df.mapInArrow(work, T.StructType(fields))
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Borders of ranges: ids, each the last of a range, and into how many parts by hash the rows of some ids are cut."""
+
+    ids: np.ndarray  # rising
+    parts: dict[int | None, int]  # of ids that many rows have; None stands for rows without id
+
+    def number(self, ids: np.ndarray, known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The range of each row, in the order of falling ids and rising hashes, rows without id last."""
+        many = np.array(sorted(k for k in self.parts if k is not None), np.int64)
+        more = np.array([self.parts[int(k)] - 1 for k in many], np.int64)
+        passed = np.concatenate((np.cumsum(more[::-1])[::-1], [0]))  # borders inside all ids from the k-th on
+        out = len(self.ids) - np.searchsorted(self.ids, ids, side="right") + passed[np.searchsorted(many, ids, side="right")]
+        share = (hashes.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)
+        for k, n in self.parts.items():
+            own = ~known if k is None else known & (ids == k)
+            part = (share[own] * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+            out[own] = (len(self.ids) + passed[0] if k is None else out[own]) + part
+        if None not in self.parts:
+            out[~known] = len(self.ids) + passed[0]
+        return out
+
+
 def dealt_by_range(df: DataFrame, row_id: str, text: str) -> DataFrame:
     """Rows (``_range``, ``_own``, ``_id``, ``_text``) dealt and sorted by descending id, nulls last.
 
     The first row of each range also stands at the end of the range before, with ``_own`` false, and the first of all at
     the very end, so each range can be read alone.  The ids are read once for the bounds, of which there are a few for
-    each partition, and once for the first id of each range; nothing else is gathered.
+    each partition, and once for the first row of each range; nothing else is gathered.  The rows of an id that fills
+    several ranges, or of no id, are cut further by the hashes of their texts.
     """
-    ids = df.select(F.col(row_id).cast("long").alias("_id")).where(F.col("_id").isNotNull())
+    rows = df.select(F.col(row_id).cast("long").alias("_id"), F.col(text).alias("_text"))
     count = 4 * partitions(df)
-    found = ids.agg(F.percentile_approx("_id", [k / count for k in range(1, count)], 20 * count).alias("p")).first()["p"] or []
-    cuts = np.array(sorted({int(x) for x in found}), np.int64)
+    quantiles = F.percentile_approx("_id", [k / count for k in range(1, count)], 20 * count)
+    found = rows.agg(quantiles.alias("p"), F.count("_id").alias("known"), F.count(F.lit(1)).alias("all")).first()
+    borders = [int(x) for x in found["p"] or []]
+    parts: dict[int | None, int] = {k: n for k, n in Counter(borders).items() if n > 1}
+    if (n := round(count * (found["all"] - found["known"]) / max(1, found["all"]))) > 1:
+        parts[None] = n
+    cuts = Cuts(np.array(sorted(set(borders)), np.int64), parts)
 
     @F.pandas_udf("int")
-    def number(values: pd.Series) -> pd.Series:
-        return pd.Series(len(cuts) - np.searchsorted(cuts, values.to_numpy(np.int64), side="right"), dtype="int32")
-
-    tops = {r["_range"]: r["top"] for r in ids.withColumn("_range", number("_id")).groupBy("_range").agg(F.max("_id").alias("top")).collect()}
+    def number(ids: pd.Series, known: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(cuts.number(ids.to_numpy(np.int64), known.to_numpy(bool), hashes.to_numpy(np.int64)).astype(np.int32))
+
+    # without parts the ids alone tell the ranges, and the texts are not read for it
+    marked = rows.withColumn("_hash", F.xxhash64("_text") if parts else F.lit(0).cast("long"))
+    marked = marked.withColumn("_range", number(F.coalesce("_id", F.lit(0).cast("long")), F.col("_id").isNotNull(), F.col("_hash")))
+    first = marked.groupBy("_range").agg(F.max(F.struct("_id", F.bitwise_not("_hash").alias("h"))).alias("top"))
+    tops = {r["_range"]: (r["top"]["_id"], ~r["top"]["h"]) for r in first.collect()}
     order = sorted(tops)
-    last = order[-1] if order else 0
-    before = dict(zip((tops[r] for r in order[1:] + order[:1]), order)) if order else {}
-    rows = df.select(F.col(row_id).cast("long").alias("_id"), F.col(text).alias("_text"))
-    known = F.col("_id").isNotNull()
-    rows = rows.withColumn("_range", F.when(known, number(F.coalesce("_id", F.lit(0)))).otherwise(F.lit(last)))
-    also = F.element_at(F.create_map(*(F.lit(x) for pair in before.items() for x in pair)), F.col("_id")) if before else F.lit(None).cast("int")
-    to = F.array(F.struct(F.col("_range").alias("r"), F.lit(True).alias("own")), F.when(also.isNotNull(), F.struct(also.alias("r"), F.lit(False).alias("own"))))
-    spread = rows.select("_id", "_text", F.explode(F.array_compact(to)).alias("_to"))
+    before = dict(zip((tops[r] for r in order[1:] + order[:1]), order))
+
+    @F.pandas_udf("int")
+    def behind(ids: pd.Series, known: pd.Series, hashes: pd.Series) -> pd.Series:
+        keys = zip(ids.tolist(), known.tolist(), hashes.tolist())
+        return pd.Series([before.get((i if k else None, h), -1) for i, k, h in keys], dtype="int32")
+
+    also = behind(F.coalesce("_id", F.lit(0).cast("long")), F.col("_id").isNotNull(), F.col("_hash"))
+    marked = marked.withColumn("_also", also)
+    to = F.array(F.struct(F.col("_range").alias("r"), F.lit(True).alias("own")), F.when(F.col("_also") >= 0, F.struct(F.col("_also").alias("r"), F.lit(False).alias("own"))))
+    spread = marked.select("_id", "_text", F.explode(F.array_compact(to)).alias("_to"))
     spread = spread.select(F.col("_to.r").alias("_range"), F.col("_to.own").alias("_own"), "_id", "_text")
     sort = ["_range", F.desc("_own"), F.desc_nulls_last("_id"), F.xxhash64("_text")]
     return spread.repartition(partitions(df), "_range").sortWithinPartitions(*sort)

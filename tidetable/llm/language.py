@@ -39,11 +39,14 @@ _EVIDENCE = 60
 
 @dataclass(frozen=True)
 class FitLimits:
-    """Bounds of the sample that a model is fitted on: expected rows in all, rows of a language, languages."""
+    """Bounds of the sample that a model is fitted on: expected rows in all, most and least rows of a language.
+
+    Every language is learned; the least rows of each come on top where there are more than ``rows / least`` of them.
+    """
 
     rows: int = 8000
     per_language: int = 1500
-    languages: int = 64
+    least: int = 20
 
 
 @dataclass(frozen=True)
@@ -67,12 +70,12 @@ class LanguageModel:
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Nearest codeword, its share of the likelihood, and whether the second one is nearly as near."""
-        loss = np.logaddexp(0, -self.code[None, :, :] * margins[:, None, :])
-        distance = (loss * self.trust).sum(axis=2)
+        ones = (self.code > 0).T.astype(float)
+        distance = (np.logaddexp(0, -margins) * self.trust) @ ones + (np.logaddexp(0, margins) * self.trust) @ (1 - ones)
         best = distance.argmin(axis=1)
         near = np.exp(-self.code.shape[1] / 2 * (distance - distance.min(axis=1, keepdims=True)))
-        ordered = np.sort(distance, axis=1)
-        return best, 1 / near.sum(axis=1), ordered[:, 1] - ordered[:, 0] < self.min_gap
+        nearest = np.partition(distance, 1, axis=1)[:, :2]
+        return best, 1 / near.sum(axis=1), nearest[:, 1] - nearest[:, 0] < self.min_gap
 
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
@@ -82,9 +85,11 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
         return np.array([[-1 if k and b >> (k - 1) & 1 else 1 for b in bits] for k in range(n)], np.int8)
     rng, length = np.random.default_rng(seed), int(np.ceil(10 * np.log2(n)))
     best, widest = None, -1
-    for _ in range(200):
+    for _ in range(200 if n <= 64 else 5):
         code = rng.choice(np.array([-1, 1], np.int8), (n, length))
-        apart = min(int((code[i] != code[j]).sum()) for i in range(n) for j in range(i))
+        alike = code.astype(np.float32) @ code.T.astype(np.float32)
+        np.fill_diagonal(alike, -length)
+        apart = int((length - alike.max()) // 2)
         if apart > widest and (np.abs(code.sum(axis=0)) < n).all():
             best, widest = code, apart
     return best
@@ -139,14 +144,17 @@ def sample_share(hash_of: Column, share: Column | float) -> Column:
 
 def fit(df: DataFrame, text: str, lang: str, row_id: str, limits: FitLimits = FitLimits(), min_gap: float = 0.02) -> LanguageModel:
     """A model of the labelled rows of ``df``; rows without label, text or letters teach nothing."""
-    rows = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).cast("string").alias("_label"), F.xxhash64(row_id).alias("_hash"))
-    top = rows.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(limits.languages).collect()
+    rows = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    rows = rows.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("_label"), F.xxhash64(row_id, text).alias("_hash"))
+    top = rows.groupBy("_label").count().collect()  # a row for each language
     names = tuple(sorted(r["_label"] for r in top))
     if not names:
         return LanguageModel((), np.ones((0, 1), np.int8), np.zeros((1 << BITS, 1), np.float32), np.zeros(1), np.ones(1), min_gap)
-    most = min(limits.per_language, limits.rows // len(names))
-    share = F.create_map(*(x for r in top for x in (F.lit(r["_label"]), F.lit(min(1.0, most / r["count"])))))
-    sample = rows.where(F.col("_label").isin(*names)).where(sample_share(F.col("_hash"), F.element_at(share, F.col("_label"))))
+    most = max(limits.least, min(limits.per_language, limits.rows // len(names)))
+    shares = df.sparkSession.createDataFrame([(r["_label"], min(1.0, most / r["count"])) for r in top], "_label string, _share double")
+    sample = rows.join(F.broadcast(shares), "_label").where(sample_share(F.col("_hash"), F.col("_share")))
+    # copies of a row share a hash, so they are in the sample together; one of them is enough
+    sample = sample.dropDuplicates(["_hash", "_label"])
     got = sample.select("text", "_label").mapInArrow(_features("text"), "_label string, ids array<int>, vals array<float>").toArrow().combine_chunks()
     return train(names, got, min_gap)
 

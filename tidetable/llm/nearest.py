@@ -46,69 +46,70 @@ class IndexOptions:
 @dataclass(frozen=True)
 class Centroids:
     points: np.ndarray  # unit length
-    graph: np.ndarray  # centroid x neighbours
+    graph: np.ndarray  # the neighbours of all centroids, one behind the other
+    bounds: np.ndarray  # where those of each centroid begin
     doors: np.ndarray  # where walks begin
+    apart: np.ndarray  # distances of the centroids from each other
 
-    def search(self, vectors: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest centroids that a walk of this width finds for each unit vector, and their distances."""
+    def walk(self, vectors: np.ndarray, ratio: float, least: int, together: int = 32) -> np.ndarray:
+        """Cosine of each unit vector with the centroids that its walk meets, -inf for others.
+
+        A walk opens the nearest centroid that it has met and not opened yet, and meets that one's neighbours.  It ends
+        when this one is more than ``1 + ratio`` times as far as the nearest, and ``least`` others are nearer than it.
+        Several are opened at a time, so it may meet a few more.
+        """
         rows, n = len(vectors), len(self.points)
-        width = min(width, n)
-        if width == n:  # such a walk meets every centroid, so all are measured at once
-            near = vectors @ self.points.T
-            found = np.argsort(-near, axis=1, kind="stable")
-            return found, np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(near, found, 1)))
-        seen = np.zeros((rows, n), bool)
-        near = vectors @ self.points[self.doors].T
-        start = self.doors[near.argmax(axis=1)]
-        found = np.full((rows, width), -1, np.int64)
-        cosine = np.full((rows, width), -np.inf)
-        open_ = np.zeros((rows, width), bool)
-        found[:, 0], cosine[:, 0], open_[:, 0] = start, near.max(axis=1), True
-        seen[np.arange(rows), start] = True
-        active, together = np.arange(rows), max(1, width // 32)  # a wide walk opens several centroids at a time
+        cosine, shut = np.full((rows, n), -np.inf), np.zeros((rows, n), bool)
+        met = vectors @ self.points[self.doors].T
+        cosine[:, self.doors] = met
+        active = np.arange(rows)
         while len(active):
-            rank = np.where(open_[active], cosine[active], -np.inf)
-            at = np.argsort(-rank, axis=1, kind="stable")[:, :together]
-            expand = np.take_along_axis(open_[active], at, 1)
-            here = np.take_along_axis(found[active], at, 1)
-            open_[active[:, None], at] = False
-            ids, values, flags = [found[active]], [cosine[active]], [open_[active]]
-            for e in range(at.shape[1]):
-                beside = self.graph[here[:, e]]
-                fresh = ~seen[active[:, None], beside] & expand[:, e : e + 1]
-                seen[active[:, None], beside] |= fresh
-                ids.append(beside)
-                values.append(np.where(fresh, np.einsum("rd,rkd->rk", vectors[active], self.points[beside]), -np.inf))
-                flags.append(fresh)
-            values = np.concatenate(values, axis=1)
-            best = np.argsort(-values, axis=1, kind="stable")[:, :width]
-            found[active] = np.take_along_axis(np.concatenate(ids, axis=1), best, 1)
-            cosine[active] = np.take_along_axis(values, best, 1)
-            open_[active] = np.take_along_axis(np.concatenate(flags, axis=1), best, 1) & np.isfinite(cosine[active])
-            active = active[open_[active].any(axis=1)]
-        found[~np.isfinite(cosine)] = -1
-        return found, np.sqrt(np.maximum(0, 2 - 2 * np.maximum(cosine, -2.0)))
+            waiting = np.where(shut[active], -np.inf, cosine[active])
+            width = min(together, n)
+            at = np.argpartition(-waiting, width - 1, axis=1)[:, :width]
+            value = np.take_along_axis(waiting, at, 1)
+            near = np.sqrt(np.maximum(0, 2 - 2 * cosine[active].max(axis=1)))
+            reach = 1 - ((1 + ratio) * near) ** 2 / 2
+            enough = np.partition(cosine[active], n - min(least, n), axis=1)[:, n - min(least, n)]
+            go = np.isfinite(value) & (value >= np.minimum(reach, enough)[:, None])
+            row, place = np.nonzero(go)
+            row, here = active[row], at[row, place]
+            shut[row, here] = True
+            sizes = self.bounds[here + 1] - self.bounds[here]
+            beside = self.graph[np.repeat(self.bounds[here] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
+            pair = np.unique(np.repeat(row, sizes) * n + beside)
+            row, beside = np.divmod(pair, n)
+            fresh = np.isneginf(cosine[row, beside])
+            row, beside = row[fresh], beside[fresh]
+            cosine[row, beside] = np.einsum("ij,ij->i", vectors[row], self.points[beside])
+            active = active[go.any(axis=1)]
+        return cosine
 
     def lists_of(self, vectors: np.ndarray, options: IndexOptions) -> list[np.ndarray]:
         """The lists that hold each vector: the nearest, and boundary ones that no chosen one covers."""
-        ids, distance = self.search(vectors, 4 * options.replicas)
-        apart = np.sqrt(np.maximum(0, 2 - 2 * self.points @ self.points.T))
+        cosine = self.walk(vectors, options.boundary, 4 * options.replicas)
+        width = min(4 * options.replicas, cosine.shape[1])
+        ids = np.argsort(-cosine, axis=1, kind="stable")[:, :width]
+        distance = np.sqrt(np.maximum(0, 2 - 2 * np.maximum(np.take_along_axis(cosine, ids, 1), -2.0)))
         out = []
         for own, d in zip(ids, distance):
             chosen = [own[0]]
             for c, far in zip(own[1:], d[1:]):
-                if c < 0 or far > (1 + options.boundary) * d[0] or len(chosen) == options.replicas:
+                if far > (1 + options.boundary) * d[0] or len(chosen) == options.replicas:
                     break
-                if all(apart[c, x] >= 0.6 * far for x in chosen):
+                if all(self.apart[c, x] >= 0.6 * far for x in chosen):
                     chosen.append(c)
             out.append(np.array(chosen))
         return out
 
     def lists_for(self, queries: np.ndarray, options: IndexOptions) -> list[np.ndarray]:
-        """The lists that each query reads, by the ratio of distances alone."""
-        ids, distance = self.search(queries, len(self.points))
-        keep = (distance <= (1 + options.ratio) * distance[:, :1]) | (np.arange(ids.shape[1]) < options.min_lists)
-        return [own[k] for own, k in zip(ids, keep)]
+        """The lists that each query reads, nearest first: those within the ratio of distances, and the least number."""
+        cosine = self.walk(queries, options.ratio, options.min_lists)
+        order = np.argsort(-cosine, axis=1, kind="stable")
+        ordered = np.take_along_axis(cosine, order, 1)
+        distance = np.sqrt(np.maximum(0, 2 - 2 * np.maximum(ordered, -2.0)))
+        keep = (distance <= (1 + options.ratio) * distance[:, :1]) | (np.arange(order.shape[1]) < options.min_lists)
+        return [own[k] for own, k in zip(order, keep & np.isfinite(ordered))]
 
 
 def unit_rows(column: pa.Array, size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -159,23 +160,30 @@ def balanced_centroids(sample: np.ndarray, k: int, rounds: int = 10, seed: int =
 
 
 def centroid_graph(points: np.ndarray, degree: int = 16, seed: int = 3) -> Centroids:
-    """Each centroid's nearest ones, and a cycle through all, so that every walk can reach everything."""
+    """Each centroid beside its nearest ones and beside those that it is among the nearest of; a cycle through all lets
+    every walk reach everything."""
     n = len(points)
     rng = np.random.default_rng(seed)
     near = points @ points.T
+    apart = np.sqrt(np.maximum(0, 2 - 2 * near))
     np.fill_diagonal(near, -np.inf)
-    graph = np.argsort(-near, axis=1, kind="stable")[:, : min(degree, n - 1)] if n > 1 else np.zeros((1, 1), np.int64)
+    beside = np.argsort(-near, axis=1, kind="stable")[:, : min(degree, n - 1)]
     cycle = rng.permutation(n)
-    beside = np.empty((n, 2), np.int64)
-    beside[cycle, 0], beside[cycle, 1] = np.roll(cycle, 1), np.roll(cycle, -1)
-    return Centroids(points, np.concatenate((graph, beside), axis=1), np.sort(rng.choice(n, min(n, 2 * int(np.ceil(n**0.5))), replace=False)))
+    a = np.concatenate((np.repeat(np.arange(n), beside.shape[1]), cycle))
+    b = np.concatenate((beside.ravel(), np.roll(cycle, 1)))
+    edges = np.unique(np.concatenate((a * n + b, b * n + a)))
+    a, b = np.divmod(edges, n)
+    doors = np.sort(rng.choice(n, min(n, 2 * int(np.ceil(n**0.5))), replace=False))
+    return Centroids(points, b, np.searchsorted(a, np.arange(n + 1)), doors, apart)
 
 
 def fit(vectors: DataFrame, options: IndexOptions) -> tuple[Centroids | None, int]:
     """Centroids of a sample of (id, vec) whose size the options bound, and the vectors' length."""
     n = vectors.count()
-    rows = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * min(1.0, options.sample / max(1, n)))
-    got = rows.select("vec").toArrow().column("vec").combine_chunks()
+    # copies of a row are in the sample together, and one of them is enough
+    rows = vectors.withColumn("_hash", F.xxhash64("id", "vec"))
+    rows = rows.where(F.pmod("_hash", F.lit(1 << 30)) < F.lit(float(1 << 30)) * min(1.0, options.sample / max(1, n)))
+    got = rows.groupBy("_hash").agg(F.first("vec").alias("vec")).select("vec").toArrow().column("vec").combine_chunks()
     _, sample = unit_rows(got)
     if not len(sample):
         return None, 0

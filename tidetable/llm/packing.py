@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidetable.llm.bpe import _replace, _with, vocabulary
+from tidetable.llm.bpe import _replace, _with, text_ids, vocabulary
 from tidetable.llm.common import ranked
 from tidetable.session import materialize
 
@@ -38,6 +38,14 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=vocab.ranks, special_tokens=vocab.special)
 
 
+def ids_of(text: str, path: str) -> np.ndarray:
+    """The ids of a text; where the library's regex runs out of stack, in very long white space, by our own scan."""
+    try:
+        return np.array(encoder(path).encode(text, allowed_special="all"), "<u4")
+    except ValueError:
+        return text_ids(text, path)
+
+
 def pieces(df: DataFrame, path: str, end_id: int, capacity: int, keep: list[str], text: str = "text") -> DataFrame:
     """The pieces of every text: ``piece``, ``start`` and ``length`` in ids, and the ids' ``ids_crc32``."""
     source = df.select(*dict.fromkeys([*keep, text]))
@@ -45,13 +53,12 @@ def pieces(df: DataFrame, path: str, end_id: int, capacity: int, keep: list[str]
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
         for batch in batches:
             column = batch.column(batch.schema.names.index(text))
             for at in range(0, batch.num_rows, 256):
                 row, number, start, length, crc = [], [], [], [], []
                 for i, t in enumerate(column.slice(at, 256).to_pylist()):
-                    ids = np.array(own.encode(t or "", allowed_special="all"), "<u4").tobytes() + end
+                    ids = ids_of(t or "", path).tobytes() + end
                     n = len(ids) // 4
                     ends = range(n - (n - 1) // capacity * capacity, n + 1, capacity)
                     for k, stop in enumerate(ends):

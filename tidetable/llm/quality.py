@@ -105,7 +105,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(df: DataFrame, labels: DataFrame, row_id: str, label: str, text: str = "text", limits: FitLimits = FitLimits()) -> QualityModel:
     """A model of the rows of ``df`` that ``labels`` marks 0 or 1.
 
-    Only the sampled labels are sent to all tasks, and there are no more of them than the limits say.
+    Only the sampled labels are sent to all tasks, and there are no more of them than the limits say; of the rows that
+    they mark, which may be more where ids repeat, four times the rows of a class are expected at most.
     """
     marked = labels.where(F.col(label).isin(0, 1) & F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("_id")).agg(F.min(label).cast("int").alias("_label"))
     counts = {r["_label"]: r["count"] for r in marked.groupBy("_label").count().collect()}
@@ -114,7 +115,10 @@ def fit(df: DataFrame, labels: DataFrame, row_id: str, label: str, text: str = "
     share = {k: min(1.0, limits.per_class / n) for k, n in counts.items()}
     of_label = F.when(F.col("_label") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
     sample = marked.where(sample_share(F.xxhash64("_id"), of_label))
-    rows = df.select(F.col(row_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(sample), "_id")
+    rows = df.select(F.col(row_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(sample), "_id").withColumn("_hash", F.xxhash64("_id", "text"))
+    # rows of one id come together: copies count once, and if different texts of it are too many, a share of them is taken
+    found = rows.agg(F.approx_count_distinct("_hash")).first()[0]
+    rows = rows.where(sample_share(F.xxhash64("_hash"), min(1.0, 4 * limits.per_class / max(1, found)))).dropDuplicates(["_hash"])
     got = rows.select("text", "_label").mapInArrow(_features, "_label int, ids array<int>, vals array<float>").toArrow().combine_chunks()
     return train(got, {k: 1 / s for k, s in share.items()})
 

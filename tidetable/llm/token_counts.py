@@ -15,7 +15,6 @@ count as one token where they are complete; repeated rows are counted alike; oth
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidetable.llm.arrays import text_chunks
-from tidetable.llm.bpe import CACHE_CHARS, CACHE_ENTRIES, Vocabulary, _replace, _with, slices, vocabulary
+from tidetable.llm.bpe import CACHE_CHARS, CACHE_ENTRIES, Vocabulary, _replace, _with, segments, slices, vocabulary
 from tidetable.llm.scan import WHITE
 
 _WHITE = {chr(c) for c in WHITE}
@@ -44,6 +43,7 @@ class PrefixStates:
         self.states: dict[bytes, int] = {}
         self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
+        self.sizes: dict[tuple[int, int], int] = {}  # last token and next byte -> size of the token that ended last there
 
     def _follows(self, a: int, b: int) -> bool:
         """Whether token b can stand behind token a, that is, merging both together leaves them apart."""
@@ -64,7 +64,7 @@ class PrefixStates:
 
     def of(self, word: bytes) -> list[int]:
         """The state of every prefix of ``word``, from one byte on."""
-        ranks, states, longest, span = self.vocab.ranks, self.states, self.vocab.longest, self.SPAN
+        ranks, states, longest, span, guesses = self.vocab.ranks, self.states, self.vocab.longest, self.SPAN, self.sizes
         if len(states) >= CACHE_ENTRIES:
             states.clear()
         out: list[int] = []
@@ -72,8 +72,11 @@ class PrefixStates:
             prefix = word[:i] if i <= CACHE_CHARS else None
             state = states.get(prefix) if prefix is not None else None
             if state is None:
-                for size in range(min(i, longest), 0, -1):
-                    t = ranks.get(word[i - size : i])
+                # one size at most fits, so the one that did last time is tried first
+                key = (out[-1] % span if out else -1, word[i - 1])
+                guess = guesses.get(key, 1)
+                for size in (guess, *range(min(i, longest), 0, -1)):
+                    t = ranks.get(word[i - size : i]) if size <= i else None
                     if t is None:
                         continue
                     if size == i:
@@ -85,6 +88,9 @@ class PrefixStates:
                         break
                 if state is None:
                     raise ValueError("the vocabulary lacks a byte")
+                if len(guesses) >= CACHE_ENTRIES:
+                    guesses.clear()
+                guesses[key] = size
                 if prefix is not None:
                     states[prefix] = state
             out.append(state)
@@ -155,39 +161,20 @@ def _words(text: str) -> list[str]:
 def text_prefix_counts(text: str, path: str) -> list[int]:
     """Exact token counts after 0, 1, 2, ... code points; special strings count as one token once complete."""
     cache = counter(path)
-    out = [0]
-    for piece in _pieces(text, cache.states.vocab):
+    out, plain, base = [0], "", 0  # the plain segment that ends here, and the count before it
+    for piece in segments(text, cache.states.vocab):
         if piece in cache.states.vocab.special:
             # until it is complete, its beginning is ordinary text behind the last segment
-            begin = len(out) - 1 - _last_plain(text, len(out) - 1, cache.states.vocab)
-            base, plain = out[begin], text[begin : len(out) - 1]
             tail = plain_prefix_counts(_words(plain + piece[:-1]), cache)
             done = out[-1] + 1
             out += [base + c for c in tail[len(plain) + 1 :]] + [done]
+            plain, base = "", done
         else:
-            base = out[-1]
+            plain, base = piece, out[-1]
             out += [base + c for c in plain_prefix_counts(_words(piece), cache)[1:]]
     return out
 
 
-@lru_cache(maxsize=4)
-def _pattern(special: tuple[str, ...]) -> re.Pattern:
-    return re.compile("(" + "|".join(re.escape(s) for s in special) + ")")
-
-
-def _pieces(text: str, vocab: Vocabulary) -> list[str]:
-    """Plain segments and special strings in turn, without empty ones."""
-    if not vocab.special or not any(s in text for s in vocab.special):
-        return [text] if text else []
-    return [p for p in _pattern(tuple(vocab.special)).split(text) if p]
-
-
-def _last_plain(text: str, end: int, vocab: Vocabulary) -> int:
-    """Length of the plain segment that ends at ``end``."""
-    pieces = _pieces(text[:end], vocab)
-    return len(pieces[-1]) if pieces and pieces[-1] not in vocab.special else 0
-
-
 def _fit(words: list[str], totals: np.ndarray, limit: int, cache: _Counts) -> int:
     """Code points of the longest prefix with at most ``limit`` tokens; totals: counts after each pre-token.
 

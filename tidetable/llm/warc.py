@@ -6,8 +6,8 @@ must have its version line, its header, the length that the header states, the c
 block; where one of these checks fails, the bytes up to the next valid member (or, in archives that are not compressed,
 the next valid version line) are quarantined and logged as a gap, and reading goes on behind them.
 
-Archives are written by tasks to the shared folder, through the file system that the folder's address names, under names
-that only depend on the partition, and replaced whole, so a repeated task changes nothing.
+Archives are written by tasks to the shared folder, through the file system that the folder's address names, each attempt
+of a task under names of its own.  The manifest lists those of the attempts that counted, and ``read_written`` reads these.
 
 Defined results: null payloads are empty; a row without an id is a response without one, or revisits the response of an
 equal payload; if a row with the largest id is repeated, each copy is a response; an empty table gives no archive.
@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidetable.llm.common import partitions
 from tidetable.session import materialize, new_folder
 
 VERSION = b"WARC/1.1"
@@ -37,6 +38,8 @@ _VERSIONS = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
 _CLOSE = b"\r\n\r\n"
 _LEVEL = 4
+#: Bound on the digests that all tasks know.
+HOT = 1000
 _ONCE = ("warc-type", "warc-record-id", "content-length")
 
 
@@ -161,17 +164,25 @@ def write(df: DataFrame, folder: str, row_id: str, payload: str, url: str | None
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = df.select(F.col(row_id).cast("long").alias("id"), (F.col(url) if url else F.lit(None).cast("string")).alias("url"), body.alias("body"), F.sha1(body).alias("sha"))
     # only the digests that occur more than once are joined, one row each, whatever the number of copies
-    same = rows.groupBy("sha").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 AND last IS NOT NULL").select("sha", "last")
-    marked = rows.join(same, "sha", "left")
+    same = materialize(rows.groupBy("sha").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 AND last IS NOT NULL"), "copies")
+    # those of many rows are fewer than HOT, so their payloads need not be dealt by digest
+    most = same.agg(F.sum("n")).first()[0] or 0
+    hot = same.where(F.col("n") > most / HOT).select("sha", F.col("last").alias("_hot"))
+    others = same.where(F.col("n") <= most / HOT).select(F.col("sha").alias("_sha"), F.col("last").alias("_last"))
+    marked = rows.join(F.broadcast(hot), "sha", "left")
+    # a key of its own for each row that is done, as equal keys meet in one task
+    key = F.when(F.col("_hot").isNull(), F.col("sha")).otherwise(F.concat(F.lit("-"), F.coalesce("id", F.lit(0)).cast("string")))
+    marked = marked.withColumn("_sha", key).join(others, "_sha", "left").withColumn("last", F.coalesce("_hot", "_last"))
     marked = marked.withColumn("kind", F.when(F.col("last").isNotNull() & ~F.col("id").eqNullSafe(F.col("last")), "revisit").otherwise("response"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = pafs.FileSystem.from_uri(folder)
         files.create_dir(base, recursive=True)
-        part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        task = TaskContext.get()
+        part, number, held, size = f"{task.partitionId():06d}-{task.taskAttemptId():06d}", 0, [], 0
 
         def closed() -> pa.RecordBatch:
-            path = f"part-{part:06d}-{number:05d}.warc.gz"
+            path = f"part-{part}-{number:05d}.warc.gz"
             draft = posixpath.join(base, f".{path}.{uuid.uuid4().hex}")
             with files.open_output_stream(draft) as out:
                 for x in held:
@@ -197,32 +208,61 @@ def write(df: DataFrame, folder: str, row_id: str, payload: str, url: str | None
 RECORD_SCHEMA = "path string, start bigint, end bigint, page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary, failure string"
 
 
+def _whole_number(head: dict[str, str], name: str) -> int | None:
+    """A header field of ours; archives of others may hold anything there."""
+    value = head.get(name, "")
+    return int(value) if re.fullmatch(r"-?[0-9]{1,18}", value) else None
+
+
+def _records(path: str, content: bytes, with_payload: bool) -> Iterator[pa.RecordBatch]:
+    rows: list[tuple] = []
+    for start, end, head, block, failure in salvage(content):
+        if head is None:
+            rows.append((path, start, end, None, None, None, None, None, None, failure))
+        else:
+            kind = head.get("warc-type")
+            whole = kind != "revisit"
+            digest = digest32(block) if whole else head.get("warc-payload-digest", "").partition(":")[2]
+            size = len(block) if whole else _whole_number(head, "x-payload-length")
+            page, refers = _whole_number(head, "x-page-id"), _whole_number(head, "x-refers-to-page-id")
+            rows.append((path, start, end, page, kind, refers, size, digest, block if with_payload and whole else None, None))
+        if len(rows) >= 512:
+            yield _batch(rows)
+            rows = []
+    if rows:
+        yield _batch(rows)
+
+
 def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """Every record and every gap of the archives below ``folder``; gaps have a ``failure`` and no record."""
+    """Every record and every gap of all archives below ``folder``; gaps have a ``failure`` and no record."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                rows: list[tuple] = []
-                for start, end, head, block, failure in salvage(content.as_py()):
-                    if head is None:
-                        rows.append((path.as_py(), start, end, None, None, None, None, None, None, failure))
-                    else:
-                        page, refers = (int(x) if x is not None else None for x in (head.get("x-page-id"), head.get("x-refers-to-page-id")))
-                        kind = head.get("warc-type")
-                        digest = digest32(block) if kind == "response" else head.get("warc-payload-digest", "").partition(":")[2]
-                        size = len(block) if kind == "response" else int(head.get("x-payload-length", 0))
-                        rows.append((path.as_py(), start, end, page, kind, refers, size, digest, block if with_payload and kind == "response" else None, None))
-                    if len(rows) >= 512:
-                        yield _batch(rows)
-                        rows = []
-                if rows:
-                    yield _batch(rows)
+                yield from _records(path.as_py(), content.as_py(), with_payload)
 
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path", "content")
     return archives.mapInArrow(work, RECORD_SCHEMA)
 
 
+def read_written(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
+    """Every record and gap of the archives that ``write`` returned, and of no others in their folder.
+
+    A task that was repeated may have left archives that are not in the manifest.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                files, place = pafs.FileSystem.from_uri(path)
+                with files.open_input_stream(place) as source:
+                    content = source.read()
+                yield from _records(path, content, with_payload)
+
+    paths = manifest.select("path").repartition(partitions(manifest), "path")
+    return paths.mapInArrow(work, RECORD_SCHEMA)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
     names = [x.split()[0] for x in RECORD_SCHEMA.split(", ")]
@@ -231,7 +271,4 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def round_trip(df: DataFrame, row_id: str, payload: str, url: str | None = None) -> DataFrame:
     """Write the rows of ``df`` to a new folder and read the archives back, without payloads."""
-    spark = df.sparkSession
-    folder = new_folder(spark, "warc")
-    manifest = write(df, folder, row_id, payload, url)
-    return read(spark, folder, with_payload=False) if manifest.limit(1).count() else spark.createDataFrame([], RECORD_SCHEMA)
+    return read_written(write(df, new_folder(df.sparkSession, "warc"), row_id, payload, url), with_payload=False)
