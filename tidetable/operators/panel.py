@@ -41,6 +41,17 @@ def present_columns(
     return found
 
 
+def column_report(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """Whether each wanted column exists, and how many values it holds: one row for each name."""
+    found = present_columns(df, wanted)
+    counts = df.agg(F.struct(*[F.count(c).alias(c) for c in found], F.lit(0).alias("_")).alias("_n"))
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(c in found).alias("is_present"), (F.col("_n")[c] if c in found else F.lit(0)).cast("long").alias("n_values"))
+        for c in wanted
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def columns_with_prefix(df: DataFrame, prefixes: Iterable[str], exclude: Iterable[str] = ()) -> list[str]:
     """Columns that start with one of the prefixes, e.g. every lagged driver."""
     wanted, skipped = tuple(prefixes), set(exclude)

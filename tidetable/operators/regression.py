@@ -82,25 +82,38 @@ def _dot(beta: Column, parts: Sequence[Column]) -> Column:
     return total
 
 
+def error_weights(beta: Column, lags: Sequence[int], steps: Column) -> Column:
+    """How much the error of a month weighs 0, 1, 2, ... months later, when forecasts feed the lags."""
+
+    def following(weights: Column, j: Column) -> Column:
+        total = F.lit(0.0)
+        for i, k in enumerate(lags, start=1):
+            total = total + beta[i] * F.coalesce(F.when(j >= k, F.get(weights, j - k)), F.lit(0.0))
+        return F.concat(weights, F.array(total))
+
+    later = F.filter(F.sequence(F.lit(0), F.greatest(steps - 1, F.lit(0))), lambda j: j > 0)
+    return F.aggregate(later, F.array(F.lit(1.0)), following)
+
+
 def _design(df: DataFrame, spec: RegressionSpec, keys: list[str], time: str) -> DataFrame:
     """Rows with target ``_y``, regressors ``_x*``, products ``_g*`` and cross products ``_b*``.
 
-    Drivers are scaled by the first window of their own series: the same constants
-    for every fold, and none of them looks ahead.
+    Lags and drivers are scaled by the first window of their own series: the same
+    constants for every fold, and none of them looks ahead.
     """
     w = series_window(keys, time)
     whole = Window.partitionBy(*keys)
     y = numeric.safe_ln(spec.value) if spec.log_target else F.col(spec.value).cast("double")
     rows = df.withColumn("_y", y).withColumn("_rn", F.row_number().over(w))
     scale = {}
-    for j, d in enumerate(spec.drivers):
+    for j, d in (("y", "_y"), *enumerate(spec.drivers)):
         early = F.when(F.col("_rn") <= spec.initial_window, F.col(d))
         scale[f"_m{j}"] = F.coalesce(F.avg(early).over(whole), F.lit(0.0))
         scale[f"_d{j}"] = F.coalesce(F.nullif(F.stddev_pop(early).over(whole), F.lit(0.0)), F.lit(1.0))
-    rows = rows.withColumns(scale) if scale else rows
+    rows = rows.withColumns(scale)
     parts: dict[str, Column] = {"_x0": F.lit(1.0)}
     for i, k in enumerate(spec.lags, start=1):
-        parts[f"_x{i}"] = F.lag("_y", k).over(w)
+        parts[f"_x{i}"] = (F.lag("_y", k).over(w) - F.col("_my")) / F.col("_dy")
     first_driver = 1 + len(spec.lags)
     for j, d in enumerate(spec.drivers):
         parts[f"_x{first_driver + j}"] = (F.col(d) - F.col(f"_m{j}")) / F.col(f"_d{j}")
@@ -193,12 +206,15 @@ def forecast(
 
     ``future`` holds one row per series and month with the driver columns.  The
     fit is one grouped sum per series, the recursion a fold over the array of
-    future months; both arrays are bounded by the calendar.  Bounds are
-    ``z`` deviations of the past one-step errors, on the fitted scale.
+    future months; both arrays are bounded by the calendar.  An error of one
+    month goes on through the lags, so the deviation at step ``s`` is that of
+    the past one-step errors times the root of the squared weights that the
+    errors of the first ``s`` months have; bounds are ``z`` of these deviations,
+    on the fitted scale.
     """
     keys = as_list(key)
     names = _product_names(spec)
-    longest = max(spec.lags)
+    longest = max(spec.lags, default=1)
     frame = _backtest_frame(history, spec, keys, time)
     fitted = frame.groupBy(*keys).agg(
         F.array(*[F.sum(c) for c in names]).alias("_sums"),
@@ -208,8 +224,7 @@ def forecast(
             F.slice(F.array_sort(F.collect_list(F.struct("_rn", "_y"))), -longest, longest), lambda p: p["_y"]
         ).alias("_tail"),
         F.count("_rn").alias("_rows"),
-        *[F.first(f"_m{j}").alias(f"_m{j}") for j in range(len(spec.drivers))],
-        *[F.first(f"_d{j}").alias(f"_d{j}") for j in range(len(spec.drivers))],
+        *[F.first(f"_{p}{j}").alias(f"_{p}{j}") for j in ("y", *range(len(spec.drivers))) for p in "md"],
     )
     # a NULL sum cannot occur once a complete row exists
     fitted = fitted.filter((F.col("_n") >= spec.size) & (F.col("_rows") >= longest))
@@ -220,20 +235,30 @@ def forecast(
     rows = fitted.join(ahead, keys)
 
     def step(values: Column, f: Column) -> Column:
-        parts = [F.lit(1.0)] + [F.element_at(values, -k) for k in spec.lags]
+        parts = [F.lit(1.0)] + [(F.element_at(values, -k) - F.col("_my")) / F.col("_dy") for k in spec.lags]
         parts += [(f[d] - F.col(f"_m{j}")) / F.col(f"_d{j}") for j, d in enumerate(spec.drivers)]
         return F.concat(values, F.array(_dot(F.col("_beta"), parts)))
 
     rows = rows.withColumn("_path", F.aggregate("_ahead", F.col("_tail"), step))
+    rows = rows.withColumn("_weights", error_weights(F.transform("_beta", lambda b: b / F.col("_dy")), spec.lags, F.size("_ahead")))
+
+    def spread(step: Column) -> Column:
+        """Sum of the squared weights of the errors up to this step."""
+        return F.aggregate(F.slice("_weights", 1, step), F.lit(0.0), lambda total, w: total + w * w)
+
     points = F.transform(
-        "_ahead", lambda f, i: F.struct(f[time].alias(time), F.get(F.col("_path"), i + longest).alias("_fit"))
+        "_ahead",
+        lambda f, i: F.struct(
+            f[time].alias(time), (i + 1).alias("step"), F.get(F.col("_path"), i + longest).alias("_fit"), F.sqrt(spread(i + 1)).alias("_grown")
+        ),
     )
     out = rows.select(*keys, "_sigma", F.inline(points))
     back = F.exp if spec.log_target else (lambda c: c)
-    fit, half = F.col("_fit"), spec.z * F.col("_sigma")
+    fit, half = F.col("_fit"), spec.z * F.col("_sigma") * F.col("_grown")
     fitted_rows = out.select(
         *keys,
         time,
+        "step",
         back(fit).alias("prediction"),
         back(fit - half).alias("lower_bound"),
         back(fit + half).alias("upper_bound"),
@@ -241,12 +266,14 @@ def forecast(
     )
     # series that cannot be fitted get their last value, without bounds
     known = history.filter(F.col(spec.value).isNotNull()).groupBy(*keys).agg(F.max_by(spec.value, time).alias("prediction"))
-    others = future.select(*keys, time).join(fitted.select(*keys), keys, "left_anti").join(known, keys, "left")
+    others = future.select(*keys, time, F.row_number().over(series_window(keys, time)).alias("step"))
+    others = others.join(fitted.select(*keys), keys, "left_anti").join(known, keys, "left")
     nothing = F.lit(None).cast("double")
     return fitted_rows.unionByName(
         others.select(
             *keys,
             time,
+            "step",
             F.col("prediction").cast("double").alias("prediction"),
             nothing.alias("lower_bound"),
             nothing.alias("upper_bound"),

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidetable.operators import backtest, joins, regression, stats, trees
+from tidetable.operators import backtest, fold_trees, joins, regression, stats, trees
 from tidetable.operators.panel import Keys, as_list
+from tidetable.session import materialize
 
 
 def backtest_models(
@@ -20,22 +19,16 @@ def backtest_models(
     key: Keys = "series_key",
     time: str = "month",
     *,
-    folds: int = 1,
-    model: GBTRegressor | None = None,
-) -> DataFrame:
-    """Boosted-tree predictions of every feature set, with the mean importance of its leading feature."""
-
-    def one_set(s: trees.FeatureSet) -> DataFrame:
-        predictions, importance = trees.boosted_backtest(df, target, s, key, time, folds=folds, model=model)
-        top = stats.mean_importance(importance).agg(
-            F.max("importance").alias("top_importance"), F.max_by("feature", "importance").alias("top_feature")
-        )
-        one = F.broadcast(top.withColumn("model", F.lit(s.name)))
-        return predictions.join(one, "model")
+    how: fold_trees.Boosting = fold_trees.Boosting(),
+) -> tuple[DataFrame, DataFrame]:
+    """Boosted-tree predictions of every feature set and fold, and the mean importance of each feature over the folds.
 
-    # boosting is a chain of small jobs, so the sets' chains run side by side
-    with ThreadPoolExecutor(len(sets)) as pool:
-        return joins.stack(list(pool.map(one_set, sets)))
+    The fits run once; both results read what they wrote.
+    """
+    keys = as_list(key)
+    fitted = materialize(fold_trees.boosted_folds(df, target, sets, keys, time, how=how), "trees")
+    importance = stats.mean_importance(fold_trees.importances(fitted, keys), [*keys, "model"])
+    return fitted.drop("importance"), importance
 
 
 def final_comparison(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidetable.functions import numeric
-from tidetable.operators import backtest, calendar, regression, stats, trees, windows
-from tidetable.operators.panel import present_columns, require_columns
+from tidetable.operators import backtest, calendar, fold_trees, regression, stats, trees, windows
+from tidetable.operators.panel import column_report, present_columns, require_columns
 from tidetable.plans import features as feature_plans
 from tidetable.plans import roles
 from tidetable.plans.catalog import query, report
@@ -275,15 +275,81 @@ def regression_backtest(spark, sf_dir):
     return report(regression.one_step_backtest(calendar.align(_price(spark, sf_dir)), spec), 4)
 
 
+# a line fitted on the rows before each row, and its error; x and y are named by the caller
+EXPANDING = """SELECT *, y - (a + b * x) AS e FROM (SELECT *, regr_slope(y, x) OVER before AS b, regr_intercept(y, x) OVER before AS a, count(x) OVER before AS n_train
+    FROM pairs WINDOW before AS (PARTITION BY series_key ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+@query(
+    "M4",
+    sql(
+        f"""SELECT series_key, {YM} AS month, rn - 60 AS fold, 1 AS step, round(price, 1) AS actual, round(exp(a + b * x), 1) AS prediction,
+        round(exp(a + b * x - 0.67449 * s), 1) AS lower_bound, round(exp(a + b * x + 0.67449 * s), 1) AS upper_bound, FALSE AS is_fallback FROM
+        (SELECT *, stddev_samp(CASE WHEN rn > 60 THEN e END) OVER (PARTITION BY series_key ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s FROM fitted)
+        WHERE rn > 60""",
+        "prices",
+        pairs=f"SELECT series_key, month, price, ln(price) AS y, lag(ln(price)) {W} AS x, row_number() {W} AS rn FROM prices",
+        fitted=EXPANDING,
+    ),
+)
+def one_lag_backtest(spark, sf_dir):
+    """The regression on the month before alone, which SQL can fit as well."""
+    spec = regression.RegressionSpec("price", lags=(1,), log_target=True)
+    return report(regression.one_step_backtest(_price(spark, sf_dir), spec), 1)
+
+
+@query(
+    "M6 F22",
+    sql(
+        f"""SELECT series_key, {YM} AS month, rn - 36 AS fold, 1 AS step, round(price, 1) AS actual, round(CASE WHEN ok THEN fit ELSE last_price END, 1) AS prediction,
+        round(CASE WHEN ok THEN fit - 0.67449 * s END, 1) AS lower_bound, round(CASE WHEN ok THEN fit + 0.67449 * s END, 1) AS upper_bound, NOT ok AS is_fallback FROM
+        (SELECT *, stddev_samp(CASE WHEN rn > 36 AND ok THEN e END) OVER before AS s, lag(price) OVER (PARTITION BY series_key ORDER BY month) AS last_price FROM
+         (SELECT *, a + b * x AS fit, coalesce(a + b * x BETWEEN 900 AND 1500, FALSE) AS ok FROM fitted)
+         WINDOW before AS (PARTITION BY series_key ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE rn > 36""",
+        "features",
+        pairs=f"""SELECT f.series_key, f.month, p.price, p.price AS y, CAST(f.discount AS DOUBLE) AS x, row_number() OVER (PARTITION BY f.series_key ORDER BY f.month) AS rn
+        FROM features f JOIN prices p USING (series_key, month)""",
+        fitted=EXPANDING,
+    ),
+)
+def one_driver_backtest(spark, sf_dir):
+    """The regression on one driver, whose forecasts out of range fall back to the last price."""
+    spec = regression.RegressionSpec("price", ("discount",), lags=(), initial_window=36, low=900.0, high=1500.0)
+    return report(regression.one_step_backtest(roles.features(spark, sf_dir, with_price=True), spec), 1)
+
+
+@query(
+    "M5",
+    sql(
+        """SELECT series_key, strftime(last + to_months(CAST(step AS INT)), '%Y-%m') AS month, step, round(exp(fit), 1) AS prediction,
+        round(exp(fit - 0.67449 * s * sqrt(grown)), 1) AS lower_bound, round(exp(fit + 0.67449 * s * sqrt(grown)), 1) AS upper_bound, FALSE AS is_fallback FROM ahead""",
+        "prices",
+        pairs=f"SELECT series_key, month, ln(price) AS y, lag(ln(price)) {W} AS x, row_number() {W} AS rn FROM prices",
+        fitted=EXPANDING,
+        final="""SELECT series_key, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, stddev_samp(CASE WHEN rn > 60 THEN e END) AS s,
+        max(month) AS last, arg_max(y, month) AS y FROM fitted GROUP BY 1""",
+        ahead="""SELECT series_key, CAST(1 AS BIGINT) AS step, last, a, b, s, a + b * y AS fit, CAST(1 AS DOUBLE) AS grown, b * b AS weight FROM final
+        UNION ALL SELECT series_key, step + 1, last, a, b, s, a + b * fit, grown + weight, weight * b * b FROM ahead WHERE step < 6""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def one_lag_forecast(spark, sf_dir):
+    """Six months ahead by the month before alone; an error goes on through the lag, so the bounds grow."""
+    prices = roles.price_layer(spark, sf_dir).select("series_key", "month", "price")
+    last = prices.groupBy("series_key").agg(F.max("month").alias("last"))
+    future = last.select("series_key", F.explode(F.sequence(F.add_months("last", 1), F.add_months("last", 6), F.expr("interval 1 month"))).alias("month"))
+    return report(regression.forecast(prices, future, regression.RegressionSpec("price", lags=(1,), log_target=True)), 1)
+
+
 @query("C18 M12")
 def model_comparison(spark, sf_dir):
-    """Scores of the naive models and two regressions over the months that all of them predicted."""
+    """Scores of the naive models, two regressions and the boosted trees over the months that all of them predicted."""
     df = _with_drivers(spark, sf_dir)
+    fitted, _ = _trees(spark, sf_dir)
     specs = {
         "seasonal_regression": regression.RegressionSpec("price", log_target=True),
         "driver_regression": regression.RegressionSpec("price", ("import_qty", "discount"), log_target=True),
     }
-    return report(final_comparison(materialize(df, "drivers"), "price", specs, initial_window=36), 4)
+    return report(final_comparison(materialize(df, "drivers"), "price", specs, [fitted], initial_window=36), 4)
 
 
 @query("M6 F22 X1")
@@ -332,16 +398,67 @@ def _tree_rows(spark, sf_dir):
     return trees.add_calendar_and_target_lags(gold.join(now, ["series_key", "month"]), "price")
 
 
-@query("M7 M9 A34 P23 P24 X1")
-def gbt_forecast(spark, sf_dir):
-    """Boosted trees on all four feature sets: the last month as test fold, and the leading feature of each set."""
+def _trees(spark, sf_dir):
+    """Predictions of all folds from the first window on under all four feature sets, and the features' mean importance."""
     df = require_columns(_tree_rows(spark, sf_dir), ["series_key", "month", "price"])
     drivers = present_columns(df, ["import_qty", "order_value", "discount", "tax"])
     sets = trees.feature_sets(df, "price", drivers, ["import_qty_lag_0", "discount_lag_1"])
-    return report(backtest_models(df, "price", sets), 4)
+    return backtest_models(df, "price", sets, how=fold_trees.Boosting(initial_window=36))
 
 
-@query("M8 P23")
+@query("M7 X1")
+def gbt_forecast(spark, sf_dir):
+    """Boosted trees on all four feature sets and all folds, with the leading feature of each series and set."""
+    predictions, importance = _trees(spark, sf_dir)
+    top = importance.groupBy("series_key", "model").agg(
+        F.max("importance").alias("top_importance"), F.max_by("feature", F.struct("importance", "feature")).alias("top_feature")
+    )
+    return report(predictions.join(top, ["series_key", "model"]), 4)
+
+
+@query("A34 T2")
+def gbt_importance(spark, sf_dir):
+    """Mean importance of each feature over all folds, the greatest first."""
+    _, importance = _trees(spark, sf_dir)
+    return report(importance.orderBy(F.desc("importance"), "series_key", "model", "feature"), 4)
+
+
+@query("M9 A21")
+def gbt_scores(spark, sf_dir):
+    """Scores of the trees, from actuals and predictions averaged by month over the folds that predicted it."""
+    predictions, _ = _trees(spark, sf_dir)
+    monthly = backtest.average_predictions(predictions, ["series_key", "model", "month"])
+    return report(stats.scores(monthly, ["series_key", "model"], "month"), 4)
+
+
+@query(
+    "P23 P24",
+    sql(
+        """SELECT 'import_qty' AS column_name, TRUE AS is_present, count(import_qty) AS n_values FROM features
+        UNION ALL SELECT 'discount', TRUE, count(discount) FROM features UNION ALL SELECT 'no_such_column', FALSE, 0""",
+        "features",
+    ),
+)
+def column_checks(spark, sf_dir):
+    """Which wanted columns a table has, and how many values each holds."""
+    df = require_columns(roles.features(spark, sf_dir), ["series_key", "month"])
+    return report(column_report(df, ["import_qty", "no_such_column", "discount"]))
+
+
+# a row counts for a set if all its features are there; gold rows are complete, so only the target's lags decide
+SETS = {"calendar_and_target": (6, 12), "with_drivers": (10, 12), "lagged_drivers": (9, 12), "selected": (2, 0)}
+
+
+@query(
+    "M8 P23",
+    sql(
+        " UNION ALL ".join(f"SELECT series_key, '{name}' AS model, {size} AS n_features, greatest(n - {lost}, 0) AS n_rows FROM gold" for name, (size, lost) in SETS.items()),
+        "features",
+        gold=f"""SELECT f.series_key, count(*) AS n FROM features f JOIN features a ON a.series_key = f.series_key AND a.month = f.month - INTERVAL 2 MONTH
+        JOIN features b ON b.series_key = f.series_key AND b.month = f.month - INTERVAL 1 MONTH
+        JOIN features c ON c.series_key = f.series_key AND c.month = f.month - INTERVAL 7 MONTH WHERE f.month >= DATE '{START_MONTH}' GROUP BY 1""",
+    ),
+)
 def feature_set_columns(spark, sf_dir):
     """Complete rows per feature set: what each variant can train on."""
     df = _tree_rows(spark, sf_dir)
@@ -357,7 +474,7 @@ def feature_set_columns(spark, sf_dir):
 
 
 @query(
-    "A34 T2",
+    "T2",
     sql(
         """SELECT series_key, feature, round(avg(importance), 6) AS importance FROM
         (SELECT series_key, month, unnest(['discount', 'tax']) AS feature, unnest([discount, tax]) AS importance FROM features) GROUP BY 1, 2""",

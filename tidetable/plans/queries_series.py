@@ -324,7 +324,23 @@ def acf(spark, sf_dir):
     return report(stats.autocorrelation(_price(spark, sf_dir), "price"))
 
 
-@query("A30")
+@query(
+    "A30",
+    sql(
+        """SELECT series_key, k AS lag, round(partial, 6) + 0.0 AS partial FROM (SELECT series_key, CAST(k AS BIGINT) AS k, partial FROM levinson)""",
+        "prices",
+        r=f"SELECT series_key, price, row_number() {W} AS rn FROM prices",
+        m="SELECT series_key, count(*) AS n, avg(price) AS mp, stddev_pop(price) AS sp FROM prices GROUP BY 1",
+        acf="""SELECT series_key, list(c ORDER BY lag) AS c FROM (SELECT a.series_key, k.lag, sum((b.price - m.mp) * (a.price - m.mp)) / (max(m.n) * max(m.sp * m.sp)) AS c
+        FROM r a CROSS JOIN (SELECT unnest(range(0, 25)) AS lag) k JOIN m USING (series_key)
+        LEFT JOIN r b ON b.series_key = a.series_key AND b.rn = a.rn - k.lag GROUP BY 1, 2) GROUP BY 1""",
+        levinson="""SELECT series_key, 0 AS k, CAST([] AS DOUBLE[]) AS phi, CAST(1 AS DOUBLE) AS unexplained, CAST(1 AS DOUBLE) AS partial FROM acf
+        UNION ALL SELECT series_key, k + 1, list_append(list_transform(range(1, k + 1), lambda i: phi[i] - a * phi[k + 1 - i]), a), unexplained * (1 - a * a), a FROM
+        (SELECT l.series_key, k, phi, unexplained,
+         (c[k + 2] - list_sum(list_append(list_transform(range(1, k + 1), lambda i: phi[i] * c[k + 2 - i]), CAST(0 AS DOUBLE)))) / unexplained AS a
+         FROM levinson l JOIN acf USING (series_key) WHERE k < 24)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def pacf(spark, sf_dir):
     acf_table = stats.autocorrelation(_price(spark, sf_dir), "price")
     return report(stationarity.partial_autocorrelation(acf_table))
@@ -450,6 +466,26 @@ def lag_study_of_logs(spark, sf_dir):
     return report(studies.lag_study(df, "price", ["import_qty", "order_value"], transform=logs))
 
 
+@query(
+    "C12 X5",
+    sql(
+        """SELECT series_key, feature, 0 AS lag, round(coalesce(CASE WHEN isnan(r) THEN 0 ELSE r END, 0), 4) + 0.0 AS correlation, 'pearson' AS method FROM
+        (SELECT series_key, 'import_qty' AS feature, corr(p, q) AS r FROM d GROUP BY 1 UNION ALL SELECT series_key, 'order_value', corr(p, v) FROM d GROUP BY 1)""",
+        "features",
+        d=f"""SELECT series_key, p - lag(p) {W} AS p, q - lag(q) {W} AS q, v - lag(v) {W} AS v FROM
+        (SELECT series_key, month, ln(price) AS p, ln(import_qty) AS q, ln(order_value) AS v FROM features JOIN (SELECT series_key, month, price FROM prices) USING (series_key, month))""",
+    ),
+)
+def change_study(spark, sf_dir):
+    """The lag study of logarithms in changes, without a lag: what remains of it is what SQL can correlate."""
+
+    def logs(df):
+        return df.withColumns({c: numeric.safe_ln(c) for c in ("price", "import_qty", "order_value")})
+
+    df = roles.feature_layer(spark, sf_dir)
+    return report(studies.lag_study(df, "price", ["import_qty", "order_value"], transform=logs, max_lag=0, difference="always"))
+
+
 PEAK_SOURCE = """SELECT series_key, lag, CASE feature WHEN 'import_qty' THEN 'Imports' ELSE 'Order value' END AS variable,
     round(coalesce(CASE WHEN isnan(r) THEN 0 ELSE r END, 0), 4) + 0.0 AS correlation
     FROM (SELECT series_key, feature, lag, corr(x, y) AS r FROM pairs GROUP BY 1, 2, 3)"""

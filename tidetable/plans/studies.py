@@ -23,29 +23,37 @@ def lag_study(
     max_lag: int = 12,
     digits: int = 4,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    difference: str = "test",
 ) -> DataFrame:
     """Correlation of the target with every driver at lags 0..max_lag.
 
     Each series of each column is differenced when its own unit-root test does
     not reject, so the choice is made per series on the cluster, not in the
-    driver.  ``crossed`` columns use the whole-sample form with the driver
+    driver; ``difference`` may also be ``always`` or ``never``.  ``crossed`` columns use the whole-sample form with the driver
     leading, ``lagged`` ones the Pearson form.
     """
     keys = as_list(key)
     columns = [target, *lagged, *crossed]
     df = (transform(df) if transform else df).select(*keys, time, *columns).na.drop(how="any")
-    long = df.unpivot([*keys, time], columns, "_column", "_value")
-    verdicts = stationarity.stationarity(long, "_value", [*keys, "_column"], time)
-    level = verdicts.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_column") == c, F.col("is_stationary"))).alias(f"_level_{c}") for c in columns]
-    )
-    # the differences share the exchange of the lags; only the verdicts are joined in
-    changed = windows.difference(df, columns, keys, time, suffix="_change").join(level, keys)
-    prepared = changed.select(
-        *keys,
-        time,
-        *[F.when(F.coalesce(f"_level_{c}", F.lit(False)), F.col(c)).otherwise(F.col(f"{c}_change")).alias(c) for c in columns],
-    )
+    if difference == "test":
+        long = df.unpivot([*keys, time], columns, "_column", "_value")
+        verdicts = stationarity.stationarity(long, "_value", [*keys, "_column"], time)
+        level = verdicts.groupBy(*keys).agg(
+            *[F.max(F.when(F.col("_column") == c, F.col("is_stationary"))).alias(f"_level_{c}") for c in columns]
+        )
+        # the differences share the exchange of the lags; only the verdicts are joined in
+        changed = windows.difference(df, columns, keys, time, suffix="_change").join(level, keys)
+        prepared = changed.select(
+            *keys,
+            time,
+            *[F.when(F.coalesce(f"_level_{c}", F.lit(False)), F.col(c)).otherwise(F.col(f"{c}_change")).alias(c) for c in columns],
+        )
+    elif difference == "always":
+        prepared = windows.difference(df, columns, keys, time, suffix="")
+    elif difference == "never":
+        prepared = df
+    else:
+        raise ValueError(f"unknown choice of differences {difference!r}")
     parts = []
     if lagged:
         parts.append(
