@@ -13,15 +13,29 @@ from pyspark.sql import functions as F
 def plain_forms() -> tuple[dict[str, str], dict[str, str]]:
     """Characters whose compatibility decomposition keeps one ASCII character, and those that keep several."""
     one, several = {}, {}
-    for code in range(0x80, 0x10000):
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
         plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if ord(c) < 0x80)
-        if len(plain) == 1:
-            one[chr(code)] = plain
-        elif plain and unicodedata.name(chr(code), "").startswith(("LATIN", "VULGAR")):
-            several[chr(code)] = plain
+        if plain:
+            (one if len(plain) == 1 else several)[chr(code)] = plain
     return one, several
 
 
+@lru_cache(maxsize=1)
+def _spelled_blocks() -> tuple[str, str, str]:
+    """A look-up table of the characters that several stand for: blocks of 256, their place, and a class of all of them.
+
+    Both tables are texts with a separator, since Spark folds the split of a literal into one array.
+    """
+    several = plain_forms()[1]
+    blocks = sorted({ord(c) >> 8 for c in several})
+    places = ["-1"] * (blocks[-1] + 1)
+    cells = []
+    for n, block in enumerate(blocks):
+        places[block] = str(n * 256)
+        cells += [several.get(chr(block * 256 + i), "") for i in range(256)]
+    return "\x01".join(places), "\x01".join(cells), "[" + "".join(f"\\x{{{ord(c):X}}}" for c in several) + "]"
+
+
 def _c(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -37,13 +51,19 @@ def fold_accents(value: str | Column) -> Column:
 
     Combining marks are dropped as well, so decomposed text folds like composed text.
     """
-    one, several = plain_forms()
+    one, _ = plain_forms()
+    places, cells, marks = _spelled_blocks()
     folded = F.translate(_c(value), "".join(one), "".join(one.values()))
-    # ligatures and fractions are rare: the replacements run only where one occurs
-    spelled = folded
-    for letter, plain in several.items():
-        spelled = F.replace(spelled, F.lit(letter), F.lit(plain))
-    folded = F.when(folded.rlike("[" + "".join(several) + "]"), spelled).otherwise(folded)
+
+    def spell(c: Column) -> Column:
+        code = F.ascii(c)  # of the whole character, not of its first byte
+        place = F.coalesce(F.get(F.split(F.lit(places), "\x01"), F.shiftright(code, 8)).cast("int"), F.lit(-1))
+        plain = F.when(place >= 0, F.get(F.split(F.lit(cells), "\x01"), place + F.pmod(code, F.lit(256))))
+        return F.when(F.coalesce(plain, F.lit("")) != "", plain).otherwise(c)
+
+    # ligatures, fractions and signs are rare: their characters are looked up only where one occurs
+    spelled = F.array_join(F.transform(F.split(folded, ""), spell), "")
+    folded = F.when(folded.rlike(marks), spelled).otherwise(folded)
     return F.regexp_replace(folded, r"[^\x00-\x7F]", "")
 
 

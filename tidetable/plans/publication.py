@@ -74,15 +74,31 @@ def as_json(documents: DataFrame) -> DataFrame:
     return documents.select("product", F.to_json(F.struct(*documents.columns)).alias("document"))
 
 
-def display_summary(merged: DataFrame, next_month: Column, *, unit: Column | str = "kg") -> DataFrame:
-    """Forecast to show, its month name, unit caption and percent change per series."""
+def display_summary(
+    merged: DataFrame, next_month: Column, *, unit: Column | str = "kg", stored: DataFrame | None = None, per_unit: Column | None = None
+) -> DataFrame:
+    """Forecast to show, its month name, unit caption and percent change per series.
+
+    A series without a forecast shows what its ``stored`` header says (series_key,
+    unit_label, prediction_month, forecast_price, change_pct), one row for each
+    series, and without that no prediction.  ``per_unit`` marks series that are
+    sold by the piece.
+    """
     shown = ranking.display_forecast(merged, next_month)
+    header = ("unit_label", "prediction_month", "forecast_price", "change_pct")
+    if stored is None:
+        nothing = {f"_{c}": F.lit(None).cast("double" if c in header[2:] else "string") for c in header}
+        shown = shown.withColumns(nothing)
+    else:
+        shown = shown.join(stored.select("series_key", *[F.col(c).alias(f"_{c}") for c in header]), "series_key", "left")
+    chosen = F.col("prediction_month").isNotNull()
+    own_unit = F.coalesce("_unit_label", F.lit(unit) if isinstance(unit, str) else unit)
     return shown.select(
         "series_key",
-        text.unit_label(F.lit(unit) if isinstance(unit, str) else unit).alias("unit_label"),
-        F.coalesce(dates.month_name("prediction_month"), F.lit("No prediction yet")).alias("prediction_month"),
-        F.coalesce("forecast_price", F.lit(0.0)).alias("forecast_price"),
-        "change_pct",
+        text.unit_label(own_unit, per_unit).alias("unit_label"),
+        F.when(chosen, dates.month_name("prediction_month")).otherwise(F.coalesce("_prediction_month", F.lit("No prediction yet"))).alias("prediction_month"),
+        F.when(chosen, F.col("forecast_price")).otherwise(F.coalesce("_forecast_price", F.lit(0.0))).alias("forecast_price"),
+        F.when(chosen, F.col("change_pct")).otherwise(F.coalesce("_change_pct", F.lit(0.0))).alias("change_pct"),
     )
 
 

@@ -6,6 +6,7 @@ to the shared folder, then reads it back with the source under test.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidetable import schemas
@@ -16,8 +17,8 @@ from tidetable.plans.catalog import query, report
 from tidetable.plans.queries_publication import PUBLISHED, _merged
 from tidetable.plans.roles import month, sql, table
 from tidetable.session import materialize, new_folder
-from tidetable.sources import csv, json, tables
-from tidetable.streaming import loads
+from tidetable.sources import csv, json, snapshots, tables
+from tidetable.streaming import loads, polled
 
 YM = "strftime(month, '%Y-%m')"
 BRAND_NO = "CAST(substr(series_key, 7) AS INT)"
@@ -77,11 +78,15 @@ def csv_dates_scan(spark, sf_dir):
     return report(csv.scan_csv(spark, path, schema, date_format="dd/MM/yyyy"))
 
 
-def _write_below(spark, top, lines, path):
-    """One text file: the fixed ``top`` lines, then a calendar-sized number of ``lines``."""
-    head = spark.range(1).select(F.posexplode(F.array(*[F.lit(t) for t in top])).alias("n", "value"))
-    body = lines.select(F.lit(len(top)).alias("n"), "value")
-    head.union(body).repartition(1).sortWithinPartitions("n").select("value").write.text(path)
+def _write_below(top, lines, path):
+    """Text files that each begin with the fixed ``top`` lines; every task writes its own ``lines`` below them."""
+
+    def work(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(top, pa.string())], names=["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], names=["value"])
+
+    lines.select("value").mapInArrow(work, "value string").write.text(path)
 
 
 @query(
@@ -97,7 +102,7 @@ def csv_after_preamble(spark, sf_dir):
     lines = wide.select(F.concat_ws(",", F.concat("series_key", F.lit("  1 2")), *[F.coalesce(F.col(m).cast("string"), F.lit("")) for m in months]).alias("value"))
     top = [*[f"note {i}" for i in range(9)], ",".join(["Products", *months])]
     path = new_folder(spark, "preamble")
-    _write_below(spark, top, lines, path)
+    _write_below(top, lines, path)
     schema = schemas.all_strings("product", *[f"c{i}" for i in range(len(months))])
     scanned = csv.scan_csv_after_preamble(spark, path, schema, skip=10)
     named = scanned.select(
@@ -113,7 +118,7 @@ def csv_after_marker(spark, sf_dir):
     rows = roles.rates(spark, sf_dir).select(F.concat_ws(",", F.col("month").cast("string"), "discount", "tax").alias("value"))
     top = ['"TERMS"', "free text, with a comma", '"OBSERVATIONS"', "date,FXD,FXT"]
     path = new_folder(spark, "marker")
-    _write_below(spark, top, rows, path)
+    _write_below(top, rows, path)
     schema = "month date, discount double, tax double"
     return report(csv.scan_csv_after_marker(spark, path, schema, marker='"OBSERVATIONS"'))
 
@@ -377,7 +382,7 @@ def raw_periods(spark, sf_dir):
 
 
 @query(
-    "S16 I4 K6",
+    "S16 I4",
     sql(f"SELECT series_key, {YM} AS month, CASE WHEN year(month) <= 1998 THEN price ELSE price * 2 END AS price FROM prices", "prices"),
 )
 def latest_snapshot(spark, sf_dir):
@@ -394,6 +399,64 @@ def latest_snapshot(spark, sf_dir):
     return report(newest.select("series_key", "month", "price"), 4)
 
 
+def _committed(spark, sf_dir):
+    """Two snapshots, of which the second has the later years at twice the price."""
+    store = snapshots.SnapshotTable(spark, new_folder(spark, "retained"))
+    df = materialize(_price(spark, sf_dir).withColumn("year", F.year("month")), "prices")
+    store.commit(df, "2020-01")
+    store.commit(df.filter(F.col("year") > 1998).withColumn("price", F.col("price") * 2), "2020-02")
+    return store
+
+
+@query(
+    "K6",
+    sql("SELECT '2020-01' AS snapshot, CAST(year(month) AS VARCHAR) AS period, count(*) AS n_rows, '2020-02' AS superseded_by FROM prices WHERE year(month) > 1998 GROUP BY 2", "prices"),
+)
+def superseded_snapshots(spark, sf_dir):
+    """What a commit put out of use, listed by the manifest."""
+    return report(_committed(spark, sf_dir).superseded())
+
+
+@query(
+    "K6 S16 I4",
+    sql(f"SELECT series_key, {YM} AS month, CASE WHEN year(month) <= 1998 THEN price ELSE price * 2 END AS price, CASE WHEN year(month) <= 1998 THEN '2020-01' ELSE '2020-02' END AS snapshot FROM prices", "prices"),
+)
+def retained_snapshots(spark, sf_dir):
+    """What is left after the superseded files are dropped."""
+    store = _committed(spark, sf_dir)
+    store.drop_superseded()
+    return report(store.read().select("series_key", "month", "price", "snapshot"), 4)
+
+
+@query(
+    "I1 I2 S16",
+    sql(
+        f"""SELECT series_key, {YM} AS month, price, CAST(least(greatest(year(month), 1996), 1998) AS VARCHAR) AS snapshot, 1 AS n_reads FROM prices""",
+        "prices",
+    ),
+)
+def polled_snapshots(spark, sf_dir):
+    """Two snapshots, a poll, a third one and two more polls: each snapshot is read once."""
+    root, out, state = (new_folder(spark, n) for n in ("polled", "polls", "poll-state"))
+    df = materialize(_price(spark, sf_dir).withColumn("name", F.least(F.greatest(F.year("month"), F.lit(1996)), F.lit(1998)).cast("string")), "prices")
+
+    def arrive(name):
+        df.filter(F.col("name") == name).drop("name").write.parquet(f"{root}/{name}")
+
+    def poll():
+        stream = polled.read_snapshots(spark, root, "series_key string, month date, price double, snapshot string")
+        loads.run_available(stream, state, loads.append_to(out), mode="append")
+
+    arrive("1996")
+    arrive("1997")
+    poll()
+    arrive("1998")
+    poll()
+    poll()
+    found = spark.read.parquet(out).groupBy("series_key", "month", "price", "snapshot").agg(F.count(F.lit(1)).alias("n_reads"))
+    return report(found)
+
+
 @query("S17", sql("SELECT DISTINCT year(month) AS year, 1 AS n_files, TRUE AS is_single FROM spend", "spend"))
 def exactly_one_file(spark, sf_dir):
     path = new_folder(spark, "single")
@@ -423,11 +486,36 @@ def stream_daily(spark, sf_dir):
     return report(totals.withColumn("total", F.col("total") / 100.0))
 
 
+@query(
+    "I10",
+    sql(
+        """SELECT series_key, strftime(day, '%Y-%m-%d') AS day, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM readings GROUP BY 1, 2""",
+        "readings",
+    ),
+)
+def stream_windows(spark, sf_dir):
+    """Event-time windows with a watermark; the older half arrives last, and comes in by the correction path."""
+    root, windows, late = (new_folder(spark, n) for n in ("arrivals", "windows", "late"))
+    rows = roles.readings(spark, sf_dir).select("series_key", "ts", "value")
+    middle = rows.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    sums = {"n": F.count(F.lit(1)), "total": F.sum(numeric.hundredths("value"))}
+    states = [new_folder(spark, n) for n in ("windows-state", "late-state")]
+    for newer in (True, False):
+        rows.filter((F.col("ts") >= middle) == F.lit(newer)).write.mode("append").parquet(root)
+        stream = loads.read_files(spark, root, rows.schema)
+        totals = loads.period_totals(stream, "series_key", "ts", [c.alias(n) for n, c in sums.items()])
+        loads.run_available(totals, states[0], loads.append_to(windows), mode="update")
+        loads.run_available(stream, states[1], loads.late_to(late, "series_key", "ts", sums), mode="append")
+    totals = loads.totals_with_late(spark, windows, late, "series_key", list(sums))
+    return report(totals.withColumn("total", F.col("total") / 100.0))
+
+
 def _event_files(spark, sf_dir, label):
-    """The events as four files, which then arrive one per batch."""
+    """The events in files of their own, some of which arrive with each batch."""
     path = new_folder(spark, label)
     rows = roles.readings(spark, sf_dir).select("series_key", "user_id", "day", "value", "event_id")
-    rows.repartitionByRange(4, "event_id").write.parquet(path)
+    for part in range(3):
+        rows.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).write.mode("append").parquet(path)
     return loads.read_files(spark, path, rows.schema, files_per_batch=1)
 
 
@@ -456,6 +544,26 @@ def stream_upsert(spark, sf_dir):
     ),
 )
 def stream_settle(spark, sf_dir):
+    """Winners as keyed state: each batch gives the keys that changed, and no stored year is rewritten."""
+    path = new_folder(spark, "settled")
+    on = ["series_key", "user_id", "day"]
+    stream = _event_files(spark, sf_dir, "arrivals").withColumn("forecast", F.col("value") < 30).drop("value")
+    winners = loads.settled(stream, on, order="event_id", time="day", expire="400 days")
+    loads.run_available(winners, new_folder(spark, "settle-state"), loads.append_to(path), mode="update")
+    return report(loads.latest_of_batches(spark, path, on))
+
+
+@query(
+    "I9",
+    sql(
+        """SELECT series_key, user_id, strftime(day, '%Y-%m-%d') AS day, event_id, forecast FROM
+        (SELECT *, value < 30 AS forecast FROM readings) QUALIFY row_number() OVER
+        (PARTITION BY series_key, user_id, day ORDER BY forecast, event_id DESC) = 1""",
+        "readings",
+    ),
+)
+def stream_settle_years(spark, sf_dir):
+    """The same winners in a table partitioned by year, of which each batch replaces the years it touches."""
     path = new_folder(spark, "settled-table")
     on = ["series_key", "user_id", "day"]
     stream = _event_files(spark, sf_dir, "arrivals").withColumn("forecast", F.col("value") < 30).drop("value")
@@ -463,5 +571,3 @@ def stream_settle(spark, sf_dir):
         stream, new_folder(spark, "settle-state"), loads.settle_to(path, on, order="event_id", time="day"), mode="append"
     )
     return report(tables.scan_dataset(spark, path))
-
-

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidetable.functions import numeric
-from tidetable.operators import backtest, calendar, fold_trees, regression, stats, trees, windows
+from tidetable.operators import backtest, calendar, fold_table, fold_trees, regression, stats, trees, windows
 from tidetable.operators.panel import column_report, present_columns, require_columns
 from tidetable.plans import features as feature_plans
 from tidetable.plans import roles
@@ -298,6 +298,22 @@ def one_lag_backtest(spark, sf_dir):
     return report(regression.one_step_backtest(_price(spark, sf_dir), spec), 1)
 
 
+@query(
+    "X1",
+    sql(
+        f"""SELECT series_key, {YM} AS month, rn - 60 AS fold, round(price, 1) AS actual, round(a + b * x, 1) AS prediction FROM fitted WHERE rn > 60""",
+        "prices",
+        pairs=f"SELECT series_key, month, price, price AS y, lag(price) {W} AS x, row_number() {W} AS rn FROM prices",
+        fitted=EXPANDING,
+    ),
+)
+def fold_table_function(spark, sf_dir):
+    """The same folds through a table function that SQL calls on a partitioned table."""
+    fold_table.register(spark)
+    _price(spark, sf_dir).withColumnRenamed("price", "value").createOrReplaceTempView("fold_prices")
+    return report(spark.sql("SELECT * FROM fit_folds(TABLE(fold_prices), 60)"), 1)
+
+
 @query(
     "M6 F22",
     sql(

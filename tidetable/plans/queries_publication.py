@@ -121,6 +121,48 @@ def display_summary(spark, sf_dir):
     return report(publication.display_summary(_merged(spark, sf_dir), dates.next_month(month("2001-11-15"))))
 
 
+BRAND_NO = "CAST(substr(series_key, 7) AS INT)"
+
+
+@query(
+    "C15 F28",
+    sql(
+        f"""SELECT series_key, CASE WHEN {BRAND_NO} = 11 THEN 'Pricing per unit' WHEN {BRAND_NO} % 3 = 0 AND {BRAND_NO} < 40 THEN 'Pricing per lb' ELSE 'Pricing per kg' END AS unit_label,
+        CASE WHEN forecasts > 0 THEN strftime(chosen, '%B %Y') WHEN {BRAND_NO} < 40 THEN 'January 2002' ELSE 'No prediction yet' END AS prediction_month,
+        CASE WHEN forecasts > 0 THEN price WHEN {BRAND_NO} < 40 THEN {BRAND_NO} + 0.5 ELSE 0 END AS forecast_price,
+        CASE WHEN forecasts > 0 THEN coalesce(round((price - before) / nullif(before, 0) * 100, 1), 0) + 0.0 WHEN {BRAND_NO} < 40 THEN 1.5 ELSE 0 END AS change_pct FROM
+        (SELECT c.series_key, c.chosen, c.forecasts, max(CASE WHEN m.month = c.chosen AND m.forecast THEN m.price END) AS price,
+         arg_max(CASE WHEN m.month < c.chosen THEN m.price END, CASE WHEN m.month < c.chosen THEN m.month END) AS before
+         FROM kept m JOIN (SELECT series_key, count_if(forecast) AS forecasts, coalesce(max(CASE WHEN forecast AND month = DATE '2001-12-01' THEN month END),
+           min(CASE WHEN forecast AND month > DATE '2001-12-01' THEN month END), max(CASE WHEN forecast THEN month END)) AS chosen FROM kept GROUP BY 1) c
+         USING (series_key) GROUP BY 1, 2, 3)""",
+        "prices",
+        "cpi",
+        **PUBLISHED,
+        kept=f"SELECT * FROM merged WHERE NOT (forecast AND {BRAND_NO} % 2 = 0)",
+    ),
+)
+def stored_summary(spark, sf_dir):
+    """Summaries of series of which half have no forecast: they show their stored header, if there is one."""
+    number = F.regexp_extract("series_key", r"#(\d+)$", 1).cast("int")
+    merged = materialize(_merged(spark, sf_dir), "merged")
+    stored = (
+        merged.select("series_key")
+        .distinct()
+        .filter(number < 40)
+        .select(
+            "series_key",
+            F.when(number % 3 == 0, "lb").otherwise("kg").alias("unit_label"),
+            F.lit("January 2002").alias("prediction_month"),
+            (number + 0.5).cast("double").alias("forecast_price"),
+            F.lit(1.5).alias("change_pct"),
+        )
+    )
+    kept = merged.filter(~(F.col("forecast") & (number % 2 == 0)))
+    summary = publication.display_summary(kept, dates.next_month(month("2001-11-15")), stored=stored, per_unit=number == 11)
+    return report(summary)
+
+
 @query(
     "P25",
     sql(

@@ -596,7 +596,7 @@ def month_filters(spark, sf_dir):
     ),
 )
 def drop_nulls(spark, sf_dir):
-    df = materialize(align(roles.spend(spark, sf_dir)).join(roles.index(spark, sf_dir), "month", "left"), "aligned")
+    df = materialize(joins.at_month(align(roles.spend(spark, sf_dir)), roles.index(spark, sf_dir), "left"), "aligned")
     whole, subset = df.na.drop(how="any"), df.na.drop(subset=["spend"])
     counted = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("kind"), "n") for k, d in (("any", whole), ("subset", subset))]
     return report(joins.stack(counted))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from csv import reader
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidetable import schemas
 from tidetable.functions import numeric
+from tidetable.session import broadcast_if_small, materialize
 
 Paths = str | Sequence[str]
 
@@ -44,51 +47,78 @@ def scan_csv(
     return numeric.nan_to_null(df.select(*columns) if columns else df)
 
 
-def _header_groups(lines: DataFrame) -> list[tuple[str, list[str]]]:
-    """Each header line that occurs, and the files that begin with it; one row for each file comes back."""
-    first = lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min_by("value", "_id").alias("_header"))
-    groups: dict[str, list[str]] = {}
-    for r in sorted(first.collect(), key=lambda r: r["_file"]):
-        groups.setdefault(r["_header"].lstrip("\ufeff"), []).append(r["_file"])
-    return list(groups.items())
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the rows of each run of one (file, split), which a task reads in the order of the file."""
+    last, count = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = batch.schema.names
+        places = pc.binary_join_element_wise(batch.column(names.index("_block")).cast(pa.string()), batch.column(names.index("_file")), " ").dictionary_encode()
+        codes = np.asarray(places.indices)
+        starts = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        line = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
+        first, final = places[0].as_py(), places[len(places) - 1].as_py()
+        if first == last:
+            line[: starts[1] if len(starts) > 1 else None] += count
+        count = int(line[-1]) + 1
+        last = final
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(line)], names=[*names, "_line"])
+
+
+def _lines(spark: SparkSession, paths: Paths, *, as_bytes: bool = False) -> DataFrame:
+    """Text lines with their file, the offset of their split and their number in it.
+
+    A task numbers the lines as it reads them, so no second scan has to agree with the first about anything but where
+    files are split.  (split, line) is the order of lines in a file without sorting.  ``as_bytes`` gives each byte as the
+    character of its number.
+    """
+    if as_bytes:
+        # one byte is one character in ISO-8859-1, so its bytes are the file's
+        found = spark.read.option("encoding", "ISO-8859-1").schema("value string").option("sep", "\x01").option("quote", "").csv(_paths(paths))
+    else:
+        found = spark.read.text(_paths(paths))
+    rows = found.select(F.col("value"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    return rows.mapInArrow(_numbered, "value string, _file string, _block bigint, _line bigint")
+
+
+def _is_first():
+    return (F.col("_block") == 0) & (F.col("_line") == 0)
+
 
+def _parsed_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = batch.column(batch.schema.names.index("value")).to_pylist()
+        fields = [next(reader([(v or "").lstrip("\ufeff")]), []) for v in values]
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index("_file")), pa.array(fields, pa.list_(pa.string()))], names=["_file", "_fields"])
 
-def _fields(header: str) -> list[str]:
-    return next(reader([header]))
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """(file, fields) of every file: the inventory, as a table."""
+    return lines.filter(_is_first()).select("_file", "value").mapInArrow(_parsed_header, "_file string, _fields array<string>")
 
 
 def scan_csv_text(spark: SparkSession, paths: Paths, columns: Sequence[str]) -> DataFrame:
     """Every field as text, pruned to ``columns``, which are found by name in each file's own header.
 
     Casting happens later, so one bad field never loses its row.  File splits
-    take the place of reading in chunks.  Files of one header are read together.
+    take the place of reading in chunks.  Headers are a table with a row for each
+    file, which lines are joined to; the driver only learns how wide the widest is
+    and whether one lacks a column.
     """
-    parts = []
-    for header, files in _header_groups(_lines(spark, paths)):
-        fields = _fields(header)
-        unclear = [c for c in columns if fields.count(c) != 1]
-        if unclear:
-            raise ValueError(f"{files[0]} has no column {unclear[0]}, or has it twice")
-        # columns that are not asked for may have any name, even one twice
-        schema = schemas.all_strings(*(f if f in columns else f"_{i}" for i, f in enumerate(fields)))
-        parts.append(spark.read.schema(schema).option("header", True).csv(files).select(*columns))
-    if not parts:
+    lines = _lines(spark, paths)
+    headers = materialize(_headers(lines), "headers")
+    unclear = [F.when(F.size("_fields") - F.size(F.array_remove("_fields", F.lit(c))) != 1, F.lit(c)) for c in columns]
+    wrong = F.coalesce(*unclear)
+    width, bad = headers.agg(F.max(F.size("_fields")), F.min(F.when(wrong.isNotNull(), F.struct(F.col("_file").alias("f"), wrong.alias("c"))))).first()
+    if bad is not None:
+        raise ValueError(f"{bad['f']} has no column {bad['c']}, or has it twice")
+    if width is None:
         return spark.createDataFrame([], schemas.all_strings(*columns))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Text lines with their file, split offset and position.
-
-    Ids rise in line order within a split, and splits rise with their offset, so
-    (offset, id) is the order of lines in a file without sorting anything.
-    """
-    return spark.read.text(_paths(paths)).select(
-        F.col("value"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
+    body = lines.filter(~_is_first() & (F.length(F.trim("value")) > 0)).join(broadcast_if_small(headers), "_file")
+    row = F.from_csv("value", schemas.all_strings(*(f"_{i}" for i in range(width))), {})
+    cells = body.select("_fields", row.alias("_r")).select("_fields", F.array(*[F.col(f"_r._{i}") for i in range(width)]).alias("_cells"))
+    return cells.select(*[F.get("_cells", (F.array_position("_fields", F.lit(c)) - 1).cast("int")).alias(c) for c in columns])
 
 
 def _parse(lines: DataFrame, schema: str, options: dict[str, str] | None) -> DataFrame:
@@ -106,16 +136,8 @@ def scan_csv_after_preamble(
     skip: int,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Rows after the first ``skip`` lines of each file (preamble and header line)."""
-    first = (
-        _lines(spark, paths)
-        .filter(F.col("_block") == 0)
-        .groupBy("_file")
-        .agg(F.min("_id").alias("_first"))
-    )
-    lines = _lines(spark, paths).join(first, "_file")
-    body = lines.filter((F.col("_block") > 0) | (F.col("_id") - F.col("_first") >= skip))
-    return _parse(body, schema, options)
+    """Rows after the first ``skip`` lines of each file (preamble and header line), which its first split holds."""
+    return _parse(_lines(spark, paths).filter((F.col("_block") > 0) | (F.col("_line") >= skip)), schema, options)
 
 
 def scan_csv_after_marker(
@@ -128,48 +150,60 @@ def scan_csv_after_marker(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Rows below the first line equal to ``marker``, and below the header line that follows it."""
-    place = F.struct("_block", "_id")
-    marks = (
-        _lines(spark, paths)
-        .filter(F.trim("value") == marker)
-        .groupBy("_file")
-        .agg(F.min(place).alias("_mark"))
-    )
-    below = _lines(spark, paths).join(marks, "_file").filter(place > F.col("_mark"))
+    place = F.struct("_block", "_line")
+    lines = _lines(spark, paths)
+    marks = materialize(lines.filter(F.trim("value") == marker).groupBy("_file").agg(F.min(place).alias("_mark")), "marks")
+    below = lines.join(broadcast_if_small(marks), "_file").filter(place > F.col("_mark"))
     if has_header:
-        lines = _lines(spark, paths).join(marks, "_file").filter(place > F.col("_mark"))
-        header = lines.groupBy("_file").agg(F.min(place).alias("_header"))
-        below = below.join(header, "_file").filter(place > F.col("_header"))
+        header = materialize(below.groupBy("_file").agg(F.min(place).alias("_header")), "marks")
+        below = below.join(broadcast_if_small(header), "_file").filter(place > F.col("_header"))
     return _parse(below, schema, options)
 
 
-def find_encodings(spark: SparkSession, paths: Paths, candidates: Sequence[str] = ("UTF-8", "ISO-8859-1")) -> dict[str, list[str]]:
-    """The files of each encoding: a file has the first one that decodes all its lines, else the last candidate.
-
-    UTF-8 is checked on the bytes, so a replacement character that a text holds is no error; other decoders leave
-    such characters where they fail.  One row for each file comes back.
-    """
-    files = [_normal(f) for f in spark.read.format("binaryFile").load(_paths(paths)).inputFiles()]
-    found: dict[str, list[str]] = {}
-    for encoding in candidates[:-1]:
-        utf8 = encoding.upper().replace("-", "") == "UTF8"
-        # one byte is one character in ISO-8859-1, so its bytes are the file's
-        lines = spark.read.option("encoding", "ISO-8859-1" if utf8 else encoding).schema("value string").option("sep", "\x01").option("quote", "").csv(files)
-        valid = F.is_valid_utf8(F.encode("value", "ISO-8859-1").cast("string")) if utf8 else ~F.col("value").contains("�")
-        failed = lines.filter(~valid).select(F.col("_metadata.file_path").alias("f")).distinct()
-        bad = {_normal(r["f"]) for r in failed.collect()}
-        found[encoding] = [f for f in files if f not in bad]
-        files = [f for f in files if f in bad]
-        if not files:
-            break
-    if files:
-        found[candidates[-1]] = files
-    return {k: v for k, v in found.items() if v}
-
-
-def _normal(path: str) -> str:
-    """One spelling of local paths, which Spark gives with one slash or three."""
-    return re.sub(r"^file:/+", "file:///", path)
+def find_encodings(spark: SparkSession, paths: Paths, candidates: Sequence[str] = ("UTF-8", "ISO-8859-1")) -> DataFrame:
+    """(file, encoding): the first candidate that decodes every line of the file, else the last one."""
+    names = list(candidates)
+
+    def failures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each run of lines of a file in a batch, a bit for each candidate that does not decode them."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = batch.column(batch.schema.names.index("value")).to_pylist()
+            files = batch.column(batch.schema.names.index("_file")).to_pylist()
+            found: dict[str, list[str]] = {}
+            for f, v in zip(files, values):
+                found.setdefault(f, []).append(v or "")
+            bits = []
+            for lines in found.values():
+                raw = "\n".join(lines).encode("iso-8859-1")
+                bits.append(sum(1 << i for i, name in enumerate(names[:-1]) if not _decodes(raw, name)))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array(bits, pa.int32())], names=["_file", "_bits"])
+
+    lines = _lines(spark, paths, as_bytes=True).select("value", "_file")
+    failed = lines.mapInArrow(failures, "_file string, _bits int").groupBy("_file").agg(F.bit_or("_bits").alias("_bits"))
+    chosen = F.lit(names[-1])
+    for i in reversed(range(len(names) - 1)):
+        chosen = F.when(F.col("_bits").bitwiseAND(1 << i) == 0, F.lit(names[i])).otherwise(chosen)
+    return failed.select("_file", chosen.alias("encoding"))
+
+
+def _decodes(raw: bytes, encoding: str) -> bool:
+    try:
+        raw.decode(encoding)
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in the encoding of their file, without its mark of byte order."""
+    for batch in batches:
+        at = batch.schema.names.index("value")
+        rows = zip(batch.column(at).to_pylist(), batch.column(batch.schema.names.index("encoding")).to_pylist())
+        text = [None if v is None else v.encode("iso-8859-1").decode(e, "replace").lstrip("\ufeff") for v, e in rows]
+        columns = [pa.array(text, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
 def scan_csv_any_encoding(
@@ -179,9 +213,19 @@ def scan_csv_any_encoding(
     *,
     candidates: Sequence[str] = ("UTF-8", "ISO-8859-1"),
 ) -> DataFrame:
-    """CSV whose encoding is chosen for each file; a byte-order mark at the start is dropped by the reader."""
-    parts = [scan_csv(spark, files, schema, encoding=e) for e, files in find_encodings(spark, paths, candidates).items()]
-    return reduce(DataFrame.unionByName, parts)
+    """CSV whose encoding is chosen for each file; a byte-order mark at the start is dropped.
+
+    Encodings are a table that lines are joined to and decoded by in their tasks.  A file whose header differs from the
+    schema fails the scan.
+    """
+    encodings = materialize(find_encodings(spark, paths, candidates), "encodings")
+    lines = _lines(spark, paths, as_bytes=True).join(broadcast_if_small(encodings), "_file")
+    lines = lines.mapInArrow(_decoded, lines.schema)
+    wanted = T.StructType.fromDDL(schema).names
+    other = _headers(lines).filter(F.col("_fields") != F.array(*[F.lit(n) for n in wanted])).select("_file").limit(1).collect()
+    if other:
+        raise ValueError(f"the header of {other[0]['_file']} is not {wanted}")
+    return numeric.nan_to_null(_parse(lines.filter(~_is_first()), schema, {"dateFormat": "yyyy-MM-dd"}))
 
 
 def scan_tree(

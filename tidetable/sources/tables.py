@@ -105,8 +105,10 @@ def merge_into_years(df: DataFrame, path: str, on: Keys, order: Keys, time: str
     """Upsert into a table partitioned by year: new rows win, other rows of the year stay.
 
     Only touched years are read.  The merged rows are written aside first, so
-    the table is never overwritten by a job that still reads it.
+    the table is never overwritten by a job that still reads it; so are the new
+    ones, which tell the years before they are merged.
     """
+    df = materialize(df, "batch")
     stored = stored_years(df, path, time)
     merged = keep_last(df, on, order) if stored is None else upsert(stored, df, on, order)
     replace_years(materialize(merged, "merge"), path, time)

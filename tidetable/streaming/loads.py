@@ -100,6 +100,63 @@ def totals_to(path: str, key: Keys, ts: str, sums: dict[str, Column]) -> Callabl
     return write
 
 
+def late_to(path: str, key: Keys, ts: str, sums: dict[str, Column], *, period: str = "1 day", late_by: str = "1 day") -> Callable[[DataFrame, int], None]:
+    """Sums of the rows that :func:`period_totals` leaves out of the same batches, in a folder for each batch.
+
+    A window is closed for a batch if it ended before the newest event of all earlier batches less ``late_by``.  Each
+    batch is read once and leaves its newest event behind; a repeated batch replaces both.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        instant = F.col(ts) if isinstance(batch.schema[ts].dataType, T.TimestampType) else as_instant(ts)
+        rows = batch.withColumn("_t", instant).groupBy(*as_list(key), F.window("_t", period).alias("_w"))
+        found = materialize(rows.agg(F.max("_t").alias("_newest"), *[c.alias(n) for n, c in sums.items()]), "windows")
+        seen = found.agg(F.max("_newest").alias("newest"))
+        seen.write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
+        before = spark.read.schema("newest timestamp, batch_id bigint").option("basePath", f"{path}/newest").parquet(f"{path}/newest")
+        newest = before.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        bound = F.date_trunc("MILLISECOND", F.lit(newest).cast("timestamp")) - F.expr(f"interval {late_by}")
+        late = found.filter(F.coalesce(F.col("_w.end") <= bound, F.lit(False)))
+        late.select(*as_list(key), as_utc_date(F.col("_w.start")).alias("day"), *sums).write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+
+    return write
+
+
+def totals_with_late(spark: SparkSession, windows_path: str, late_path: str, key: Keys, sums: list[str]) -> DataFrame:
+    """The newest state of each window that was written in update mode, plus what came too late for it."""
+    on = [*as_list(key), "day"]
+    timely = latest_of_batches(spark, windows_path, on).select(*on, *sums)
+    late = spark.read.parquet(f"{late_path}/late").select(*on, *sums)
+    return timely.unionByName(late).groupBy(*on).agg(*[F.sum(n).alias(n) for n in sums])
+
+
+def settled(
+    stream: DataFrame,
+    on: Keys,
+    *,
+    forecast: str = "forecast",
+    order: str = "load_seq",
+    time: str | None = None,
+    expire: str | None = None,
+) -> DataFrame:
+    """The winner of each key as keyed state: an actual beats a forecast, then the newest arrival wins.
+
+    In update mode a batch gives the keys that changed, and no stored table is read or rewritten; a repeated batch finds
+    the state that it began with.  With ``time``, a date or timestamp among ``on``, and ``expire`` the state of a key goes
+    once the stream has passed it by that much; rows that come for it later are left out.
+    """
+    on = as_list(on)
+    rest = [c for c in stream.columns if c not in on]
+    rank = F.struct((~F.col(forecast)).cast("int"), F.col(order))
+    keys: list[str] = list(on)
+    if time is not None and expire is not None:
+        stream = stream.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", expire)
+        keys.append("_t")
+    best = stream.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
+    return best.select(*[F.col(c) if c in on else F.col("_row")[c].alias(c) for c in stream.columns if c != "_t"])
+
+
 def totals_of_batches(spark: SparkSession, path: str, key: Keys, sums: list[str]) -> DataFrame:
     """What :func:`totals_to` wrote, added up over all batches."""
     return spark.read.parquet(path).groupBy(*as_list(key), "day").agg(*[F.sum(n).alias(n) for n in sums])
@@ -129,6 +186,7 @@ def settle_to(
     """Like :func:`upsert_to`, but an actual always replaces a forecast of the same month."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = materialize(batch, "batch")  # read for its years, then for its rows
         stored = stored_years(batch, path, time)
         rows = batch if stored is None else stored.unionByName(batch)
         replace_years(materialize(settle(rows, on, forecast=forecast, order=order), "settle"), path, time)
