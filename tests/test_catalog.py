@@ -11,8 +11,6 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tidetable.plans.catalog import CATALOG
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# 200 boosting rounds of four sets take over a minute on any size; test_models covers the operator
-SLOW = {"gbt_forecast"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +23,7 @@ def test_against_sql(spark, duck, name):
     assert compare(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(CATALOG) - set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(CATALOG) - set(oracle_sql())))
 def test_rows_only(spark, name):
     df = queries()[name](spark, SF_DIR)
     assert df.count() > 0

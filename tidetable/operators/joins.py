@@ -95,8 +95,9 @@ def salted_join(
     A frequent-items sketch finds the keys above ``hot_share`` of all left rows
     in one pass without a shuffle; there are at most ``1 / hot_share`` of them,
     so their hashes come back as one short list.  Without hot keys the join is a
-    plain one.  Left rows of a hot key get a salt from a hash of the row, which a
-    repeated task computes alike, and right rows of a hot key are copied once per
+    plain one.  Left rows of a hot key get a salt from a hash of the row and of its
+    partition, which a repeated task computes alike and which parts copies of one
+    row that stand in different partitions; right rows of a hot key are copied once per
     salt.  All other keys keep salt 0, so a key the sketch wrongly lists or
     misses changes the speed only.
     """
@@ -114,7 +115,7 @@ def salted_join(
     hot = [t["item"] for t in one["top"] or [] if t["count"] > one["n"] * hot_share]
     if not hot:
         return left.join(right, on, how)
-    row_salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    row_salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
     left = left.withColumn("_salt", F.when(key.isin(hot), row_salt).otherwise(F.lit(0)))
     copies = F.when(key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = right.withColumn("_salts", copies).withColumn("_salt", F.explode("_salts")).drop("_salts")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidetable.functions import dates
-from tidetable.operators import incremental, ranking
+from tidetable.operators import incremental, joins, ranking
 from tidetable.plans import publication, roles
 from tidetable.plans.catalog import query, report
 from tidetable.plans.roles import BASE_MONTH, START_MONTH, month, sql, table
@@ -281,7 +281,7 @@ def latest_common(spark, sf_dir):
     months = roles.index(spark, sf_dir).filter(F.col("cpi") >= 150)
     spend = materialize(roles.spend(spark, sf_dir), "spend")
     # the index has no series: every month of it counts for each series
-    usable = spend.join(months.select("month"), "month", "left_semi")
+    usable = joins.at_month(spend, months).select(*spend.columns)
     return report(incremental.latest_common(spend, usable))
 
 

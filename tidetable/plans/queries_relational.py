@@ -513,6 +513,21 @@ def salted_join(spark, sf_dir):
     return report(joined.groupBy("priority").agg(numeric.money_sum("l_extendedprice").alias("amount"), F.count(F.lit(1)).alias("n")))
 
 
+@query(
+    "J3",
+    """SELECT priority, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount, count(*) AS n FROM
+    (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k, l_extendedprice FROM lineitem) JOIN
+    (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey END AS k, min(o_orderpriority) AS priority FROM orders GROUP BY 1) USING (k) GROUP BY 1""",
+)
+def salted_join_hot(spark, sf_dir):
+    """A third of the lines have one key, which is spread over many tasks."""
+    hot = lambda c: F.when(F.col(c) % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col(c)).alias("k")
+    lines = table(spark, sf_dir, "lineitem").select(hot("l_orderkey"), "l_extendedprice")
+    orders = table(spark, sf_dir, "orders").groupBy(hot("o_orderkey")).agg(F.min("o_orderpriority").alias("priority"))
+    joined = joins.salted_join(lines, orders, "k")
+    return report(joined.groupBy("priority").agg(numeric.money_sum("l_extendedprice").alias("amount"), F.count(F.lit(1)).alias("n")))
+
+
 # --- set operations -----------------------------------------------------------
 
 
