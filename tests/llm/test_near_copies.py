@@ -74,6 +74,28 @@ def test_blocks_of_hot_lists_and_groups(spark, monkeypatch):
     assert got == brute(rows, measure)
 
 
+@pytest.mark.parametrize("often", [2, 10**9])
+def test_long_lists_are_dealt_by_their_length(spark, monkeypatch, often):
+    """Lists whose shingle is not known to be frequent, or is thought to be rarer than it is, are dealt out all the same."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    monkeypatch.setattr(jaccard_join, "_OFTEN", often)
+    monkeypatch.setattr(jaccard_join, "_COUNTED", 200)
+    split, lengths = jaccard_join._split_long, []
+
+    def spy(lists):
+        out = split(lists)
+        lengths.extend((t.groupBy("key").count().agg({"count": "max"}).first()[0] or 0) for t in (lists, out))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_split_long", spy)
+    rows = copies(random.Random(12), 4, 60, 2)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    measure = Measure(2, 60)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_copies(docs, measure).collect()}
+    assert got == brute(rows, measure)
+    assert lengths[0] > 3 * lengths[1] or often == 2
+
+
 def test_members_of_a_group_are_verified(spark):
     """Members that share a prefix link only if their whole sets are similar."""
     sets = {1: [1, 2, 3, 4], 2: [1, 2, 3, 5], 3: [1, 2, 9, 8], 4: [1, 2, 9, 7]}

@@ -11,7 +11,7 @@ near copies is joined without making all its pairs.  Groups meet by their heads
 
 The order only decides the speed, so the frequent shingles, at most ``FREQUENT`` of them, are found by counts that leave
 out what is rare within a block of rows.  A shingle or a group that more than ``BLOCK`` sets share is dealt out as pairs
-of blocks, so no task gets all of it.  Links become components by rounds of label exchange; copies are never expanded.
+of blocks, by its count among the frequent ones or else by the counted length of its list, so no task gets all of it.  Links become components by rounds of label exchange; copies are never expanded.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; fewer words than a shingle are one
 shingle; rows of equal id are one document; rows with a null id get the component of an equal set, if there is one, else
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidetable.llm.arrays import mix, run_hashes, runs, text_chunks
 from tidetable.llm.common import partitions
-from tidetable.session import materialize
+from tidetable.session import broadcast_if_small, materialize
 
 #: Bounds on the frequent shingles that all tasks know, and on the sets that one task compares at once.
 FREQUENT, BLOCK = 100_000, 4096
@@ -300,18 +300,53 @@ _LIST = ("key", "n", "id", "pos", "before", "side")
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """The lists of shingles that more than one group has, sorted by size within a list."""
+    """The lists of shingles that more than one group has, sorted by size within a list; a task holds no list whole."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns, borders in _runs(batches, _LIST):
-            sizes = np.diff(borders)
-            shared = np.repeat(sizes > 1, sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in columns], names=list(_LIST))
-
-    dealt = postings.repartition(partitions(postings), "key").sortWithinPartitions("key", "n", "id", "pos")
+        held: pa.RecordBatch | None = None  # the last row, which the next batch may share its key with
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks().to_batches()[0]
+            key = np.asarray(_column(rows, "key"))
+            same = key[1:] == key[:-1]
+            shared = np.concatenate(([before is not None and key[0] == before], same)) | np.concatenate((same, [False]))
+            yield _as_long(rows.slice(0, len(key) - 1), shared[:-1])
+            before = int(key[-2]) if len(key) > 1 else before
+            held = rows.slice(len(key) - 1)
+        if held is not None:
+            yield _as_long(held, np.array([before is not None and _column(held, "key")[0].as_py() == before]))
+
+    dealt = postings.select(*_LIST).repartition(partitions(postings), "key").sortWithinPartitions("key", "n", "id", "pos")
     return dealt.mapInArrow(work, ", ".join(f"{c} bigint" for c in _LIST))
 
 
+def _as_long(rows: pa.RecordBatch, kept: np.ndarray) -> pa.RecordBatch:
+    rows = rows.filter(pa.array(kept, pa.bool_()))
+    return pa.RecordBatch.from_arrays([_column(rows, c).cast(pa.int64()) for c in _LIST], names=list(_LIST))
+
+
+def _split_long(lists: DataFrame) -> DataFrame:
+    """Lists by their counted length: one of more than ``2 * BLOCK`` rows is dealt out as pairs of blocks.
+
+    A list in which all meet becomes the pairs of its blocks; one whose two sides meet, the blocks of each.
+    """
+    long = lists.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 2 * BLOCK)
+    long = materialize(long.select("key", F.ceil(F.col("_n") / BLOCK).alias("_blocks")), "long")
+    if not long.limit(1).count():
+        return lists
+    rows = lists.join(broadcast_if_small(long), "key", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    sided = F.col("side") != 2
+    low = F.when(sided, F.when(F.col("side") == 0, F.col("_own")).otherwise(F.col("_other"))).otherwise(F.least("_own", "_other"))
+    high = F.when(sided, F.when(F.col("side") == 0, F.col("_other")).otherwise(F.col("_own"))).otherwise(F.greatest("_own", "_other"))
+    side = F.when(sided | (F.col("_own") == F.col("_other")), F.col("side")).otherwise((F.col("_own") > F.col("_other")).cast("long"))
+    key = F.when(F.col("_blocks") > 1, F.xxhash64("key", low, high)).otherwise(F.col("key"))
+    return rows.select(key.alias("key"), "n", "id", "pos", "before", side.alias("side"))
+
+
 def _candidates(lists: DataFrame, measure: Measure, meet, labels: DataFrame | None = None) -> DataFrame:
     """Distinct pairs of groups that share a prefix shingle, pass the filters and ``meet`` each other.
 
@@ -509,7 +544,7 @@ def near_copies(df: DataFrame, measure: Measure, row_id: str = "doc_id", text: s
     classes = materialize(some.groupBy("class_key").agg(F.min("id").alias("rep"), F.first("group_key").alias("group_key"), F.count(F.lit(1)).alias("copies")), "classes")
     groups = materialize(classes.groupBy("group_key").agg(F.min("rep").alias("group_id"), F.count(F.lit(1)).alias("members")), "groups")
     heads = some.join(groups.select("group_key", F.col("group_id").alias("id")), ["group_key", "id"]).select("id", "n", "prefix")
-    lists = materialize(_lists(_postings(heads, frequent, counts)), "lists")
+    lists = _split_long(materialize(_lists(_postings(heads, frequent, counts)), "lists"))
     several = groups.where("members > 1")
     members = classes.join(several, "group_key").select("group_id", F.col("rep").alias("id"), F.ceil(F.col("members") / BLOCK).alias("blocks"))
     members = materialize(members, "members")
