@@ -9,6 +9,7 @@ import pytest
 from helpers import months
 from pyspark.sql import functions as F
 
+from tidetable import session
 from tidetable.functions import dates, text
 from tidetable.operators import fold_table, joins, regression, stats
 from tidetable.plans import publication
@@ -17,6 +18,16 @@ from tidetable.sources import csv, snapshots
 from tidetable.streaming import loads, polled
 
 
+def test_work_tables_are_deleted_when_asked(spark):
+    kept = session.materialize(spark.range(3), "kept")
+    before = session.work_tables(spark)
+    other = session.materialize(spark.range(5), "other")
+    assert other.count() == 5 and len(session.work_tables(spark)) == len(before) + 1
+    (folder,) = set(session.work_tables(spark)) - set(before)
+    assert session.discard_work(spark, keep=before) == 1
+    assert not _local(folder).exists() and kept.count() == 3 and session.work_tables(spark) == before
+
+
 def _local(folder):
     return pathlib.Path(folder.removeprefix("file://"))
 

@@ -449,6 +449,37 @@ def stationarity_test(spark, sf_dir):
     return report(stationarity.stationarity(_price(spark, sf_dir), "price"))
 
 
+# sums around the means of level x, change dy and lagged change d1, and the two regressions of dy that they give
+ROOT_SUMS = """SELECT series_key, count(*) AS n, regr_sxx(dy, x) AS xx, regr_syy(dy, x) AS yy, covar_pop(x, dy) * count(*) AS xy, covar_pop(d1, d1) * count(*) AS dd,
+    covar_pop(x, d1) * count(*) AS xd, covar_pop(dy, d1) * count(*) AS yd FROM steps WHERE dy IS NOT NULL AND {rows} GROUP BY 1"""
+ROOT_FITS = """SELECT *, n * (ln(2 * pi() * rss0 / n) + 1) + 4 AS aic0, n * (ln(2 * pi() * rss1 / n) + 1) + 6 AS aic1, b0 / sqrt(rss0 / (n - 2) / xx) AS t0,
+    b1 / sqrt(rss1 / (n - 3) * dd / (xx * dd - xd * xd)) AS t1 FROM
+    (SELECT *, yy - b0 * xy AS rss0, yy - b1 * xy - c1 * yd AS rss1 FROM
+     (SELECT *, xy / xx AS b0, (xy * dd - yd * xd) / (xx * dd - xd * xd) AS b1, (yd * xx - xy * xd) / (xx * dd - xd * xd) AS c1 FROM {sums}))"""
+
+
+@query(
+    "A28",
+    sql(
+        """SELECT series_key, round(statistic, 5) + 0.0 AS statistic, lags, n AS n_obs, round(-3.43035 - 6.5393 / n - 16.786 / (n * n) - 79.433 / (n * n * n), 5) AS critical_1pct,
+        round(critical_5pct, 5) AS critical_5pct, round(-2.56677 - 1.5384 / n - 2.809 / (n * n), 5) AS critical_10pct, statistic < critical_5pct AS is_stationary FROM
+        (SELECT *, -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (n * n * n) AS critical_5pct FROM
+         (SELECT series_key, 0 AS lags, e.t0 AS statistic, e.n FROM every_row e JOIN common c USING (series_key) WHERE c.aic0 <= c.aic1
+          UNION ALL SELECT series_key, 1, t1, n FROM common WHERE aic0 > aic1))""",
+        "prices",
+        changes=f"SELECT series_key, month, price AS x, lead(price) {W} - price AS dy FROM prices",
+        steps=f"SELECT *, lag(dy) {W} AS d1 FROM changes",
+        all_sums=ROOT_SUMS.format(rows="TRUE"),
+        common_sums=ROOT_SUMS.format(rows="d1 IS NOT NULL"),
+        every_row=ROOT_FITS.format(sums="all_sums"),
+        common=ROOT_FITS.format(sums="common_sums"),
+    ),
+)
+def stationarity_one_lag(spark, sf_dir):
+    """The unit-root test where the criterion chooses between no lag and one, which SQL can solve by hand."""
+    return report(stationarity.stationarity(_price(spark, sf_dir), "price", max_lag=1), 5)
+
+
 @query("C12 X5")
 def lag_study(spark, sf_dir):
     df = roles.feature_layer(spark, sf_dir)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
+#: Work tables by application, in the order they were written.
+_WORK: dict[str, list[str]] = {}
 
 
 def build_session(
@@ -64,13 +67,35 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage with a table that outlives any executor, and lets two
-    consumers share one computation.
+    consumers share one computation.  :func:`discard_work` deletes such tables
+    once the results that read them have been written.
     """
     path = new_folder(df.sparkSession, label)
+    _WORK.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def work_tables(spark: SparkSession) -> list[str]:
+    """Folders of the work tables that this application has written and not deleted."""
+    return list(_WORK.get(spark.sparkContext.applicationId, []))
+
+
+def discard_work(spark: SparkSession, keep: Sequence[str] = ()) -> int:
+    """Delete the work tables written so far but those in ``keep``, and return how many there were.
+
+    Results are lazy: call it when what was asked for has been written or
+    collected.  A job calls :func:`work_tables` before a step and keeps these.
+    """
+    context = spark.sparkContext
+    gone = [p for p in work_tables(spark) if p not in set(keep)]
+    for folder in gone:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _WORK[context.applicationId] = [p for p in work_tables(spark) if p not in set(gone)]
+    return len(gone)
+
+
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a DataFrame, or None where it is not exposed."""
     try:
