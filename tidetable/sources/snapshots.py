@@ -47,8 +47,8 @@ class SnapshotTable:
     def _publish(self, entries: DataFrame, before: DataFrame | None) -> None:
         last = 0 if before is None else before.agg(F.max("version")).first()[0] or 0
         entries = materialize(entries.select("snapshot", "period", "n_rows", "superseded_by"), "entries")
-        version = entries.crossJoin(F.broadcast(entries.agg(F.count(F.lit(1)).alias("entries"))))
-        version = version.select(F.lit(last + 1).cast("bigint").alias("version"), "entries", "snapshot", "period", "n_rows", "superseded_by")
+        number, size = F.lit(last + 1).cast("bigint"), F.lit(entries.count()).cast("bigint")
+        version = entries.select(number.alias("version"), size.alias("entries"), "snapshot", "period", "n_rows", "superseded_by")
         version.write.mode("append").parquet(f"{self.root}/manifest")
 
     def commit(self, rows: DataFrame, name: str) -> None:
