@@ -447,6 +447,90 @@ def gbt_scores(spark, sf_dir):
     return report(stats.scores(monthly, ["series_key", "model"], "month"), 4)
 
 
+# --- models that SQL can fit as well ------------------------------------------
+
+SMALL = fold_trees.Boosting(trees=2, depth=1, rate=0.5, rows=1.0, columns=1.0, initial_window=36)
+
+
+def _stump_tables(rounds: int, rate: float) -> dict[str, str]:
+    """SQL of boosted stumps on two columns: every fold's rows beside its test row, and what they miss after each round."""
+    tables = {
+        "series": f"""SELECT f.series_key, f.month, p.price, ln(p.price) AS y, CAST(f.import_qty AS DOUBLE) AS x0, CAST(f.discount AS DOUBLE) AS x1,
+        row_number() OVER (PARTITION BY f.series_key ORDER BY f.month) AS rn FROM features f JOIN prices p USING (series_key, month)""",
+        "fit_0": """SELECT *, avg(CASE WHEN used THEN y END) OVER (PARTITION BY series_key, fold) AS fit FROM
+        (SELECT a.series_key, b.rn - 36 AS fold, a.month, a.price, a.y, a.x0, a.x1, a.rn < b.rn AS used FROM series a JOIN series b
+        ON a.series_key = b.series_key AND a.rn <= b.rn WHERE b.rn > 36)""",
+    }
+    for k in range(1, rounds + 1):
+        tables[f"sums_{k}"] = f"""SELECT series_key, fold, c, x, count(*) AS n, sum(miss) AS s FROM
+        (SELECT series_key, fold, unnest([0, 1]) AS c, unnest([x0, x1]) AS x, y - fit AS miss FROM fit_{k - 1} WHERE used) GROUP BY 1, 2, 3, 4"""
+        tables[f"gains_{k}"] = f"""SELECT series_key, fold, c, x, (x + after) / 2 AS border, s * s / (n + 1) + (all_s - s) * (all_s - s) / (all_n - n + 1) - all_s * all_s / (all_n + 1) AS gain FROM
+        (SELECT series_key, fold, c, x, sum(n) OVER up AS n, sum(s) OVER up AS s, sum(n) OVER whole AS all_n, sum(s) OVER whole AS all_s, lead(x) OVER up AS after FROM sums_{k}
+        WINDOW up AS (PARTITION BY series_key, fold, c ORDER BY x), whole AS (PARTITION BY series_key, fold, c)) WHERE after IS NOT NULL"""
+        tables[f"split_{k}"] = f"""SELECT series_key, fold, c, border, gain FROM
+        (SELECT *, max(gain) OVER (PARTITION BY series_key, fold) AS most FROM gains_{k}) WHERE gain > 1e-12 AND gain >= most * (1 - 1e-9)
+        QUALIFY row_number() OVER (PARTITION BY series_key, fold ORDER BY c, x) = 1"""
+        tables[f"fit_{k}"] = f"""SELECT * EXCLUDE (fit, side), fit + {rate} * sum(CASE WHEN used THEN y - fit ELSE 0 END) OVER leaf / (count(*) FILTER (WHERE used) OVER leaf + 1) AS fit FROM
+        (SELECT t.*, coalesce(CASE WHEN c = 0 THEN x0 ELSE x1 END > border, FALSE) AS side FROM fit_{k - 1} t LEFT JOIN split_{k} USING (series_key, fold))
+        WINDOW leaf AS (PARTITION BY series_key, fold, side)"""
+    return tables
+
+
+STUMPS = _stump_tables(SMALL.trees, SMALL.rate)
+SPLITS = " UNION ALL ".join(f"SELECT * FROM split_{k}" for k in range(1, SMALL.trees + 1))
+
+
+def _stumps(df):
+    return fold_trees.boosted_folds(df, "price", [trees.FeatureSet("boosted_stumps", ("import_qty", "discount"))], how=SMALL)
+
+
+@query(
+    "M7 M9 A34 X1",
+    sql(
+        f"""SELECT series_key, 'boosted_stumps' AS model, fold, 1 AS step, {YM} AS month, round(price, 2) AS actual, round(exp(fit), 2) AS prediction,
+        round(coalesce(qty_share, 0), 4) AS qty_importance FROM fit_{SMALL.trees} LEFT JOIN shares USING (series_key, fold) WHERE NOT used""",
+        "features",
+        "prices",
+        **STUMPS,
+        shares=f"""SELECT series_key, fold, sum(CASE WHEN c = 0 THEN gain ELSE 0 END) / sum(gain) AS qty_share FROM
+        (SELECT series_key, fold, c, avg(gain) AS gain FROM ({SPLITS}) GROUP BY 1, 2, 3) GROUP BY 1, 2""",
+    ),
+)
+def boosted_stumps(spark, sf_dir):
+    """Two boosted stumps for every fold, and the share of the gain that the quantity has in each."""
+    fitted = _stumps(roles.features(spark, sf_dir, with_price=True))
+    return report(fitted.withColumn("importance", F.element_at("importance", "import_qty")).withColumnRenamed("importance", "qty_importance"), {"actual": 2, "prediction": 2, "qty_importance": 4})
+
+
+@query(
+    "C18 M12 A33",
+    sql(
+        """SELECT series_key, model, round(mae, 1) AS mae, round(rmse, 1) AS rmse, round(mape, 2) AS mape, round(directional_accuracy, 4) AS directional_accuracy, n_obs, n_folds
+        FROM scored JOIN (SELECT series_key, model, count(DISTINCT fold) AS n_folds FROM predictions GROUP BY 1, 2) USING (series_key, model)""",
+        "features",
+        "prices",
+        **STUMPS,
+        lines="""SELECT *, exp(regr_intercept(y, z) OVER before + z * regr_slope(y, z) OVER before) AS one_lag,
+        regr_intercept(price, x1) OVER before + x1 * regr_slope(price, x1) OVER before AS one_driver FROM
+        (SELECT *, lag(y) OVER w AS z, lag(price) OVER w AS l1, lag(price, 12) OVER w AS l12 FROM series WINDOW w AS (PARTITION BY series_key ORDER BY month))
+        WINDOW before AS (PARTITION BY series_key ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+        predictions=f"""SELECT series_key, month, rn - 36 AS fold, price AS actual, unnest(['naive', 'seasonal_naive', 'one_lag', 'one_driver']) AS model,
+        unnest([l1, l12, one_lag, one_driver]) AS prediction FROM lines WHERE rn > 36
+        UNION ALL SELECT series_key, month, fold, price, 'boosted_stumps', exp(fit) FROM fit_{SMALL.trees} WHERE NOT used""",
+        scored=SCORED,
+    ),
+)
+def five_model_comparison(spark, sf_dir):
+    """The final comparison of naive models, two regressions and trees, each so small that SQL can fit it too."""
+    df = roles.feature_layer(spark, sf_dir)
+    specs = {
+        "one_lag": regression.RegressionSpec("price", lags=(1,), initial_window=36, log_target=True),
+        "one_driver": regression.RegressionSpec("price", ("discount",), lags=(), initial_window=36),
+    }
+    scores = final_comparison(df, "price", specs, [_stumps(df)], initial_window=36)
+    return report(scores, {"mae": 1, "rmse": 1, "mape": 2, "directional_accuracy": 4})
+
+
 @query(
     "P23 P24",
     sql(
