@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+#: For work whose temporary arrays are many times as large as its chunk.
+SMALL_CHUNK_BYTES = 1 << 18
 CODE_POINTS = 0x110000
 _U = np.uint64
 #: Odd multiplier of the run hashes, its inverse modulo 2**64, and the steps of the 64-bit finaliser.

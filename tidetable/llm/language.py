@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidetable.llm.arrays import letter_table, lower_table, segment_sums, text_chunks
+from tidetable.llm.arrays import SMALL_CHUNK_BYTES, letter_table, lower_table, segment_sums, text_chunks
 from tidetable.llm.bpe import _replace, _with
 
 BITS = 15
@@ -123,7 +123,7 @@ def _features(text: str) -> Iterator[pa.RecordBatch]:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column, labels = batch.column(batch.schema.names.index(text)), batch.column(batch.schema.names.index("_label"))
-            for a, b, points, offsets in text_chunks(column):
+            for a, b, points, offsets in text_chunks(column, SMALL_CHUNK_BYTES):
                 ids, values = [], []
                 grams = list(gram_ids(points, offsets))
                 for i in range(b - a):
@@ -208,7 +208,7 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text", keep: list[
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, points, offsets in text_chunks(batch.column(batch.schema.names.index(text))):
+            for a, b, points, offsets in text_chunks(batch.column(batch.schema.names.index(text)), SMALL_CHUNK_BYTES):
                 known = np.zeros(b - a, bool)
                 best, score, doubt = np.zeros(b - a, int), np.ones(b - a), np.zeros(b - a, bool)
                 if model.languages:
