@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidetable.llm.arrays import CODE_POINTS, lower_table, mix, run_hashes, segment_sums, text_chunks
+from tidetable.llm.arrays import CODE_POINTS, SMALL_CHUNK_BYTES, lower_table, mix, run_hashes, segment_sums, text_chunks
 from tidetable.llm.bpe import _replace, _with
 from tidetable.llm.language import sample_share
 from tidetable.llm.scan import WHITE
@@ -96,7 +96,7 @@ def sparse_rows(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, points, offsets in text_chunks(batch.column(batch.schema.names.index("text"))):
+        for a, b, points, offsets in text_chunks(batch.column(batch.schema.names.index("text")), SMALL_CHUNK_BYTES):
             ids, values, bounds = sparse_rows(points, offsets)
             lists = [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(x)) for x in (ids.astype(np.int32), values.astype(np.float32))]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index("_label")).slice(a, b - a), *lists], names=["_label", "ids", "vals"])
@@ -162,7 +162,7 @@ def score(df: DataFrame, model: QualityModel, text: str = "text", keep: list[str
         weights[packed[0]] = packed[1]
         own = QualityModel(weights, bias)
         for batch in batches:
-            for a, b, points, offsets in text_chunks(batch.column(batch.schema.names.index(text))):
+            for a, b, points, offsets in text_chunks(batch.column(batch.schema.names.index(text)), SMALL_CHUNK_BYTES):
                 s = own.score(points, offsets)
                 out = {"score": pa.array(s), "predicted": pa.array((s >= threshold).astype(np.int32))}
                 yield _replace(batch.slice(a, b - a).select(columns), out)
