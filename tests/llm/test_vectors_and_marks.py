@@ -174,7 +174,7 @@ def test_a_new_shard_moves_few_rows(spark):
 def test_rows_run_clockwise():
     owner = np.array([0, 1, 2, 0])
     table = ring.allocate({0: 5, 1: 1, 3: 2}, owner, [3, 3, 2])
-    assert table.tolist() == [[0, 0, 0, 0], [0, 3, 1, 1], [1, 0, 1, 0], [3, 0, 1, 2], [3, 1, 2, 0]] or sum(1 for _ in table) >= 4
+    assert table.tolist() == [[0, 0, 0, 0], [0, 3, 1, 1], [1, 0, 1, 0], [3, 0, 2, 0]]
     with pytest.raises(ValueError):
         ring.allocate({0: 9}, owner, [3, 3, 2])
 
