@@ -1,5 +1,6 @@
 """Archives and their damage; the pipeline against its parts."""
 
+import io
 import random
 
 import pytest
@@ -48,6 +49,7 @@ def test_every_kind_of_damage(form):
         else:
             data = whole[: starts[k]] + bytes(rng.randrange(256) for _ in range(50)) + whole[starts[k] :]
         found = list(warc.salvage(data))
+        assert found == list(warc.salvage(data, step=rng.choice([1, 7, 64, 300])))
         kept = [int(h["x-page-id"]) for _, _, h, _, _ in found if h]
         assert set(range(6)) - set(kept) <= ({k} if kind != "noise" else set())
         # records and gaps cover every byte once
@@ -60,6 +62,55 @@ def test_archives_without_a_record():
     assert [(s, e) for s, e, *_ in warc.salvage(b"not an archive")] == [(0, 14)]
 
 
+class Watched(io.BytesIO):
+    """Bytes that know how many of them have been read."""
+
+    taken = 0
+
+    def read(self, size=-1):
+        got = super().read(size)
+        self.taken = max(self.taken, self.tell())
+        return got
+
+
+@pytest.mark.parametrize("form", ["gzip", "plain"])
+def test_an_archive_is_read_as_a_stream(form):
+    make = (lambda r: r.pack()) if form == "gzip" else plain
+    parts = [make(record(i % 50)) for i in range(400)]
+    parts[200] = make(record(7, "x" + "".join(map(str, range(60_000)))))
+    bad = 150
+    parts[bad] = parts[bad][5:]
+    source = Watched(b"".join(parts))
+    kept = gaps = longest = 0
+    for start, end, head, _, failure in warc.salvage(source, step=4096):
+        kept, gaps = kept + (head is not None), gaps + (failure is not None)
+        longest = max(longest, end - start)
+        # no more is read ahead than twice the longest record so far and a few steps
+        assert source.taken <= end + 2 * longest + 4 * 4096
+    assert longest > 10 * 4096
+    assert (kept, gaps) == (len(parts) - 1, 1)
+
+
+def test_a_record_longer_than_the_bound_is_a_gap(monkeypatch):
+    parts = [plain(record(1)), plain(record(2, "y" * 5000)), plain(record(3))]
+    monkeypatch.setattr(warc, "LONGEST", 1000)
+    found = [(h and h["x-page-id"], f) for _, _, h, _, f in warc.salvage(b"".join(parts))]
+    assert found == [("1", None), (None, "length"), ("3", None)]
+    packed = [record(1).pack(), record(2, "y" * 5000).pack(), record(3).pack()]
+    assert [h and h["x-page-id"] for _, _, h, _, _ in warc.salvage(b"".join(packed))] == ["1", None, "3"]
+
+
+def test_large_archives_are_opened_where_they_lie(spark):
+    pages = spark.createDataFrame([(i, f"<p>{i % 7}</p>" * 40) for i in range(60)], "page_id bigint, html string")
+    folder = new_folder(spark, "warc-large")
+    warc.write(pages.coalesce(1), folder, "page_id", "html", archive_bytes=2000)
+    with open(folder.removeprefix("file://") + "/broken.warc.gz", "wb") as f:
+        f.write(record(70).pack()[:-9] + b"?" * 3000 + record(71).pack())
+    columns = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "start", "end", "failure"]
+    whole, streamed = (sorted(map(str, warc.read(spark, folder, whole_bytes=n).select(*columns).collect())) for n in (1 << 20, 0))
+    assert whole == streamed and len(whole) == 62
+
+
 def test_revisits_and_gaps_in_a_folder(spark):
     rows = [(1, "a"), (2, "b"), (3, "a"), (4, None), (5, ""), (None, "b"), (6, "c"), (6, "d"), (9, "é" * 100_000), (7, "a")]
     pages = spark.createDataFrame(rows, "page_id bigint, html string").withColumn("records", pytest.importorskip("pyspark.sql.functions").lit(1))

@@ -4,25 +4,29 @@
 with the largest id is a response and the others are revisits.  ``read`` goes through archives member by member.  A record
 must have its version line, its header, the length that the header states, the closing blank lines and the digest of its
 block; where one of these checks fails, the bytes up to the next valid member (or, in archives that are not compressed,
-the next valid version line) are quarantined and logged as a gap, and reading goes on behind them.
+the next valid version line) are quarantined and logged as a gap, and reading goes on behind them.  An archive is read as
+a stream: a task holds one record and what was read beyond it, however large the archive is.
 
 Archives are written by tasks to the shared folder, through the file system that the folder's address names, each attempt
 of a task under names of its own.  The manifest lists those of the attempts that counted, and ``read_written`` reads these.
 
 Defined results: null payloads are empty; a row without an id is a response without one, or revisits the response of an
-equal payload; if a row with the largest id is repeated, each copy is a response; an empty table gives no archive.
+equal payload; if a row with the largest id is repeated, each copy is a response; an empty table gives no archive;
+what claims to be a record of more than ``LONGEST`` bytes, packed or not, is no record but part of a gap.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import posixpath
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -35,11 +39,14 @@ from tidetable.session import materialize, new_folder
 
 VERSION = b"WARC/1.1"
 _VERSIONS = re.compile(rb"WARC/1\.[01]\r\n")
+_LINE = len(b"WARC/1.1\r\n")
 _GZIP = b"\x1f\x8b\x08"
 _CLOSE = b"\r\n\r\n"
-_LEVEL = 4
+_LEVEL, _PIECE = 4, 1 << 16
 #: Bound on the digests that all tasks know.
 HOT = 1000
+#: Bytes that are read at a time, that one record may have, and of an archive that Spark hands over as one value.
+STEP, LONGEST, WHOLE = 1 << 20, 1 << 30, 64 << 20
 _ONCE = ("warc-type", "warc-record-id", "content-length")
 
 
@@ -48,6 +55,10 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+class Unfinished(ValueError):
+    """A failed check that might not fail if more of the archive were known."""
+
+
 @dataclass(frozen=True)
 class Record:
     """One record as it is written."""
@@ -88,10 +99,10 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     """(header, block, end) of the record at ``at``; ValueError names the check that failed."""
     version = _VERSIONS.match(data, at)
     if not version:
-        raise ValueError("version line")
+        raise (Unfinished if len(data) - at < _LINE else ValueError)("version line")
     stop = data.find(b"\r\n\r\n", version.end())
     if stop < 0:
-        raise ValueError("header")
+        raise Unfinished("header")
     try:
         pairs = [line.split(":", 1) for line in data[version.end() : stop].decode("utf-8").split("\r\n")]
         head = {k.strip().lower(): v.strip() for k, v in pairs}
@@ -102,8 +113,10 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     except (ValueError, KeyError):
         raise ValueError("header") from None
     begin = stop + 4
-    if size < 0 or begin + size + 4 > len(data):
+    if size < 0 or size > LONGEST:
         raise ValueError("length")
+    if begin + size + 4 > len(data):
+        raise Unfinished("length")
     block = data[begin : begin + size]
     if data[begin + size : begin + size + 4] != _CLOSE:
         raise ValueError("end of record")
@@ -115,40 +128,115 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 def _member(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """The record in the gzip member at ``at``, and the member's end."""
     if data[at : at + 3] != _GZIP:
-        raise ValueError("member")
-    inflate = zlib.decompressobj(31)
+        raise (Unfinished if len(data) - at < 3 else ValueError)("member")
+    inflate, raw, end = zlib.decompressobj(31), [], at
+    size = 0
     try:
-        raw = inflate.decompress(memoryview(data)[at:])
+        while not inflate.eof and end < len(data):
+            raw.append(inflate.decompress(memoryview(data)[end : end + _PIECE]))
+            size, end = size + len(raw[-1]), min(end + _PIECE, len(data))
+            if size > LONGEST:
+                raise ValueError("length")
     except zlib.error:
         raise ValueError("member") from None
     if not inflate.eof:
-        raise ValueError("member")
-    head, block, end = parse_record(raw)
-    if end != len(raw):
+        raise Unfinished("member")
+    whole = b"".join(raw)
+    try:
+        head, block, stop = parse_record(whole)
+    except Unfinished as e:
+        raise ValueError(str(e)) from None  # the member has no more
+    if stop != len(whole):
         raise ValueError("end of record")
-    return head, block, len(data) - len(inflate.unused_data)
+    return head, block, end - len(inflate.unused_data)
+
+
+class _Held:
+    """What is known of an archive: its bytes from ``start`` on, as far as they have been read."""
+
+    def __init__(self, source: BinaryIO, step: int) -> None:
+        self.source, self.step, self.start, self.data = source, step, 0, b""
+
+    @property
+    def end(self) -> int:
+        return self.start + len(self.data)
+
+    def more(self) -> bool:
+        """Read as much again as is held, at least a step; False at the end of the archive."""
+        got = self.source.read(max(self.step, len(self.data)))
+        self.data += got
+        return bool(got)
+
+    def drop(self, at: int) -> None:
+        """Let go of what lies before ``at``, a step or more at a time."""
+        if at - self.start >= self.step:
+            self.data, self.start = self.data[at - self.start :], at
+
+    def record(self, at: int, parse) -> tuple[dict[str, str], bytes, int]:
+        """The record at ``at``, for which as much is read as it takes."""
+        while True:
+            try:
+                head, block, end = parse(self.data, at - self.start)
+                return head, block, self.start + end
+            except Unfinished:
+                # header and closing lines come on top of the block
+                if self.end - at > LONGEST + STEP or not self.more():
+                    raise
+
+    def later(self, at: int, packed: bool) -> int | None:
+        """Where the next member or version line behind ``at`` may begin."""
+        at += 1
+        while True:
+            if packed:
+                found = self.data.find(_GZIP, at - self.start)
+            else:
+                line = _VERSIONS.search(self.data, at - self.start)
+                found = line.start() if line else -1
+            if found >= 0:
+                return self.start + found
+            # the last bytes may begin what the next ones end
+            at = max(at, self.end - _LINE + 1)
+            self.drop(at)
+            if not self.more():
+                return None
+
+
+def _compressed(source: BinaryIO, step: int) -> bool:
+    """Whether an archive begins as gzip does, or has no version line that could be read as it stands."""
+    kept, first = source.read(max(step, _LINE)), True
+    try:
+        while kept:
+            if first and kept[:3] == _GZIP:
+                return True
+            if _VERSIONS.search(kept):
+                return False
+            got, first = source.read(step), False
+            kept = kept[-_LINE + 1 :] + got if got else b""
+        return True
+    finally:
+        source.seek(0)
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str | None]]:
-    """(start, end, header, block, failure) of each record and each gap of an archive.
+def salvage(archive: bytes | BinaryIO, step: int = STEP) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str | None]]:
+    """(start, end, header, block, failure) of each record and each gap of an archive, which may be an open file.
 
     A gap has no header, and its failure is that of the record it begins with.
     """
+    source = io.BytesIO(archive) if isinstance(archive, bytes) else archive
+    packed = _compressed(source, step)
+    held = _Held(source, step)
     at, gap, failure = 0, None, None
-    packed = data[:3] == _GZIP or not _VERSIONS.search(data)
-    while at < len(data):
+    while at < held.end or held.more():
+        held.drop(at)
         try:
-            head, block, end = _member(data, at) if packed else parse_record(data, at)
+            head, block, end = held.record(at, _member if packed else parse_record)
         except ValueError as e:
             if gap is None:
                 gap, failure = at, str(e)
-            if packed:
-                at = data.find(_GZIP, at + 1)
-            else:
-                later = _VERSIONS.search(data, at + 1)
-                at = later.start() if later else -1
-            if at < 0:
+            later = held.later(at, packed)
+            if later is None:
                 break
+            at = later
             continue
         if gap is not None:
             yield gap, at, None, b"", failure
@@ -156,7 +244,7 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
         yield at, end, head, block, None
         at = end
     if gap is not None:
-        yield gap, len(data), None, b"", failure
+        yield gap, held.end, None, b"", failure
 
 
 def write(df: DataFrame, folder: str, row_id: str, payload: str, url: str | None = None, archive_bytes: int = 8 << 20) -> DataFrame:
@@ -214,9 +302,10 @@ def _whole_number(head: dict[str, str], name: str) -> int | None:
     return int(value) if re.fullmatch(r"-?[0-9]{1,18}", value) else None
 
 
-def _records(path: str, content: bytes, with_payload: bool) -> Iterator[pa.RecordBatch]:
+def _records(path: str, archive: bytes | BinaryIO, with_payload: bool) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
-    for start, end, head, block, failure in salvage(content):
+    size_held = 0
+    for start, end, head, block, failure in salvage(archive):
         if head is None:
             rows.append((path, start, end, None, None, None, None, None, None, failure))
         else:
@@ -225,24 +314,47 @@ def _records(path: str, content: bytes, with_payload: bool) -> Iterator[pa.Recor
             digest = digest32(block) if whole else head.get("warc-payload-digest", "").partition(":")[2]
             size = len(block) if whole else _whole_number(head, "x-payload-length")
             page, refers = _whole_number(head, "x-page-id"), _whole_number(head, "x-refers-to-page-id")
-            rows.append((path, start, end, page, kind, refers, size, digest, block if with_payload and whole else None, None))
-        if len(rows) >= 512:
+            payload = block if with_payload and whole else None
+            rows.append((path, start, end, page, kind, refers, size, digest, payload, None))
+            size_held += len(payload or b"")
+        if len(rows) >= 512 or size_held >= 8 * STEP:
             yield _batch(rows)
-            rows = []
+            rows, size_held = [], 0
     if rows:
         yield _batch(rows)
 
 
-def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """Every record and every gap of all archives below ``folder``; gaps have a ``failure`` and no record."""
+def _opened(path: str, with_payload: bool) -> Iterator[pa.RecordBatch]:
+    """The records of an archive that is read as a stream."""
+    files, place = pafs.FileSystem.from_uri(path)
+    with files.open_input_file(place) as source:
+        yield from _records(path, source, with_payload)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def read(spark: SparkSession, folder: str, with_payload: bool = True, whole_bytes: int = WHOLE) -> DataFrame:
+    """Every record and every gap of all archives below ``folder``; gaps have a ``failure`` and no record.
+
+    Spark hands over archives of at most ``whole_bytes`` as values; larger ones are opened where they lie.
+    """
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
                 yield from _records(path.as_py(), content.as_py(), with_payload)
 
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path", "content")
-    return archives.mapInArrow(work, RECORD_SCHEMA)
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder)
+    small = archives.where(F.col("length") <= whole_bytes).select("path", "content").mapInArrow(values, RECORD_SCHEMA)
+    return small.unionByName(_streamed(archives.where(F.col("length") > whole_bytes), with_payload))
+
+
+def _streamed(archives: DataFrame, with_payload: bool) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                # Hadoop writes local paths with one slash
+                yield from _opened(re.sub(r"^file:/(?!/)", "file:///", path), with_payload)
+
+    return archives.select("path").repartition(partitions(archives), "path").mapInArrow(work, RECORD_SCHEMA)
 
 
 def read_written(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -250,17 +362,7 @@ def read_written(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
 
     A task that was repeated may have left archives that are not in the manifest.
     """
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                files, place = pafs.FileSystem.from_uri(path)
-                with files.open_input_stream(place) as source:
-                    content = source.read()
-                yield from _records(path, content, with_payload)
-
-    paths = manifest.select("path").repartition(partitions(manifest), "path")
-    return paths.mapInArrow(work, RECORD_SCHEMA)
+    return _streamed(manifest, with_payload)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
