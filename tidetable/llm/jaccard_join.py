@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidetable.llm.arrays import mix, run_hashes, runs, text_chunks
+from tidetable.llm.arrays import SMALL_CHUNK_BYTES, mix, run_hashes, runs, text_chunks
 from tidetable.llm.common import partitions
 from tidetable.session import broadcast_if_small, materialize
 
@@ -89,8 +89,25 @@ def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.names.index(name))
 
 
-def _frequent(docs: DataFrame, measure: Measure) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of frequent shingles, the most frequent last, and their counts."""
+@dataclass(frozen=True)
+class Frequent:
+    """Hashes of frequent shingles in rising order, their places by frequency, and the counts by place."""
+
+    hashes: np.ndarray
+    places: np.ndarray
+    counts: np.ndarray
+
+    def place(self, h: np.ndarray) -> np.ndarray:
+        """The place of each shingle, the most frequent last; -1 for others."""
+        out = np.full(len(h), -1, np.int64)
+        if len(self.hashes) and len(h):
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            hit = self.hashes[at] == h
+            out[hit] = self.places[at[hit]]
+        return out
+
+
+def _frequent(docs: DataFrame, measure: Measure) -> Frequent:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -101,7 +118,7 @@ def _frequent(docs: DataFrame, measure: Measure) -> tuple[np.ndarray, np.ndarray
             return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], names=["h", "n"])
 
         for batch in batches:
-            for _, _, points, offsets in text_chunks(_column(batch, "_text")):
+            for _, _, points, offsets in text_chunks(_column(batch, "_text"), SMALL_CHUNK_BYTES):
                 h, _ = shingle_sets(points, offsets, measure.words)
                 held.append(h)
                 size += len(h)
@@ -113,20 +130,15 @@ def _frequent(docs: DataFrame, measure: Measure) -> tuple[np.ndarray, np.ndarray
 
     found = docs.select("_text").mapInArrow(work, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
     top = found.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
-    return np.asarray(top.column("h").combine_chunks()).view(_U)[::-1].copy(), np.asarray(top.column("n").combine_chunks())[::-1].copy()
+    hashes, counts = (np.asarray(top.column(c).combine_chunks())[::-1].copy() for c in ("h", "n"))
+    order = np.argsort(hashes.view(_U))
+    return Frequent(hashes.view(_U)[order], order, counts)
 
 
-def _ordered(h: np.ndarray, bounds: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sets in the global order, and the place of each shingle among the frequent ones, -1 for others."""
-    place = np.full(len(h), -1, np.int64)
-    if len(frequent) and len(h):
-        order = np.argsort(frequent)
-        at = np.minimum(np.searchsorted(frequent[order], h), len(frequent) - 1)
-        hit = frequent[order][at] == h
-        place[hit] = order[at[hit]]
+def _ordered(h: np.ndarray, bounds: np.ndarray, frequent: Frequent) -> np.ndarray:
+    """The sets in the global order."""
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    rank = np.lexsort((place, owner))  # stable: the others keep the order of their hashes
-    return h[rank], place[rank]
+    return h[np.lexsort((frequent.place(h), owner))]  # stable: those without a place keep the order of their hashes
 
 
 def _sketch(h: np.ndarray) -> bytes:
@@ -144,14 +156,14 @@ def _plausible(a: bytes, b: bytes, least: int) -> bool:
     return int(np.minimum(x.reshape(size, -1).sum(axis=1), y.reshape(size, -1).sum(axis=1)).sum()) >= least
 
 
-def _profiles(docs: DataFrame, measure: Measure, frequent: np.ndarray) -> DataFrame:
+def _profiles(docs: DataFrame, measure: Measure, frequent: Frequent) -> DataFrame:
     """Size, class and group keys, prefix and sketch of every document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, points, offsets in text_chunks(_column(batch, "_text")):
+            for a, b, points, offsets in text_chunks(_column(batch, "_text"), SMALL_CHUNK_BYTES):
                 h, bounds = shingle_sets(points, offsets, measure.words)
-                ordered, _ = _ordered(h, bounds, frequent)
+                ordered = _ordered(h, bounds, frequent)
                 n = np.diff(bounds)
                 length = np.where(n > 0, measure.prefix(n), 0)
                 sets = [h[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
@@ -170,7 +182,7 @@ def _profiles(docs: DataFrame, measure: Measure, frequent: np.ndarray) -> DataFr
     return docs.mapInArrow(work, "id bigint, n bigint, class_key binary, group_key binary, prefix binary, sketch binary")
 
 
-def _postings(groups: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
+def _postings(groups: DataFrame, frequent: Frequent) -> DataFrame:
     """A row for each prefix shingle of each group; those of very frequent shingles are dealt to pairs of blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,9 +196,9 @@ def _postings(groups: DataFrame, frequent: np.ndarray, counts: np.ndarray) -> Da
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
                 pos = np.arange(len(h)) - np.repeat(bounds[:-1], sizes)
                 who, size = (np.repeat(x[at : at + 2048], sizes) for x in (ids, n))
-                _, place = _ordered(h, np.arange(len(h) + 1), frequent)
+                place = frequent.place(h)
                 before = np.where((place >= 0) & (pos > 0), np.concatenate(([_U(0)], h[:-1])), _U(0))
-                blocks = np.where(place >= 0, -(-counts[place] // BLOCK), 1) if len(counts) else np.ones(len(h), np.int64)
+                blocks = np.where(place >= 0, -(-frequent.counts[place] // BLOCK), 1) if len(frequent.counts) else np.ones(len(h), np.int64)
                 # a row of block b meets every block j in the list (h, least, greatest of both)
                 row = np.repeat(np.arange(len(h)), blocks)
                 other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -430,7 +442,7 @@ def _sets(docs: DataFrame, measure: Measure, wanted: np.ndarray) -> DataFrame:
                 place = _places(ids, bits, k)
                 hit &= (wanted[(place >> _U(6)).astype(np.intp)] >> (place & _U(63)) & _U(1)).astype(bool)
             kept = batch.filter(pa.array(hit))
-            for a, b, points, offsets in text_chunks(_column(kept, "_text")):
+            for a, b, points, offsets in text_chunks(_column(kept, "_text"), SMALL_CHUNK_BYTES):
                 h, bounds = shingle_sets(points, offsets, measure.words)
                 sets = [h[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([_column(kept, "_id").slice(a, b - a), pa.array(sets, pa.binary())], names=["id", "set"])
@@ -538,13 +550,13 @@ def _group_labels(members: DataFrame, components_: DataFrame) -> DataFrame:
 def near_copies(df: DataFrame, measure: Measure, row_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``df``."""
     docs = df.select(F.col(row_id).cast("long").alias("_id"), F.col(text).alias("_text"))
-    frequent, counts = _frequent(docs, measure)
+    frequent = _frequent(docs, measure)
     profiles = materialize(_profiles(docs, measure, frequent), "profiles")
     some = profiles.where(F.col("class_key").isNotNull() & F.col("id").isNotNull())
     classes = materialize(some.groupBy("class_key").agg(F.min("id").alias("rep"), F.first("group_key").alias("group_key"), F.count(F.lit(1)).alias("copies")), "classes")
     groups = materialize(classes.groupBy("group_key").agg(F.min("rep").alias("group_id"), F.count(F.lit(1)).alias("members")), "groups")
     heads = some.join(groups.select("group_key", F.col("group_id").alias("id")), ["group_key", "id"]).select("id", "n", "prefix")
-    lists = _split_long(materialize(_lists(_postings(heads, frequent, counts)), "lists"))
+    lists = _split_long(materialize(_lists(_postings(heads, frequent)), "lists"))
     several = groups.where("members > 1")
     members = classes.join(several, "group_key").select("group_id", F.col("rep").alias("id"), F.ceil(F.col("members") / BLOCK).alias("blocks"))
     members = materialize(members, "members")
