@@ -9,12 +9,13 @@ import pytest
 from helpers import months
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tidetable import session
 from tidetable.functions import dates, text
 from tidetable.operators import fold_table, joins, regression, stats
 from tidetable.plans import publication
 from tidetable.session import new_folder
-from tidetable.sources import csv, snapshots
+from tidetable.sources import csv, snapshots, tables
 from tidetable.streaming import loads, polled
 
 
@@ -153,6 +154,65 @@ def test_settled_state_expires(spark):
     assert max(sizes) <= 40 and loads.latest_of_batches(spark, out, ["k", "day"]).count() == 80
 
 
+def test_settlement_by_years_passes_over_batches_without_rows(spark):
+    root, out, state = (new_folder(spark, n) for n in ("empties", "empties-out", "empties-state"))
+    schema = "k string, day date, load_seq int, forecast boolean"
+    batches = [
+        [],
+        [],
+        [("a", date(2023, 1, 1), 1, False), ("b", date(2024, 1, 1), 2, True)],
+        [],
+        [("a", date(2023, 1, 1), 3, True), ("b", date(2024, 1, 1), 4, False)],
+        [],
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(root)
+        stream = loads.read_files(spark, root, spark.createDataFrame([], schema).schema)
+        loads.run_available(stream, state, loads.settle_to(out, ["k", "day"], time="day"), mode="append")
+        if i < 2:
+            assert tables.scan_or_empty(spark, out, stream.schema).collect() == []
+    found = tables.scan_or_empty(spark, out, stream.schema)
+    assert _rows(found) == [("a", date(2023, 1, 1), 1, False), ("b", date(2024, 1, 1), 4, False)]
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are read in so small parts that one with a single row group begins with a part without rows."""
+    values = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "100"}
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _write_events(spark, folder, n):
+    rows = [(i, datetime(2023 + i % 2, 5, 1 + i % 3), i % 7, "ab"[i // 2 % 2], (i * 37 % 101) * 0.75, f"{i}") for i in range(n)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"file://{folder}/events.parquet")
+    return rows
+
+
+def _first_part_is_empty(spark, folder):
+    parts = spark.read.parquet(f"file://{folder}/events.parquet").select(F.spark_partition_id().alias("p")).distinct()
+    return 0 not in {r["p"] for r in parts.collect()}
+
+
+@pytest.mark.parametrize("n", [0, 1500])
+def test_settled_years_of_a_file_whose_first_part_is_empty(spark, tmp_path, small_splits, n):
+    rows = _write_events(spark, tmp_path, n)
+    assert _first_part_is_empty(spark, tmp_path)
+    want = {}
+    for event_id, ts, user_id, kind, value, _ in rows:
+        forecast, key = value < 30, (kind, user_id, ts.strftime("%Y-%m-%d"))
+        if key not in want or (not forecast, event_id) > (not want[key][1], want[key][0]):
+            want[key] = (event_id, forecast)
+    found = queries()["stream_settle_years"](spark, f"file://{tmp_path}").collect()
+    got = {(r["series_key"], r["user_id"], r["day"]): (r["event_id"], r["forecast"]) for r in found}
+    assert len(found) == len(got) and got == want
+
+
 def test_an_inventory_of_many_files(spark, tmp_path):
     """Files of two headers, in one table; a column is found by name in each."""
     for i in range(300):

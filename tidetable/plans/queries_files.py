@@ -570,4 +570,4 @@ def stream_settle_years(spark, sf_dir):
     loads.run_available(
         stream, new_folder(spark, "settle-state"), loads.settle_to(path, on, order="event_id", time="day"), mode="append"
     )
-    return report(tables.scan_dataset(spark, path))
+    return report(tables.scan_or_empty(spark, path, stream.schema))

@@ -38,6 +38,22 @@ def scan_dataset(
     return df.drop(partition) if partition else df
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as it is stored, or None when there is none yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def scan_or_empty(spark: SparkSession, path: str, schema: T.StructType, *, partition: str = "year") -> DataFrame:
+    """Like :func:`scan_dataset`, but a table that no row has reached yet is an empty one."""
+    df = _stored(spark, path)
+    return spark.createDataFrame([], schema) if df is None else df.drop(partition)
+
+
 def scan_partition(spark: SparkSession, path: str, value: int, *, partition: str = "year") -> DataFrame:
     """One partition; the plain comparison lets Spark list and read nothing else."""
     return spark.read.parquet(path).filter(F.col(partition) == value).drop(partition)
@@ -90,13 +106,9 @@ def stored_years(df: DataFrame, path: str, time: str = "month") -> DataFrame | N
     The list of years is bounded by the calendar, so it becomes a literal filter
     that prunes directories.
     """
-    spark = df.sparkSession
     years = [r["year"] for r in df.select(F.year(time).alias("year")).distinct().collect()]
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    stored = _stored(df.sparkSession, path)
+    if stored is None:
         return None
     return stored.filter(F.col("year").isin(years)).select(*df.columns)
 

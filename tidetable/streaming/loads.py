@@ -183,10 +183,15 @@ def upsert_to(path: str, on: Keys, order: Keys, time: str = "month") -> Callable
 def settle_to(
     path: str, on: Keys, *, forecast: str = "forecast", order: str = "load_seq", time: str = "month"
 ) -> Callable[[DataFrame, int], None]:
-    """Like :func:`upsert_to`, but an actual always replaces a forecast of the same month."""
+    """Like :func:`upsert_to`, but an actual always replaces a forecast of the same month.
+
+    A batch without rows, as an empty file gives, changes nothing and makes no table.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = materialize(batch, "batch")  # read for its years, then for its rows
+        if batch.isEmpty():
+            return
         stored = stored_years(batch, path, time)
         rows = batch if stored is None else stored.unionByName(batch)
         replace_years(materialize(settle(rows, on, forecast=forecast, order=order), "settle"), path, time)
