@@ -213,6 +213,30 @@ def test_settled_years_of_a_file_whose_first_part_is_empty(spark, tmp_path, smal
     assert len(found) == len(got) and got == want
 
 
+def test_upserts_pass_over_batches_without_rows(spark):
+    out = new_folder(spark, "upsert-empties")
+    schema = "k string, day date, load_seq int"
+    write = loads.upsert_to(out, ["k", "day"], "load_seq", "day")
+    batches = [[], [("a", date(2023, 1, 1), 1), ("b", date(2024, 1, 1), 2)], [], [("a", date(2023, 1, 1), 3)]]
+    for i, rows in enumerate(batches):
+        batch = spark.createDataFrame(rows, schema)
+        write(batch, i)
+        write(batch, i)  # a repeated batch
+    assert _rows(tables.scan_or_empty(spark, out, batch.schema)) == [("a", date(2023, 1, 1), 3), ("b", date(2024, 1, 1), 2)]
+
+
+@pytest.mark.parametrize("n", [0, 1500])
+def test_upserts_from_a_file_whose_first_part_is_empty(spark, tmp_path, small_splits, n):
+    rows = _write_events(spark, tmp_path, n)
+    assert _first_part_is_empty(spark, tmp_path)
+    want = {}
+    for event_id, ts, user_id, kind, value, _ in rows:
+        want[kind, user_id, ts.strftime("%Y-%m-%d")] = (value, event_id)  # the rows come in the order of event_id
+    found = queries()["stream_upsert"](spark, f"file://{tmp_path}").collect()
+    got = {(r["series_key"], r["user_id"], r["day"]): (r["value"], r["event_id"]) for r in found}
+    assert len(found) == len(got) and got == want
+
+
 def test_an_inventory_of_many_files(spark, tmp_path):
     """Files of two headers, in one table; a column is found by name in each."""
     for i in range(300):

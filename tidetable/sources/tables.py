@@ -118,9 +118,12 @@ def merge_into_years(df: DataFrame, path: str, on: Keys, order: Keys, time: str
 
     Only touched years are read.  The merged rows are written aside first, so
     the table is never overwritten by a job that still reads it; so are the new
-    ones, which tell the years before they are merged.
+    ones, which tell the years before they are merged.  No new rows change
+    nothing and make no table.
     """
     df = materialize(df, "batch")
+    if df.isEmpty():
+        return
     stored = stored_years(df, path, time)
     merged = keep_last(df, on, order) if stored is None else upsert(stored, df, on, order)
     replace_years(materialize(merged, "merge"), path, time)
